@@ -8,7 +8,7 @@ per replicate, and one sweep gives the metric of all of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +64,7 @@ def replicate_histogram(
 
 def bootstrap_interval(
     frame: DataFrame,
-    metrics: Sequence[str] = ("average_precision",),
+    metrics: Sequence[str] | Mapping[str, Callable[[], Column]] = ("average_precision",),
     *,
     samples: int = 200,
     seed: int = 42,
@@ -73,12 +73,13 @@ def bootstrap_interval(
 ) -> DataFrame:
     """(metric, estimate, lower_95, upper_95, resamples, method), one row per metric.
 
+    ``metrics`` are names, or a mapping from a name to an aggregate over sweep rows.
     Replicates with one label only are left out; at least nine in ten must remain.
     """
     if samples < 20:
         raise ContractError("samples must be at least 20")
-    unknown = [m for m in metrics if m not in METRICS]
-    if unknown or not metrics:
+    known = metrics if isinstance(metrics, Mapping) else METRICS
+    if not metrics or any(m not in known for m in metrics):
         raise ContractError(f"metrics must be among {sorted(METRICS)}")
     profile = profile or profile_scores(frame)
     points = profile.score_points
@@ -86,7 +87,7 @@ def bootstrap_interval(
     def sweep(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
         return running_totals(histogram, keys, "score", ["pos", "n"], points, descending=True)
 
-    named = [METRICS[m]().alias(m) for m in metrics]
+    named = [known[m]().alias(m) for m in metrics]
 
     estimate = sweep(score_histogram(frame), []).agg(*named)
     replicates = (

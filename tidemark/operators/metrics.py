@@ -290,6 +290,30 @@ def ranking_at_budget(
     ).select(*runs, *BUDGET_COLUMNS)
 
 
+def confusion_at(
+    frame: DataFrame, thresholds: DataFrame, *, runs: Sequence[str], by: Sequence[str],
+    false_positive_cost: float = 1.0, false_negative_cost: float = 10.0,
+) -> DataFrame:
+    """Confusion columns per ``runs`` at the threshold that ``thresholds`` has per ``by``."""
+    above = F.col("score") >= F.col("threshold")
+    # One row per run: a bounded broadcast.
+    counts = (
+        score_histogram(frame, runs)
+        .join(F.broadcast(thresholds.select(*by, "threshold")), list(by))
+        .groupBy(*runs)
+        .agg(
+            F.max("threshold").alias("threshold"),
+            F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"),
+            F.coalesce(F.sum(F.when(above, F.col("n"))), F.lit(0)).alias("selected"),
+            F.sum("pos").alias("all_pos"),
+            F.sum("n").alias("all_n"),
+        )
+    )
+    return with_confusion(
+        counts, F.lit(float(false_positive_cost)), F.lit(float(false_negative_cost))
+    ).select(*runs, "threshold", *CONFUSION_COLUMNS)
+
+
 RANKING_COLUMNS = (
     "roc_auc",
     "average_precision",
@@ -334,6 +358,9 @@ def threshold_free_metrics(
     return _budget_columns(blocks, frame, runs, budget_fraction, profile.order_points)
 
 
+METRIC_COLUMNS = (*RANKING_COLUMNS, "threshold", *CONFUSION_COLUMNS, *BUDGET_COLUMNS)
+
+
 def evaluate(
     frame: DataFrame,
     threshold: float,
@@ -352,9 +379,7 @@ def evaluate(
         frame, threshold, false_positive_cost=false_positive_cost,
         false_negative_cost=false_negative_cost, runs=runs,
     )
-    return side_by_side([free, at], runs).select(
-        *runs, *RANKING_COLUMNS, "threshold", *CONFUSION_COLUMNS, *BUDGET_COLUMNS
-    )
+    return side_by_side([free, at], runs).select(*runs, *METRIC_COLUMNS)
 
 
 def descriptive_rates(frame: DataFrame) -> DataFrame:

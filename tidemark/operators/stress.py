@@ -6,6 +6,8 @@ All draws are hashed from the row key, so a variant is the same table however it
 from __future__ import annotations
 
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ UNSEEN = "__UNSEEN__"
 AGE_NOISE = 3.0
 PAGE_NOISE = 2.0
 RANKING_NOISE = 1e-4
+ROWS_PER_BLOCK = 100_000
 MISSING = "five_percent_cells_missing"
 UNSEEN_CATEGORIES = "five_percent_unseen_categories"
 NOISY_AGE = "age_measurement_noise_sd_3"
@@ -76,14 +79,17 @@ def corrupted_inputs(
 
 def permuted_labels(
     frame: DataFrame, *, seed: int, key: str = "row_id", label: str = "converted",
-    blocks: int = 4096,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``frame`` with ``permuted_label``: the labels shuffled among the rows.
 
     Rows and labels are dealt into the same hash blocks; inside a block the row at place i of one
     hashed order takes the label at place i of another. Every label is used once, so their counts
-    do not change. Blocks are even whatever the data; give more of them for more rows.
+    do not change. Blocks are even whatever the data is; by default there is one per
+    ``ROWS_PER_BLOCK`` rows.
     """
+    if blocks is None:
+        blocks = max(8, math.ceil(frame.count() / ROWS_PER_BLOCK))
     block = F.floor(uniform(F.col(key), "permute/block", seed) * blocks).cast("int")
     work = frame.withColumns(
         {

@@ -57,24 +57,6 @@ def next_up(value: Column) -> Column:
     return F.java_method(F.lit("java.lang.Math"), F.lit("nextUp"), value).cast("double")
 
 
-def _best(policy: Policy, limit: Column | None) -> Column:
-    """Aggregate over the sweep: least cost, then highest threshold, within ``limit`` rows."""
-    cost = cost_per_1000(
-        F.col("cum_n") - F.col("cum_pos"),
-        F.col("all_pos") - F.col("cum_pos"),
-        F.col("all_n"),
-        F.lit(float(policy.false_positive_cost)),
-        F.lit(float(policy.false_negative_cost)),
-    )
-    candidate = F.struct(
-        cost.alias("cost"),
-        (-F.col("score")).alias("minus_score"),
-        F.col("cum_n").alias("selected"),
-        F.col("n").alias("ties"),
-    )
-    return F.min(candidate if limit is None else F.when(F.col("cum_n") <= limit, candidate))
-
-
 def _policy_struct(policy: Policy, i: int) -> Column:
     """The fifteen choice columns from the aggregates numbered ``i``."""
     n, pos = F.col("all_n"), F.col("all_pos")
@@ -140,23 +122,41 @@ def choose_thresholds(
     for policy in policies:
         policy.check()
     profile = profile or profile_scores(frame)
-    sweep = threshold_sweep(frame, runs, profile=profile)
+    costs = sorted({(p.false_positive_cost, p.false_negative_cost) for p in policies})
+    ceilings = sorted({p.max_selection_fraction for p in policies} - {None})
+    candidate, limit = {}, {}
+    work = {"_minus_score": -F.col("score")}
+    for i, (fp_cost, fn_cost) in enumerate(costs):
+        candidate[fp_cost, fn_cost] = F.struct(
+            F.col(f"_cost_{i}").alias("cost"), F.col("_minus_score").alias("minus_score"),
+            F.col("cum_n").alias("selected"), F.col("n").alias("ties"),
+        )
+        work[f"_cost_{i}"] = cost_per_1000(
+            F.col("cum_n") - F.col("cum_pos"), F.col("all_pos") - F.col("cum_pos"),
+            F.col("all_n"), F.lit(float(fp_cost)), F.lit(float(fn_cost)),
+        )
+    for i, ceiling in enumerate(ceilings):
+        limit[ceiling] = F.col(f"_limit_{i}")
+        work[f"_limit_{i}"] = F.floor(F.col("all_n") * F.lit(float(ceiling)))
+    sweep = threshold_sweep(frame, runs, profile=profile).withColumns(work)
     aggregates = [
         F.max("all_n").alias("all_n"),
         F.max("all_pos").alias("all_pos"),
         F.max("score").alias("top_score"),
     ]
+    # Least cost, then highest threshold; equal aggregates of several policies run once.
     for i, policy in enumerate(policies):
-        ceiling = policy.max_selection_fraction
-        limit = None if ceiling is None else F.floor(F.col("all_n") * F.lit(float(ceiling)))
-        aggregates.append(_best(policy, limit).alias(f"best_{i}"))
-        aggregates.append(_best(policy, None).alias(f"free_{i}"))
-        if limit is not None:
-            fits = F.col("cum_n") <= limit
-            aggregates.append(F.max(F.when(fits, F.col("cum_n"))).alias(f"frontier_{i}"))
-            aggregates.append(
-                F.min(F.when(~fits, F.struct(F.col("cum_n"), F.col("n")))).alias(f"next_{i}")
-            )
+        block = candidate[policy.false_positive_cost, policy.false_negative_cost]
+        aggregates.append(F.min(block).alias(f"free_{i}"))
+        if policy.max_selection_fraction is None:
+            aggregates.append(F.min(block).alias(f"best_{i}"))
+            continue
+        fits = F.col("cum_n") <= limit[policy.max_selection_fraction]
+        aggregates += [
+            F.min(F.when(fits, block)).alias(f"best_{i}"),
+            F.max(F.when(fits, F.col("cum_n"))).alias(f"frontier_{i}"),
+            F.min(F.when(~fits, F.struct(F.col("cum_n"), F.col("n")))).alias(f"next_{i}"),
+        ]
     best = sweep.groupBy(*runs).agg(*aggregates)
     choices = F.array(*[_policy_struct(p, i) for i, p in enumerate(policies)])
     return best.select(*runs, F.inline(choices))
