@@ -22,7 +22,7 @@ ACQUISITION = schemas.SCENARIOS["acquisition"].features
 IN_SESSION = schemas.SCENARIOS["in_session"].features
 REPLICATES = 40
 FOREST_TREES = 10
-DIGITS = 9
+DIGITS = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}

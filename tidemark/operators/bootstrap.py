@@ -16,21 +16,20 @@ from pyspark.sql import functions as F
 from tidemark.errors import ContractError
 from tidemark.functions.draws import DRAWS_PER_DIGEST, draw_block, poisson_count
 from tidemark.operators.combine import side_by_side
-from tidemark.operators.metrics import average_precision_sum, roc_auc_sum
+from tidemark.operators.metrics import BRIER, average_precision_sum, roc_auc_sum
 from tidemark.operators.prefix import running_totals
 from tidemark.operators.scores import ScoreProfile, profile_scores, score_histogram
 
 
-def _brier_sum() -> Column:
-    s, pos, n = F.col("score"), F.col("pos"), F.col("n")
-    return F.sum(pos * (s - 1.0) * (s - 1.0) + (n - pos) * s * s) / F.sum(n)
+def brier_sum() -> Column:
+    return F.expr(BRIER)
 
 
 # A metric is an aggregate over sweep rows (score, pos, n, cum_pos, cum_n, all_pos, all_n).
 METRICS = {
     "average_precision": average_precision_sum,
     "roc_auc": roc_auc_sum,
-    "brier_score": _brier_sum,
+    "brier_score": brier_sum,
 }
 
 

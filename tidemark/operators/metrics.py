@@ -42,29 +42,42 @@ def require_budget(fraction: float) -> None:
         raise ContractError("budget fraction must be in (0, 1]")
 
 
-def cost_per_1000(fp: Column, fn: Column, n: Column, fp_cost: Column, fn_cost: Column) -> Column:
-    return (fp.cast("double") * fp_cost + fn.cast("double") * fn_cost) / n.cast("double") * 1000.0
+def cost_per_1000(fp: str, fn: str, n: str, fp_cost: str, fn_cost: str) -> str:
+    """Expected cost of a thousand rows as SQL text; costs are SQL text of doubles."""
+    return (
+        f"(cast({fp} as double) * {fp_cost} + cast({fn} as double) * {fn_cost})"
+        f" / cast({n} as double) * 1000D"
+    )
 
 
-def with_confusion(frame: DataFrame, fp_cost: Column, fn_cost: Column) -> DataFrame:
+def with_confusion(frame: DataFrame, fp_cost: str, fn_cost: str) -> DataFrame:
     """Add the counts and rates that follow from tp, selected, all_pos and all_n."""
-    tp, chosen = F.col("tp"), F.col("selected")
-    fp, fn = chosen - tp, F.col("all_pos") - tp
-    precision = ratio(tp, chosen)
-    recall = ratio(tp, F.col("all_pos"))
-    return frame.withColumns(
-        {
-            "precision": precision,
-            "recall": recall,
-            "f1": ratio(2 * tp, chosen + F.col("all_pos")),
-            "expected_cost_per_1000": cost_per_1000(fp, fn, F.col("all_n"), fp_cost, fn_cost),
-            "true_negatives": F.col("all_n") - chosen - fn,
-            "false_positives": fp,
-            "false_negatives": fn,
-            "true_positives": tp,
-            "selected_rows": chosen,
-            "selection_rate": ratio(chosen, F.col("all_n")),
-        }
+    expressions = {
+        "precision": ratio_text("tp", "selected"),
+        "recall": ratio_text("tp", "all_pos"),
+        "f1": ratio_text("2 * tp", "selected + all_pos"),
+        "expected_cost_per_1000": cost_per_1000(
+            "selected - tp", "all_pos - tp", "all_n", fp_cost, fn_cost
+        ),
+        "true_negatives": "all_n - selected - all_pos + tp",
+        "false_positives": "selected - tp",
+        "false_negatives": "all_pos - tp",
+        "true_positives": "tp",
+        "selected_rows": "selected",
+        "selection_rate": ratio_text("selected", "all_n"),
+    }
+    return frame.withColumns({name: F.expr(text) for name, text in expressions.items()})
+
+
+def double_text(value: float) -> str:
+    """A double literal as SQL text, digit for digit."""
+    return f"cast('{float(value)!r}' as double)"
+
+
+def ratio_text(top: str, bottom: str) -> str:
+    return (
+        f"case when {bottom} = 0 then 0D"
+        f" else cast({top} as double) / cast({bottom} as double) end"
     )
 
 
@@ -102,27 +115,24 @@ def confusion(
         F.count(F.lit(1)).alias("all_n"),
     )
     return with_confusion(
-        counts, F.lit(float(false_positive_cost)), F.lit(float(false_negative_cost))
+        counts, double_text(false_positive_cost), double_text(false_negative_cost)
     ).select(*runs, F.lit(float(threshold)).alias("threshold"), *CONFUSION_COLUMNS)
 
 
-def _squared_error() -> Column:
-    s = F.col("score")
-    return F.col("pos") * (s - 1.0) * (s - 1.0) + (F.col("n") - F.col("pos")) * s * s
+SQUARED_ERROR = "pos * (score - 1D) * (score - 1D) + (n - pos) * score * score"
+BRIER = f"sum({SQUARED_ERROR}) / sum(n)"
+BIAS = "sum(score * n) / sum(n) - sum(pos) / sum(n)"
 
 
 def brier_and_bias(frame: DataFrame, runs: Sequence[str] = ()) -> DataFrame:
     """Brier score, and mean score minus mean label."""
     return score_histogram(frame, runs).groupBy(*runs).agg(
-        (F.sum(_squared_error()) / F.sum("n")).alias("brier_score"),
-        (F.sum(F.col("score") * F.col("n")) / F.sum("n") - F.sum("pos") / F.sum("n")).alias(
-            "calibration_bias"
-        ),
+        F.expr(BRIER).alias("brier_score"), F.expr(BIAS).alias("calibration_bias")
     )
 
 
-def score_bin(bins: int) -> Column:
-    return F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
+def score_bin(bins: int) -> str:
+    return f"cast(least(floor(score * {bins}), {bins - 1}) as int)"
 
 
 def calibration_error(frame: DataFrame, *, bins: int = 10, runs: Sequence[str] = ()) -> DataFrame:
@@ -131,7 +141,7 @@ def calibration_error(frame: DataFrame, *, bins: int = 10, runs: Sequence[str] =
         raise ContractError("at least two bins are needed")
     return (
         score_histogram(frame, runs)
-        .groupBy(*runs, score_bin(bins).alias("bin"))
+        .groupBy(*runs, F.expr(score_bin(bins)).alias("bin"))
         .agg(
             F.sum("n").alias("n"),
             F.sum("pos").alias("pos"),
@@ -148,21 +158,20 @@ def calibration_error(frame: DataFrame, *, bins: int = 10, runs: Sequence[str] =
 
 def roc_auc_sum() -> Column:
     """Aggregate over the sweep: area under the ROC curve, ties counting half."""
-    neg = F.col("n") - F.col("pos")
-    cum_neg = F.col("cum_n") - F.col("cum_pos")
-    all_neg = F.col("all_n") - F.col("all_pos")
-    wins = F.col("pos").cast("double") * ((all_neg - cum_neg).cast("double") + neg / F.lit(2.0))
-    pairs = F.max(F.col("all_pos")).cast("double") * F.max(all_neg).cast("double")
-    return F.when(pairs != 0, F.sum(wins) / F.when(pairs != 0, pairs))
+    pairs = "cast(max(all_pos) as double) * cast(max(all_n - all_pos) as double)"
+    wins = (
+        "cast(pos as double)"
+        " * (cast(all_n - all_pos - cum_n + cum_pos as double) + (n - pos) / 2D)"
+    )
+    return F.expr(f"sum({wins}) / nullif({pairs}, 0D)")
 
 
 def average_precision_sum() -> Column:
     """Aggregate over the sweep: step sum of precision over the gain in recall."""
-    return F.when(
-        F.max("all_pos") > 0,
-        F.sum(F.col("pos").cast("double") * F.col("cum_pos") / F.col("cum_n"))
-        / F.when(F.max("all_pos") > 0, F.max("all_pos")),
-    ).otherwise(0.0)
+    return F.expr(
+        "coalesce(sum(cast(pos as double) * cum_pos / cum_n)"
+        " / nullif(cast(max(all_pos) as double), 0D), 0D)"
+    )
 
 
 def roc_auc(frame: DataFrame, runs: Sequence[str] = ()) -> DataFrame:
@@ -204,15 +213,10 @@ BUDGET_COLUMNS = (
 
 def _boundary_struct(fraction: float) -> Column:
     """Aggregate over the sweep: the block in which the budget ends."""
-    k = F.greatest(F.lit(1), F.ceil(F.col("all_n") * F.lit(float(fraction))))
-    return F.min(
-        F.when(
-            F.col("cum_n") >= k,
-            F.struct(
-                F.col("cum_n"), F.col("score"), F.col("n"), F.col("pos"), F.col("cum_pos"),
-                F.col("all_pos"), F.col("all_n"), k.cast("bigint").alias("k"),
-            ),
-        )
+    k = f"cast(greatest(1, ceil(all_n * {double_text(fraction)})) as bigint)"
+    return F.expr(
+        f"min(case when cum_n >= {k} then named_struct('cum_n', cum_n, 'score', score, 'n', n,"
+        f" 'pos', pos, 'cum_pos', cum_pos, 'all_pos', all_pos, 'all_n', all_n, 'k', {k}) end)"
     )
 
 
@@ -243,27 +247,24 @@ def _budget_columns(
         .agg(F.max("cum_label").alias("_taken_pos"))
     )
     full = side_by_side([blocks, taken], runs)
-    e = F.col("edge")
-    k = e["k"]
-    positives = F.coalesce(F.col("_taken_pos"), e["pos"]) + e["cum_pos"] - e["pos"]
-    precision = positives.cast("double") / k
-    prevalence = e["all_pos"].cast("double") / e["all_n"]
-    return full.withColumns(
-        {
-            "budget_selected_rows": k,
-            "budget_selected_positives": positives,
-            "budget_fraction": F.lit(float(fraction)),
-            "budget_tie_break_policy": F.lit(BUDGET_TIE_POLICY),
-            "budget_boundary_score": e["score"],
-            "budget_boundary_tie_rows": e["n"],
-            "budget_selected_from_boundary_tie": F.col("_take"),
-            "precision_at_budget": precision,
-            "recall_at_budget": ratio(positives, e["all_pos"]),
-            "lift_at_budget": F.when(e["all_pos"] == 0, 0.0).otherwise(
-                precision / F.when(e["all_pos"] != 0, prevalence)
-            ),
-        }
-    ).drop("edge", "_take", "_taken_pos")
+    positives = "coalesce(_taken_pos, edge.pos) + edge.cum_pos - edge.pos"
+    precision = f"cast({positives} as double) / edge.k"
+    expressions = {
+        "budget_selected_rows": "edge.k",
+        "budget_selected_positives": positives,
+        "budget_fraction": double_text(fraction),
+        "budget_tie_break_policy": f"'{BUDGET_TIE_POLICY}'",
+        "budget_boundary_score": "edge.score",
+        "budget_boundary_tie_rows": "edge.n",
+        "budget_selected_from_boundary_tie": "_take",
+        "precision_at_budget": precision,
+        "recall_at_budget": ratio_text(positives, "edge.all_pos"),
+        "lift_at_budget": f"coalesce({precision}"
+        " / nullif(cast(edge.all_pos as double) / edge.all_n, 0D), 0D)",
+    }
+    return full.withColumns({name: F.expr(text) for name, text in expressions.items()}).drop(
+        "edge", "_take", "_taken_pos"
+    )
 
 
 def _require_order(frame: DataFrame) -> None:
@@ -310,7 +311,7 @@ def confusion_at(
         )
     )
     return with_confusion(
-        counts, F.lit(float(false_positive_cost)), F.lit(float(false_negative_cost))
+        counts, double_text(false_positive_cost), double_text(false_negative_cost)
     ).select(*runs, "threshold", *CONFUSION_COLUMNS)
 
 
@@ -335,24 +336,17 @@ def threshold_free_metrics(
     require_budget(budget_fraction)
     _require_order(frame)
     profile = profile or profile_scores(frame, order="row_id")
-    at = score_bin(bins)
     # The bins are few, so their sums are columns of the same aggregate.
-    gaps = [
-        F.abs(
-            F.sum(F.when(at == b, F.col("pos") - F.col("score") * F.col("n")).otherwise(0.0))
-        )
+    gap = " + ".join(
+        f"abs(sum(case when {score_bin(bins)} = {b} then pos - score * n else 0D end))"
         for b in range(bins)
-    ]
-    gap = gaps[0]
-    for g in gaps[1:]:
-        gap = gap + g
-    n = F.sum("n")
+    )
     blocks = threshold_sweep(frame, runs, profile=profile).groupBy(*runs).agg(
         roc_auc_sum().alias("roc_auc"),
         average_precision_sum().alias("average_precision"),
-        (F.sum(_squared_error()) / n).alias("brier_score"),
-        (F.sum(F.col("score") * F.col("n")) / n - F.sum("pos") / n).alias("calibration_bias"),
-        (gap / n).alias("expected_calibration_error"),
+        F.expr(BRIER).alias("brier_score"),
+        F.expr(BIAS).alias("calibration_bias"),
+        F.expr(f"({gap}) / sum(n)").alias("expected_calibration_error"),
         _boundary_struct(budget_fraction).alias("edge"),
     )
     return _budget_columns(blocks, frame, runs, budget_fraction, profile.order_points)

@@ -22,8 +22,10 @@ LEAST_BUCKETS = 8
 
 def quantile_points(column: str) -> Column:
     """Aggregate: evenly spaced approximate quantiles of a numeric column."""
-    steps = [i / QUANTILES for i in range(1, QUANTILES)]
-    return F.percentile_approx(F.col(column).cast("double"), steps, 10 * QUANTILES)
+    steps = ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES))
+    return F.expr(
+        f"percentile_approx(cast(`{column}` as double), array({steps}), {10 * QUANTILES})"
+    )
 
 
 def split_points(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
-from tidemark.operators.metrics import cost_per_1000, require_costs
+from tidemark.operators.metrics import cost_per_1000, double_text, require_costs
 from tidemark.operators.scores import ScoreProfile, profile_scores, threshold_sweep
 
 OBJECTIVE = "minimize_expected_misclassification_cost"
@@ -52,58 +52,52 @@ class Policy:
         return self.false_positive_cost / (self.false_positive_cost + self.false_negative_cost)
 
 
-def next_up(value: Column) -> Column:
-    """The next double above ``value``."""
-    return F.java_method(F.lit("java.lang.Math"), F.lit("nextUp"), value).cast("double")
+def next_up(value: str) -> str:
+    """The next double above ``value``, as SQL text."""
+    return f"cast(java_method('java.lang.Math', 'nextUp', {value}) as double)"
 
 
-def _policy_struct(policy: Policy, i: int) -> Column:
-    """The fifteen choice columns from the aggregates numbered ``i``."""
-    n, pos = F.col("all_n"), F.col("all_pos")
-    none = F.struct(
-        cost_per_1000(
-            F.lit(0), pos, n, F.lit(float(policy.false_positive_cost)),
-            F.lit(float(policy.false_negative_cost)),
-        ).alias("cost"),
-        (-next_up(F.col("top_score"))).alias("minus_score"),
-        F.lit(0).cast("bigint").alias("selected"),
-        F.lit(0).cast("bigint").alias("ties"),
+def _policy_struct(policy: Policy, i: int, cost: int, limit: str | None) -> str:
+    """The fifteen choice columns from the aggregates numbered ``i``, as SQL text."""
+    fp_cost, fn_cost = double_text(policy.false_positive_cost), double_text(
+        policy.false_negative_cost
     )
     # least() skips nulls, so a policy whose first block is too large falls back to none.
-    best = F.least(F.col(f"best_{i}"), none)
-    free = F.least(F.col(f"free_{i}"), none)
-    ceiling = policy.max_selection_fraction
-    null = F.lit(None).cast("bigint")
-    if ceiling is None:
-        limit, unused, frontier, frontier_unused, following = (null,) * 5
-        binding = F.lit(False)
-    else:
-        limit = F.floor(n * F.lit(float(ceiling))).cast("bigint")
-        unused = limit - best["selected"]
-        frontier = F.coalesce(F.col(f"frontier_{i}"), F.lit(0).cast("bigint"))
-        frontier_unused = limit - frontier
-        following = F.col(f"next_{i}.n")
-        binding = free["selected"] > limit
+    best, free = f"least(best_{i}, none_{cost})", f"least(free_{i}, none_{cost})"
+    null = "cast(null as bigint)"
     values = {
-        "threshold": -best["minus_score"],
-        "expected_cost_per_1000": best["cost"],
-        "false_positive_cost": F.lit(float(policy.false_positive_cost)),
-        "false_negative_cost": F.lit(float(policy.false_negative_cost)),
-        "selected_rows": best["selected"],
-        "selection_rate": best["selected"].cast("double") / n,
-        "objective": F.lit(OBJECTIVE),
-        "max_selection_fraction": F.lit(ceiling).cast("double"),
-        "max_selected_rows": limit,
-        "policy_unused_capacity_rows": unused,
-        "capacity_binding": binding,
-        "max_feasible_selected_rows": frontier,
-        "frontier_unused_capacity_rows": frontier_unused,
-        "cutoff_tie_rows": best["ties"],
-        "next_infeasible_tie_rows": following,
+        "threshold": f"-{best}.minus_score",
+        "expected_cost_per_1000": f"{best}.cost",
+        "false_positive_cost": fp_cost,
+        "false_negative_cost": fn_cost,
+        "selected_rows": f"{best}.selected",
+        "selection_rate": f"cast({best}.selected as double) / all_n",
+        "objective": f"'{OBJECTIVE}'",
+        "cutoff_tie_rows": f"{best}.ties",
     }
-    return F.struct(
-        F.lit(i).alias("policy_id"), *[values[name].alias(name) for name in CHOICE_COLUMNS]
-    )
+    if limit is None:
+        values |= {
+            "max_selection_fraction": "cast(null as double)",
+            "max_selected_rows": null,
+            "policy_unused_capacity_rows": null,
+            "capacity_binding": "false",
+            "max_feasible_selected_rows": null,
+            "frontier_unused_capacity_rows": null,
+            "next_infeasible_tie_rows": null,
+        }
+    else:
+        frontier = f"coalesce(frontier_{i}, 0L)"
+        values |= {
+            "max_selection_fraction": double_text(policy.max_selection_fraction),
+            "max_selected_rows": limit,
+            "policy_unused_capacity_rows": f"{limit} - {best}.selected",
+            "capacity_binding": f"{free}.selected > {limit}",
+            "max_feasible_selected_rows": frontier,
+            "frontier_unused_capacity_rows": f"{limit} - {frontier}",
+            "next_infeasible_tie_rows": f"next_{i}.n",
+        }
+    fields = ", ".join(f"'{name}', {values[name]}" for name in CHOICE_COLUMNS)
+    return f"named_struct('policy_id', {i}, {fields})"
 
 
 def choose_thresholds(
@@ -124,42 +118,52 @@ def choose_thresholds(
     profile = profile or profile_scores(frame)
     costs = sorted({(p.false_positive_cost, p.false_negative_cost) for p in policies})
     ceilings = sorted({p.max_selection_fraction for p in policies} - {None})
-    candidate, limit = {}, {}
-    work = {"_minus_score": -F.col("score")}
-    for i, (fp_cost, fn_cost) in enumerate(costs):
-        candidate[fp_cost, fn_cost] = F.struct(
-            F.col(f"_cost_{i}").alias("cost"), F.col("_minus_score").alias("minus_score"),
-            F.col("cum_n").alias("selected"), F.col("n").alias("ties"),
-        )
-        work[f"_cost_{i}"] = cost_per_1000(
-            F.col("cum_n") - F.col("cum_pos"), F.col("all_pos") - F.col("cum_pos"),
-            F.col("all_n"), F.lit(float(fp_cost)), F.lit(float(fn_cost)),
-        )
+    text = [(double_text(fp), double_text(fn)) for fp, fn in costs]
+    work = {"_minus_score": "-score"}
+    for i, (fp, fn) in enumerate(text):
+        work[f"_cost_{i}"] = cost_per_1000("cum_n - cum_pos", "all_pos - cum_pos", "all_n", fp, fn)
     for i, ceiling in enumerate(ceilings):
-        limit[ceiling] = F.col(f"_limit_{i}")
-        work[f"_limit_{i}"] = F.floor(F.col("all_n") * F.lit(float(ceiling)))
-    sweep = threshold_sweep(frame, runs, profile=profile).withColumns(work)
-    aggregates = [
-        F.max("all_n").alias("all_n"),
-        F.max("all_pos").alias("all_pos"),
-        F.max("score").alias("top_score"),
-    ]
+        work[f"_limit_{i}"] = f"floor(all_n * {double_text(ceiling)})"
+    sweep = threshold_sweep(frame, runs, profile=profile).withColumns(
+        {name: F.expr(sql) for name, sql in work.items()}
+    )
+    aggregates = {
+        "all_n": "max(all_n)", "all_pos": "max(all_pos)", "top_score": "max(score)",
+        **{f"_limit_{i}": f"max(_limit_{i})" for i in range(len(ceilings))},
+    }
+    chosen = []
     # Least cost, then highest threshold; equal aggregates of several policies run once.
     for i, policy in enumerate(policies):
-        block = candidate[policy.false_positive_cost, policy.false_negative_cost]
-        aggregates.append(F.min(block).alias(f"free_{i}"))
+        cost = costs.index((policy.false_positive_cost, policy.false_negative_cost))
+        block = (
+            f"named_struct('cost', _cost_{cost}, 'minus_score', _minus_score,"
+            " 'selected', cum_n, 'ties', n)"
+        )
+        aggregates[f"free_{i}"] = f"min({block})"
         if policy.max_selection_fraction is None:
-            aggregates.append(F.min(block).alias(f"best_{i}"))
-            continue
-        fits = F.col("cum_n") <= limit[policy.max_selection_fraction]
-        aggregates += [
-            F.min(F.when(fits, block)).alias(f"best_{i}"),
-            F.max(F.when(fits, F.col("cum_n"))).alias(f"frontier_{i}"),
-            F.min(F.when(~fits, F.struct(F.col("cum_n"), F.col("n")))).alias(f"next_{i}"),
-        ]
-    best = sweep.groupBy(*runs).agg(*aggregates)
-    choices = F.array(*[_policy_struct(p, i) for i, p in enumerate(policies)])
-    return best.select(*runs, F.inline(choices))
+            limit = None
+            aggregates[f"best_{i}"] = f"min({block})"
+        else:
+            limit = f"_limit_{ceilings.index(policy.max_selection_fraction)}"
+            aggregates |= {
+                f"best_{i}": f"min(case when cum_n <= {limit} then {block} end)",
+                f"frontier_{i}": f"max(case when cum_n <= {limit} then cum_n end)",
+                f"next_{i}":
+                    f"min(case when cum_n > {limit} then named_struct('c', cum_n, 'n', n) end)",
+            }
+        chosen.append(_policy_struct(policy, i, cost, limit))
+    none = {
+        f"none_{i}": "named_struct('cost', "
+        + cost_per_1000("0", "all_pos", "all_n", fp, fn)
+        + f", 'minus_score', -{next_up('top_score')}, 'selected', 0L, 'ties', 0L)"
+        for i, (fp, fn) in enumerate(text)
+    }
+    return (
+        sweep.groupBy(*runs)
+        .agg(*[F.expr(sql).alias(name) for name, sql in aggregates.items()])
+        .withColumns({name: F.expr(sql) for name, sql in none.items()})
+        .select(*runs, F.expr(f"inline(array({', '.join(chosen)}))"))
+    )
 
 
 def select_threshold(
@@ -180,30 +184,23 @@ def candidate_thresholds(frame: DataFrame, *, policy: Policy = Policy()) -> Data
     policy.check()
     sweep = threshold_sweep(frame)
     first = sweep.agg(
-        next_up(F.max("score")).alias("threshold"),
-        F.lit(0).cast("bigint").alias("tie_rows"),
-        F.lit(0).cast("bigint").alias("selected_rows"),
-        F.lit(0).cast("bigint").alias("true_positives"),
+        F.expr(next_up("max(score)")).alias("threshold"),
+        F.expr("0L").alias("tie_rows"),
+        F.expr("0L").alias("selected_rows"),
+        F.expr("0L").alias("true_positives"),
         F.max("all_pos").alias("all_pos"),
         F.max("all_n").alias("all_n"),
     )
-    rest = sweep.select(
-        F.col("score").alias("threshold"), F.col("n").alias("tie_rows"),
-        F.col("cum_n").alias("selected_rows"), F.col("cum_pos").alias("true_positives"),
-        "all_pos", "all_n",
+    rest = sweep.selectExpr(
+        "score as threshold", "n as tie_rows", "cum_n as selected_rows",
+        "cum_pos as true_positives", "all_pos", "all_n",
     )
-    fp = F.col("selected_rows") - F.col("true_positives")
-    fn = F.col("all_pos") - F.col("true_positives")
-    return first.unionByName(rest).select(
-        "threshold",
-        "tie_rows",
-        "selected_rows",
-        fp.alias("false_positives"),
-        fn.alias("false_negatives"),
-        cost_per_1000(
-            fp, fn, F.col("all_n"), F.lit(float(policy.false_positive_cost)),
-            F.lit(float(policy.false_negative_cost)),
-        ).alias("expected_cost_per_1000"),
+    fp, fn = "selected_rows - true_positives", "all_pos - true_positives"
+    cost = cost_per_1000(
+        fp, fn, "all_n", double_text(policy.false_positive_cost),
+        double_text(policy.false_negative_cost),
+    )
+    return first.unionByName(rest).selectExpr(
+        "threshold", "tie_rows", "selected_rows", f"{fp} as false_positives",
+        f"{fn} as false_negatives", f"{cost} as expected_cost_per_1000",
     )
-
-

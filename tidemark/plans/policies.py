@@ -17,6 +17,7 @@ from tidemark.errors import ContractError
 from tidemark.operators.metrics import (
     CONFUSION_COLUMNS,
     RANKING_COLUMNS,
+    double_text,
     threshold_free_metrics,
     with_confusion,
 )
@@ -100,9 +101,9 @@ def primary_cost(false_negative_costs: Sequence[float]) -> float:
     return false_negative_costs[0]
 
 
-def _per_policy(policies: Sequence[Policy], value) -> Column:
-    """Look up a literal by ``policy_id``."""
-    return F.array(*[F.lit(value(p)) for p in policies])[F.col("policy_id")]
+def _per_policy(values: Sequence[str]) -> str:
+    """Look up a literal by ``policy_id``, as SQL text."""
+    return f"array({', '.join(values)})[policy_id]"
 
 
 def frozen_thresholds(
@@ -131,49 +132,43 @@ def policy_runs(
         F.sort_array(F.collect_list(F.struct("policy_id", "threshold")))["threshold"].alias("cuts")
     )
     literal = sorted({FIXED_THRESHOLD, *[p.theoretical_threshold for p in policies]})
-    at = {("cut", i): F.col("cuts")[i] for i in range(len(policies))}
-    at |= {("lit", value): F.lit(value) for value in literal}
-    names = {key: f"_{i}" for i, key in enumerate(at)}
+    cuts = [f"cuts[{i}]" for i in range(len(policies))] + [double_text(v) for v in literal]
     # One row per run: a bounded broadcast.
     counts = (
         score_histogram(test, runs)
         .join(F.broadcast(frozen), runs)
         .groupBy(*runs)
         .agg(
-            F.first("cuts").alias("cuts"),
-            F.sum("pos").alias("all_pos"),
-            F.sum("n").alias("all_n"),
             *[
-                F.struct(
-                    F.coalesce(F.sum(F.when(F.col("score") >= cut, F.col("pos"))), F.lit(0))
-                    .alias("tp"),
-                    F.coalesce(F.sum(F.when(F.col("score") >= cut, F.col("n"))), F.lit(0))
-                    .alias("selected"),
-                ).alias(names[key])
-                for key, cut in at.items()
-            ],
+                F.expr(sql)
+                for sql in (
+                    "first(cuts) as cuts", "sum(pos) as all_pos", "sum(n) as all_n",
+                    *[
+                        f"coalesce(sum(case when score >= {cut} then {what} end), 0L)"
+                        f" as {name}_{i}"
+                        for i, cut in enumerate(cuts)
+                        for what, name in (("pos", "tp"), ("n", "selected"))
+                    ],
+                )
+            ]
         )
     )
     lines = []
     for i, policy in enumerate(policies):
-        for role, key in (
-            (SELECTED, ("cut", i)),
-            (FIXED, ("lit", FIXED_THRESHOLD)),
-            (THEORETICAL, ("lit", policy.theoretical_threshold)),
-        ):
-            count = F.col(names[key])
-            lines.append(
-                F.struct(
-                    F.lit(i).alias("policy_id"), F.lit(role).alias("role"),
-                    at[key].alias("threshold"), count["tp"].alias("tp"),
-                    count["selected"].alias("selected"),
-                )
-            )
-    long = counts.select(*runs, "all_pos", "all_n", F.inline(F.array(*lines)))
+        at = {
+            SELECTED: i,
+            FIXED: len(policies) + literal.index(FIXED_THRESHOLD),
+            THEORETICAL: len(policies) + literal.index(policy.theoretical_threshold),
+        }
+        lines += [
+            f"named_struct('policy_id', {i}, 'role', '{role}', 'threshold', {cuts[j]},"
+            f" 'tp', tp_{j}, 'selected', selected_{j})"
+            for role, j in at.items()
+        ]
+    long = counts.select(*runs, "all_pos", "all_n", F.expr(f"inline(array({', '.join(lines)}))"))
+    fn_cost = _per_policy([double_text(p.false_negative_cost) for p in policies])
     judged = with_confusion(
-        long,
-        _per_policy(policies, lambda p: float(p.false_positive_cost)),
-        _per_policy(policies, lambda p: float(p.false_negative_cost)),
+        long, _per_policy([double_text(p.false_positive_cost) for p in policies]), fn_cost
     )
     free = threshold_free_metrics(test, runs=runs, profile=profile).select(
         *runs, *RANKING_COLUMNS
@@ -181,24 +176,26 @@ def policy_runs(
     rate = choices.select(
         *runs, "policy_id", F.col("selection_rate").alias("validation_selection_rate")
     )
-    ceiling = _per_policy(policies, lambda p: p.max_selection_fraction).cast("double")
+    fractions = [p.max_selection_fraction for p in policies]
+    ceiling = _per_policy(
+        ["cast(null as double)" if f is None else double_text(f) for f in fractions]
+    )
+    names = _per_policy([f"'{policy_name(f)}'" for f in fractions])
     return (
         judged.join(F.broadcast(free), runs)
         .join(F.broadcast(rate), [*runs, "policy_id"])
-        .select(
+        .selectExpr(
             *runs,
             "policy_id",
-            _per_policy(policies, lambda p: policy_name(p.max_selection_fraction)).alias("policy"),
-            _per_policy(policies, lambda p: float(p.false_negative_cost)).alias(
-                "false_negative_cost"
-            ),
-            ceiling.alias("ceiling"),
+            f"{names} as policy",
+            f"{fn_cost} as false_negative_cost",
+            f"{ceiling} as ceiling",
             "role",
             "threshold",
             "validation_selection_rate",
             *CONFUSION_COLUMNS,
             *RANKING_COLUMNS,
-            F.coalesce(F.col("selection_rate") > ceiling, F.lit(False)).alias("ceiling_exceeded"),
+            f"coalesce(selection_rate > {ceiling}, false) as ceiling_exceeded",
         )
     )
 
@@ -217,43 +214,40 @@ def policy_comparison(judged: DataFrame, *, runs: Sequence[str] = ("seed",)) ->
             for role in ROLES
         ]
     )
-    s, f, t = (F.col(role) for role in ROLES)
-    cost = "expected_cost_per_1000"
-
-    def relative(other: Column) -> Column:
-        return F.when(other[cost] == 0, 0.0).otherwise(
-            (other[cost] - s[cost]) / F.when(other[cost] != 0, other[cost])
-        )
-
+    s = SELECTED
+    saved = f"{{0}}.expected_cost_per_1000 - {s}.expected_cost_per_1000"
     values = {
-        "threshold": s["threshold"],
-        "validation_selection_rate": s["validation_selection_rate"],
-        "test_selection_rate": s["selection_rate"],
-        "test_precision": s["precision"],
-        "test_recall": s["recall"],
-        "test_f1": s["f1"],
-        "test_brier_score": s["brier_score"],
-        "test_calibration_error": s["expected_calibration_error"],
-        "theoretical_threshold": t["threshold"],
-        "selected_cost_per_1000": s[cost],
+        "threshold": f"{s}.threshold",
+        "validation_selection_rate": f"{s}.validation_selection_rate",
+        "test_selection_rate": f"{s}.selection_rate",
+        "test_precision": f"{s}.precision",
+        "test_recall": f"{s}.recall",
+        "test_f1": f"{s}.f1",
+        "test_brier_score": f"{s}.brier_score",
+        "test_calibration_error": f"{s}.expected_calibration_error",
+        "theoretical_threshold": f"{THEORETICAL}.threshold",
+        "selected_cost_per_1000": f"{s}.expected_cost_per_1000",
+        "validation_selected_exceeded": f"{s}.ceiling_exceeded",
     }
-    for name, other in (("fixed_0_50", f), ("theoretical", t)):
+    for name, other in (("fixed_0_50", FIXED), ("theoretical", THEORETICAL)):
         values |= {
-            f"{name}_precision": other["precision"],
-            f"{name}_recall": other["recall"],
-            f"{name}_f1": other["f1"],
-            f"{name}_selection_rate": other["selection_rate"],
-            f"{name}_cost_per_1000": other[cost],
-            f"cost_reduction_vs_{name}": relative(other),
-            f"absolute_reduction_vs_{name}": other[cost] - s[cost],
-            f"false_negatives_avoided_vs_{name}": other["false_negatives"] - s["false_negatives"],
+            f"{name}_precision": f"{other}.precision",
+            f"{name}_recall": f"{other}.recall",
+            f"{name}_f1": f"{other}.f1",
+            f"{name}_selection_rate": f"{other}.selection_rate",
+            f"{name}_cost_per_1000": f"{other}.expected_cost_per_1000",
+            f"cost_reduction_vs_{name}": "coalesce(({0}) / nullif({1}, 0D), 0D)".format(
+                saved.format(other), f"{other}.expected_cost_per_1000"
+            ),
+            f"absolute_reduction_vs_{name}": saved.format(other),
+            f"false_negatives_avoided_vs_{name}":
+                f"{other}.false_negatives - {s}.false_negatives",
             f"additional_false_positives_vs_{name}":
-                s["false_positives"] - other["false_positives"],
-            f"{name}_exceeded": other["ceiling_exceeded"],
-            f"vs_{name}_feasible": ~(s["ceiling_exceeded"] | other["ceiling_exceeded"]),
+                f"{s}.false_positives - {other}.false_positives",
+            f"{name}_exceeded": f"{other}.ceiling_exceeded",
+            f"vs_{name}_feasible": f"not ({s}.ceiling_exceeded or {other}.ceiling_exceeded)",
         }
-    values["validation_selected_exceeded"] = s["ceiling_exceeded"]
-    return wide.select(*keys, *[value.alias(name) for name, value in values.items()])
+    return wide.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in values.items()])
 
 
 def _policy_keys(groups: Sequence[str]) -> list[str]:
