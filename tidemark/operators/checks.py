@@ -10,7 +10,7 @@ from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
@@ -39,24 +39,23 @@ def broken_unless(valid: Column) -> Column:
 def violation_rows(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(position, table, rule, violations), one row per rule, from one aggregate."""
     wide = frame.agg(*[rule.count.alias(f"_{i}") for i, rule in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(rule.position).alias("position"),
-            F.lit(rule.table).alias("table"),
-            F.lit(rule.name).alias("rule"),
-            F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("violations"),
-        )
+    lines = ", ".join(
+        f"named_struct('position', {rule.position}, 'table', '{rule.table}',"
+        f" 'rule', '{rule.name}', 'violations', cast(coalesce(_{i}, 0) as bigint))"
         for i, rule in enumerate(rules)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    )
+    return wide.select(F.expr(f"inline(array({lines}))"))
 
 
 def raise_first(violations: DataFrame, error: type[ContractError] = ContractError) -> None:
     """Run the counters and raise the first broken rule. The result has one row per rule."""
-    rows = sorted(violations.where("violations > 0").collect(), key=lambda r: r["position"])
-    if rows:
-        worst = rows[0]
-        raise error(f"{worst['table']}: {worst['rule']}; count={worst['violations']}")
+    worst = violations.where("violations > 0").orderBy("position").limit(1).first()
+    if worst is not None:
+        raise_violation(worst, error)
+
+
+def raise_violation(row: Row, error: type[ContractError] = ContractError) -> None:
+    raise error(f"{row['table']}: {row['rule']}; count={row['violations']}")
 
 
 def require_unique_columns(

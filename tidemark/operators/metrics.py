@@ -15,6 +15,7 @@ from tidemark.operators.scores import (
     ScoreProfile,
     profile_scores,
     ratio,
+    require_sound_scores,
     score_histogram,
     threshold_sweep,
 )
@@ -102,10 +103,13 @@ def confusion(
     false_positive_cost: float = 1.0,
     false_negative_cost: float = 10.0,
     runs: Sequence[str] = (),
+    validate: bool = True,
 ) -> DataFrame:
     """Confusion counts, rates and cost at ``score >= threshold``."""
     require_costs(false_positive_cost, false_negative_cost)
     require_threshold(threshold)
+    if validate:
+        require_sound_scores(frame)
     label = F.col("label").cast("bigint")
     above = F.col("score") >= F.lit(float(threshold))
     counts = frame.groupBy(*runs).agg(
@@ -124,8 +128,12 @@ BRIER = f"sum({SQUARED_ERROR}) / sum(n)"
 BIAS = "sum(score * n) / sum(n) - sum(pos) / sum(n)"
 
 
-def brier_and_bias(frame: DataFrame, runs: Sequence[str] = ()) -> DataFrame:
+def brier_and_bias(
+    frame: DataFrame, runs: Sequence[str] = (), *, validate: bool = True
+) -> DataFrame:
     """Brier score, and mean score minus mean label."""
+    if validate:
+        require_sound_scores(frame)
     return score_histogram(frame, runs).groupBy(*runs).agg(
         F.expr(BRIER).alias("brier_score"), F.expr(BIAS).alias("calibration_bias")
     )
@@ -135,10 +143,14 @@ def score_bin(bins: int) -> str:
     return f"cast(least(floor(score * {bins}), {bins - 1}) as int)"
 
 
-def calibration_error(frame: DataFrame, *, bins: int = 10, runs: Sequence[str] = ()) -> DataFrame:
+def calibration_error(
+    frame: DataFrame, *, bins: int = 10, runs: Sequence[str] = (), validate: bool = True
+) -> DataFrame:
     """Expected calibration error over equal-width bins, the last one closed."""
     if bins < 2:
         raise ContractError("at least two bins are needed")
+    if validate:
+        require_sound_scores(frame)
     return (
         score_histogram(frame, runs)
         .groupBy(*runs, F.expr(score_bin(bins)).alias("bin"))
@@ -371,7 +383,7 @@ def evaluate(
     free = threshold_free_metrics(frame, runs=runs, budget_fraction=budget_fraction)
     at = confusion(
         frame, threshold, false_positive_cost=false_positive_cost,
-        false_negative_cost=false_negative_cost, runs=runs,
+        false_negative_cost=false_negative_cost, runs=runs, validate=False,
     )
     return side_by_side([free, at], runs).select(*runs, *METRIC_COLUMNS)
 

@@ -83,7 +83,7 @@ def preprocess_parameters(frame: DataFrame, features: Sequence[str]) -> DataFram
                 levels.alias("levels"), number[0].alias("median"), number[1].alias("mean"), number[2].alias("variance"),
             ).alias(f"_{i}")
         )
-    share = (F.col("rows") - F.col("present")) / F.col("rows")
+    share = F.expr("(rows - present) / nullif(rows, 0)")
     gap = F.col("median") - F.col("mean")
     return (
         frame.agg(*lines)

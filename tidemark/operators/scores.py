@@ -109,4 +109,8 @@ def ratio(top: Column, bottom: Column, empty: float | None = 0.0) -> Column:
 
 
 def require_sound_scores(frame: DataFrame) -> None:
-    raise_first(score_violations(frame))
+    """Fail on an empty table and on the first broken score rule, in one pass."""
+    size = Rule(
+        -1, "scores", "no rows", F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
+    )
+    raise_first(violation_rows(frame, [size, *score_rules()]))
