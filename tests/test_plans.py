@@ -68,11 +68,20 @@ def test_rows_are_never_gathered_in_one_task(tables):
     assert "_bucket" in before.split("HashAggregate")[1]
 
 
-def test_pit_shuffles_events_once(tables):
-    """Events meet the window by session; there is no join of requests with events."""
-    text = plan(pit.point_in_time_features(tables[0]))
-    assert text.count("Join") == 1
-    assert text.count("Window [") == 1 or text.count("Window") >= 1
+def test_the_histogram_is_built_once(tables):
+    """Bucket totals and the rows themselves share the shuffle by score."""
+    frame = scores.threshold_sweep(tables[1], profile=scores.profile_scores(tables[1]))
+    frame.collect()
+    final = plan(frame).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    # The other branch reads no file of its own.
+    assert final.count("FileScan") == 1
+    assert "ShuffledHashJoin" in final
+
+
+def test_events_and_requests_are_not_joined(tables):
+    """They meet in one window by session; the only join adds the session columns."""
+    assert plan(pit.point_in_time_features(tables[0])).count("Join") == 1
 
 
 def test_split_does_not_shuffle_the_rows(tables):

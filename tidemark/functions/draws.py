@@ -36,24 +36,27 @@ def normal(key: Column, salt: str, seed: Column | int) -> Column:
 
 
 def draw_block(key: Column, block: Column, seed: int) -> Column:
-    """Eight 32-bit draws from one SHA-256 digest, as an array of longs."""
+    """Eight 32-bit draws from one SHA-256 digest, as an array of eight-digit hex texts."""
     text = F.concat_ws(":", key.cast("string"), block.cast("string"), F.lit(str(seed)))
     digest = F.sha2(text, 256)
-    return F.array(*[_hex_number(digest, 1 + 8 * i, 8) for i in range(DRAWS_PER_DIGEST)])
+    return F.array(*[F.substring(digest, 1 + 8 * i, 8) for i in range(DRAWS_PER_DIGEST)])
 
 
-def poisson_cuts(terms: int = 13) -> list[int]:
-    """32-bit cut points of the Poisson(1) distribution function."""
+def poisson_cuts(terms: int = 13) -> list[str]:
+    """Cut points of the Poisson(1) distribution function as eight-digit hex texts."""
     cuts, mass, total = [], math.exp(-1.0), 0.0
     for k in range(terms):
         total += mass
-        cuts.append(int(total * (1 << 32)))
+        cuts.append(f"{int(total * (1 << 32)):08x}")
         mass /= k + 1
     return cuts
 
 
 def poisson_count(draw: Column) -> Column:
-    """Poisson(1) count of a 32-bit draw by inverting the distribution function."""
+    """Poisson(1) count of a hex draw by inverting the distribution function.
+
+    Hex texts of one length sort like their numbers, so no number is parsed.
+    """
     cuts = poisson_cuts()
     out = F.when(draw < cuts[0], 0)
     for k, cut in enumerate(cuts[1:], start=1):

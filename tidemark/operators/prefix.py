@@ -58,7 +58,10 @@ def with_bucket(frame: DataFrame, by: str, points: Sequence[float], name: str) -
     splits = [-math.inf, *points, math.inf]
     placed = frame.withColumn("_by", F.col(by).cast("double"))
     tool = Bucketizer(splits=splits, inputCol="_by", outputCol=name)
-    return tool.transform(placed).drop("_by").withColumn(name, F.col(name).cast("int"))
+    # Never null: otherwise the join below would push a null test under the aggregation of one
+    # branch only, and the two branches could not share their shuffle.
+    number = F.coalesce(F.col(name).cast("int"), F.lit(0))
+    return tool.transform(placed).drop("_by").withColumn(name, number)
 
 
 def running_totals(
@@ -73,7 +76,8 @@ def running_totals(
     """Add ``cum_<m>`` (inclusive running sum) and ``all_<m>`` (total) per key group.
 
     Rows of a key group must differ in ``by``. Both the window and the join use (keys, bucket),
-    so the rows are shuffled once.
+    so the rows are shuffled once. The offsets are the hashed side, one row per key group and
+    bucket; a broadcast is not asked for, since key groups may be many.
     """
     bucket = [*keys, "_bucket"]
     placed = with_bucket(frame, by, points, "_bucket")
@@ -91,7 +95,7 @@ def running_totals(
     upto = Window.partitionBy(*bucket).orderBy(inside).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return placed.join(offsets, bucket).select(
+    return placed.join(offsets.hint("shuffle_hash"), bucket).select(
         *frame.columns,
         *[(F.col(f"_before_{m}") + F.sum(m).over(upto)).alias(f"cum_{m}") for m in measures],
         *[f"all_{m}" for m in measures],
