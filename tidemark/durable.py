@@ -18,7 +18,8 @@ def durable(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        named = "spark.checkpoint.dir"
+        folder = spark.conf.get(named, None) or context.getConf().get(named)
         if not folder:
             if not context.master.startswith("local"):
                 raise ContractError("set spark.checkpoint.dir to a shared folder")

@@ -29,6 +29,11 @@ def uniform(key: Column, salt: str, seed: Column | int) -> Column:
     return _hex_number(F.md5(_text(key, salt, seed)), 1, 13) / F.lit(_SCALE)
 
 
+def rank_draw(key: Column, salt: str, seed: Column | int) -> Column:
+    """The same draw as ``uniform`` in hex: sorts like the number, and no number is parsed."""
+    return F.substring(F.md5(_text(key, salt, seed)), 1, 13)
+
+
 def normal(key: Column, salt: str, seed: Column | int) -> Column:
     """Standard normal by the Box-Muller formula on two uniforms."""
     radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(key, salt + "/r", seed)))

@@ -79,22 +79,22 @@ def stratum_cuts(
     strata: Sequence[str],
     shares: dict[str, object],
     *,
-    buckets: int = 1 << 14,
+    digits: int = 3,
 ) -> DataFrame:
     """Where, in the order of (``draw``, ``key``), the running weight passes given shares.
 
     Strata must be few (labels, seeds, size classes): the cuts are broadcast.
-    ``frame`` has the strata columns, ``draw`` uniform on [0, 1), ``key`` and ``weight``.
+    ``frame`` has the strata columns, ``draw`` (a uniform hex text), ``key`` and ``weight``.
     ``shares`` maps a name to a function of the stratum total weight that gives the weight left
     of the cut; a row is left of it while its mid-point weight is. The result has one row per
     stratum: the strata, and for each name the columns ``<name>_draw`` and ``<name>_key`` of the
     last row to the left (null when there is none).
 
-    Draws are uniform, so equal-width buckets are even. The bucket weights tell which bucket
-    each cut lies in; only the rows of those buckets are sorted.
+    Draws are uniform, so the buckets by their first ``digits`` hex digits are even. The bucket
+    weights tell which bucket each cut lies in; only the rows of those buckets are sorted.
     """
     strata = list(strata)
-    placed = frame.withColumn("_bucket", F.floor(F.col("draw") * buckets).cast("int"))
+    placed = frame.withColumn("_bucket", F.substring("draw", 1, digits))
     sums = placed.groupBy(*strata, "_bucket").agg(F.sum("weight").alias("w"))
     per = Window.partitionBy(*strata)
     before = per.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +127,7 @@ def stratum_cuts(
     )
     # Without a row to the left inside the bucket, the whole earlier buckets are left of the cut.
     edges = wanted.groupBy(*strata, "cut").agg(
-        F.max(F.col("_bucket") / F.lit(float(buckets))).alias("edge")
+        F.max("_bucket").alias("edge")
     )
     per_cut = edges.join(near, [*strata, "cut"], "left").select(
         *strata,

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
-from tidemark.functions.draws import uniform
+from tidemark.functions.draws import rank_draw
 from tidemark.functions.text import tuple_text
 from tidemark.operators.ranking import left_of, stratum_cuts
 
+MANY_ROWS = 10**10
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
 
@@ -65,7 +66,7 @@ def stratified_split(
     }
     work = _per_seed(frame, seeds).withColumns(
         {
-            "draw": uniform(F.col(key), "stratified", F.col("seed")),
+            "draw": rank_draw(F.col(key), "stratified", F.col("seed")),
             "key": F.col(key).cast("string"),
             "weight": F.lit(1).cast("bigint"),
             "_label": F.col(label).cast("int"),
@@ -78,6 +79,8 @@ def stratified_split(
             "test": lambda _: _by_label(quota, 0),
             "validation": lambda _: _by_label(quota, 1),
         },
+        # Keeps a bucket below some ten million rows.
+        digits=3 if n < MANY_ROWS else 4,
     )
     # Two labels per seed.
     joined = work.join(F.broadcast(cuts), ["seed", "_label"])
@@ -110,7 +113,7 @@ def profile_split(
     def placed(rows: DataFrame) -> DataFrame:
         return _per_seed(rows.withColumn("key", key), seeds).withColumns(
             {
-                "draw": uniform(F.col("key"), "profile", F.col("seed")),
+                "draw": rank_draw(F.col("key"), "profile", F.col("seed")),
                 "weight": F.lit(1).cast("bigint"),
             }
         )
@@ -157,7 +160,7 @@ def grouped_split(
     rate = F.ceil(F.col("_rate") * 4).cast("int")
     work = _per_seed(
         profiles.withColumns({"_size": size, "_part": rate, "key": key}), seeds
-    ).withColumn("draw", uniform(F.col("key"), "grouped", F.col("seed")))
+    ).withColumn("draw", rank_draw(F.col("key"), "grouped", F.col("seed")))
     strata = ["seed", "_size", "_part"]
     cuts = stratum_cuts(
         work.select(*strata, "draw", "key", "weight"),
