@@ -21,9 +21,9 @@ SUPPORT = 0.001
 
 
 def digests(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and the SHA-256 of the text after lower-casing A-Z, as 32 bytes."""
+    """``doc_id`` and the SHA-256, in lower-case hex, of the text after lower-casing A-Z."""
     return bare(documents).select(
-        "doc_id", F.unhex(F.sha2(ascii_lower(F.col("text")), 256)).alias("digest")
+        "doc_id", F.sha2(ascii_lower(F.col("text")), 256).alias("digest")
     )
 
 
@@ -32,7 +32,7 @@ def frequent(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     total = rows.count()
     candidates = rows.stat.freqItems(["digest"], support).select(
         F.explode("digest_freqItems").alias("digest")
-    )
+    ).distinct()
     return (
         rows.join(F.broadcast(candidates), "digest")
         .groupBy("digest")
@@ -50,7 +50,9 @@ def exact_duplicates(documents: DataFrame, *, support: float = SUPPORT) -> DataF
     an empty result; columns other than ``doc_id`` and ``text`` are not read.
     """
     rows = written(digests(documents))
-    heavy = written(frequent(rows, support).select(F.col("digest").alias("h"), "keep_id", "group_size"))
+    heavy = written(
+        frequent(rows, support).select(F.col("digest").alias("h"), "keep_id", "group_size")
+    )
     light = rows.join(F.broadcast(heavy), F.col("digest") == F.col("h"), "left_anti")
     groups = light.groupBy(F.col("digest").alias("g")).agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
@@ -61,5 +63,5 @@ def exact_duplicates(documents: DataFrame, *, support: float = SUPPORT) -> DataF
     return resolved.select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        F.col("digest").alias("text_sha256"),
     )
