@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, exact_dedup, language_spans, quality_votes, token_counts
+from tidemark.llm import bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
+from tidemark.llm import secret_spans, token_counts
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +88,47 @@ def op5_bpe_codec(spark, folder):
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_secret_spans(spark, folder):
+    rows = secret_spans.secrets(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+@query
+def op9_decontaminate(spark, folder):
+    rows = decontamination.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+_SQL["op9_decontaminate"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+s AS (
+  SELECT item, unnest([w[i:i + 9] FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS v
+  FROM b WHERE len(w) > 0),
+n AS (SELECT DISTINCT len(v) AS n FROM s),
+p AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, n WHERE len(w) >= n),
+h AS (SELECT r, k, n, item FROM p JOIN s ON w[k:k + n - 1] = v AND len(v) = n),
+c AS (SELECT r, count(DISTINCT x) AS n_hit
+      FROM (SELECT r, unnest(range(k, k + n)) AS x FROM h) GROUP BY r),
+i AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS l
+      FROM h GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN i USING (r)
+"""
