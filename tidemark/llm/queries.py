@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
-from tidemark.llm import near_dedup, secret_spans, token_counts
+from tidemark.llm import near_dedup, repeated_bytes, secret_spans, token_counts
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,8 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN i USING (r)
 @query
 def op8_near_duplicates(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_repeated_bytes(spark, folder):
+    return repeated_bytes.removed_bytes(table(spark, folder, "documents"))
