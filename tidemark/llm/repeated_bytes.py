@@ -22,88 +22,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durable import written
-from tidemark.llm.text import bare
-from tidemark.llm.word_hash import mixed
+from tidemark.llm import repeats
+from tidemark.llm.repeats import ROW
 
 LENGTH = 100
 SEED = 28
-#: Windows of one text that are ranked at once; longer texts go in pieces that overlap.
-PIECE = 1 << 20
 
-#: Regions compared at once. A seed with more than half as many goes by rows of windows instead.
-TOGETHER = 5000
-
-_BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-_ROOM = PIECE + LENGTH
-
-
-def _powers(base: int) -> np.ndarray:
-    return np.cumprod(np.full(_ROOM, base, np.uint64)) * np.uint64(pow(base, -1, 1 << 64))
-
-
-_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
-
-
-def _sums(values: np.ndarray) -> np.ndarray:
-    """Running sums that give the hash of any range; see ``_ranges``."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _UP[: len(values)], out=out[1:])
-    return out
-
-
-def _ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mixed((sums[end] - sums[start]) * _DOWN[start] + (end - start).astype(np.uint64))
-
-
-def _all_ranges(sums: np.ndarray, size: int) -> np.ndarray:
-    n = len(sums) - size
-    return mixed((sums[size:] - sums[:n]) * _DOWN[:n] + np.uint64(size))
-
-
-def least_places(order: np.ndarray, span: int) -> np.ndarray:
-    """The least of every ``span`` successive numbers."""
-    n = len(order) - span + 1
-    blocks = -(-len(order) // span)
-    padded = np.full(blocks * span, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(order)] = order
-    grid = padded.reshape(blocks, span)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[span - 1 : span - 1 + n])
-
-
-def runs_of(grams: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window, and place of the representative, of windows that share one."""
-    low = np.uint64((1 << 24) - 1)
-    order = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    place = (least_places(order, span) & low).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(place)) + 1
-    first = np.concatenate([[0], cuts])
-    return first, np.concatenate([cuts - 1, [len(place) - 1]]), place[first]
-
-
-def positions(data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """``seed, first, last, place`` of the regions of a text, in pieces."""
-    for begin in range(0, len(data) - LENGTH + 1, PIECE):
-        part = data[begin : begin + PIECE + LENGTH - 1]
-        seeds = _all_ranges(_sums(_TABLE[part]), SEED)
-        first, last, place = runs_of(seeds, LENGTH - SEED + 1)
-        yield seeds[place].view(np.int64), first + begin, last + begin, place + begin
 
 
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8"), np.uint8)
 
 
-def _pack(first, last, place) -> np.ndarray:
-    """Place and extent of a region in one number."""
-    return (first << 16) | ((last - first) << 8) | (place - first)
+def _numbers(text: str | None) -> np.ndarray:
+    return _TABLE[_bytes(text)]
+
+
+KIND = repeats.Kind(length=LENGTH, seed=SEED, numbers=_numbers, within=True)
 
 
 def _seed_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        parts = [s for t in batch["text"] for s, *_ in positions(_bytes(t))]
+        parts = [s for t in batch["text"] for s, *_ in repeats.positions(_numbers(t), KIND)]
         seeds, n = np.unique(np.concatenate(parts), return_counts=True) if parts else ([], [])
         yield pd.DataFrame({"seed": seeds, "n": n})
 
@@ -112,71 +53,26 @@ def _positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for i in range(0, len(batch), 500):
             part = batch.iloc[i : i + 500]
-            found = [
-                (o, v, s, _pack(f, l, p))
-                for o, v, t in zip(part["o"], part["v"], part["text"], strict=True)
-                for s, f, l, p in positions(_bytes(t))
-            ]
-            sizes = [len(s) for _, _, s, _ in found]
-            join = lambda k: np.concatenate([x[k] for x in found]) if found else []
-            yield pd.DataFrame(
-                {
-                    "seed": join(2), "o": np.repeat([x[0] for x in found], sizes),
-                    "v": np.repeat([x[1] for x in found], sizes), "at": join(3),
-                }
+            yield repeats.rows_of(
+                [
+                    (o, v, seed, repeats.packed(*where))
+                    for o, v, t in zip(part["o"], part["v"], part["text"], strict=True)
+                    for seed, *where in repeats.positions(_numbers(t), KIND)
+                ],
+                ["seed", "at"],
             )
 
 
 def _regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Seed and region ranks of the positions that are left."""
     for batch in batches:
-        out = []
-        for o, v, text, ats in zip(batch["o"], batch["v"], batch["text"], batch["ats"], strict=True):
-            data, at = _bytes(text), np.asarray(ats, np.int64)
-            first, size, shift = at >> 16, (at >> 8) & 255, at & 255
-            for begin in range(0, len(data), PIECE):
-                own = (first >= begin) & (first < begin + PIECE)
-                f = first[own] - begin
-                sums = _sums(_TABLE[data[begin : begin + _ROOM]])
-                end = f + size[own] + LENGTH
-                inside = end <= len(sums) - 1
-                if not inside.all():
-                    raise AssertionError("a region leaves its piece")
-                place = f + shift[own]
-                region = _ranges(sums, f, end) + mixed(shift[own].astype(np.uint64))
-                seed = _ranges(sums, place, place + SEED)
-                out.append((o, v, seed.view(np.int64), region.view(np.int64), at[own]))
-        sizes = [len(x[2]) for x in out]
-        join = lambda k: np.concatenate([x[k] for x in out]) if out else []
-        yield pd.DataFrame(
-            {
-                "o": np.repeat([x[0] for x in out], sizes), "v": np.repeat([x[1] for x in out], sizes),
-                "seed": join(2), "region": join(3), "at": join(4),
-            }
-        )
-
-
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every window of the regions of a text, ranked by its bytes."""
-    for batch in batches:
-        out = []
-        for o, v, text, ats in zip(batch["o"], batch["v"], batch["text"], batch["ats"], strict=True):
-            data, at = _bytes(text), np.unique(np.asarray(ats, np.int64))
-            first, size = at >> 16, (at >> 8) & 255
-            starts = np.concatenate([np.arange(f, f + n + 1) for f, n in zip(first, size, strict=True)])
-            for begin in range(0, len(data), PIECE):
-                own = starts[(starts >= begin) & (starts < begin + PIECE)]
-                if len(own):
-                    sums = _sums(_TABLE[data[begin : begin + _ROOM]])
-                    rank = _ranges(sums, own - begin, own - begin + LENGTH)
-                    out.append((o, v, rank.view(np.int64), own))
-        sizes = [len(x[2]) for x in out]
-        join = lambda k: np.concatenate([x[k] for x in out]) if out else []
-        yield pd.DataFrame(
-            {
-                "o": np.repeat([x[0] for x in out], sizes), "v": np.repeat([x[1] for x in out], sizes),
-                "rank": join(2), "start": join(3),
-            }
+        yield repeats.rows_of(
+            [
+                (o, v, *ranks)
+                for o, v, t, ats in zip(batch["o"], batch["v"], batch["text"], batch["ats"], strict=True)
+                for ranks in repeats.region_ranks(_numbers(t), np.asarray(ats, np.int64), KIND)
+            ],
+            ["seed", "region", "at"],
         )
 
 
@@ -185,96 +81,12 @@ def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for doc, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
             data = _bytes(text)
-            edge = np.zeros(len(data) + 1, np.int64)
-            if spans is not None and len(spans):
-                packed = np.asarray(spans, np.int64)
-                np.add.at(edge, packed >> 8, 1)
-                np.add.at(edge, (packed >> 8) + (packed & 255) + LENGTH, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            runs = int((np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1).sum())
-            out.append((doc, len(data), int(gone.sum()), runs, data[~gone].tobytes()))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def _region_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for o, v, text, ats in zip(batch["o"], batch["v"], batch["text"], batch["ats"], strict=True):
-            data = (text or "").encode("utf-8")
-            for own in ats:
-                first, size = own["at"] >> 16, (own["at"] >> 8) & 255
-                out.append((own["seed"], o, v, own["at"], data[first : first + size + LENGTH]))
-        yield pd.DataFrame(out, columns=["seed", "o", "v", "at", "bytes"])
-
-
-def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
-    """Windows that a row before has too, as spans; rows are in the order of their positions."""
-    data = rows["bytes"].to_list()
-    sizes = np.fromiter(map(len, data), np.int64, len(data))
-    counts = sizes - LENGTH + 1
-    begin = np.cumsum(sizes) - sizes
-    row = np.repeat(np.arange(len(data)), counts)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = begin[row] + inside
-    rank = _ranges(_sums(_TABLE[np.frombuffer(b"".join(data), np.uint8)]), start, start + LENGTH)
-    hit = np.ones(len(rank), bool)
-    hit[np.unique(rank, return_index=True)[1]] = False
-    at = np.flatnonzero(hit)
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (np.diff(row[at]) != 0)
-    heads = np.flatnonzero(new)
-    lengths = np.diff(np.concatenate([heads, [len(at)]]))
-    of = row[at[heads]]
-    first = (rows["at"].to_numpy() >> 16)[of] + inside[at[heads]]
-    return pd.DataFrame(
-        {"o": rows["o"].to_numpy()[of], "v": rows["v"].to_numpy()[of], "span": (first << 8) | (lengths - 1)}
-    )
-
-
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by seed; those of one seed are compared together."""
-    waiting = pd.DataFrame()
-    for batch in batches:
-        for i in range(0, len(batch), TOGETHER // 2):
-            rows = pd.concat([waiting, batch.iloc[i : i + TOGETHER // 2]], ignore_index=True)
-            whole = int(np.searchsorted(rows["seed"].to_numpy(), rows["seed"].iat[-1]))
-            waiting = rows.iloc[whole:]
-            if whole:
-                yield _repeats(rows.iloc[:whole])
-    if len(waiting):
-        yield _repeats(waiting)
-
-
-_ROW = "o long, v int, "
-
-
-def _by_text(rows: DataFrame, *columns: str) -> DataFrame:
-    what = F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
-    return rows.groupBy("o", "v").agg(F.collect_set(what).alias("ats"))
-
-
-def _edges(texts: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Spans of windows shared by different regions of one seed."""
-    several = firsts.groupBy(F.col("seed").alias("s")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = written(firsts.join(several, F.col("seed") == F.col("s")).select("seed", "o", "v", "at", "n"))
-    few, many = rows.where(F.col("n") <= TOGETHER // 2), rows.where(F.col("n") > TOGETHER // 2)
-    near = (
-        texts.select("o", "v", "text").dropDuplicates(["o", "v"])
-        .join(_by_text(few, "seed", "at"), ["o", "v"])
-        .mapInPandas(_region_bytes, f"seed long, {_ROW}at long, bytes binary")
-        .repartition("seed").sortWithinPartitions("seed", "o", "v", "at")
-        .mapInPandas(_compare, f"{_ROW}span long")
-    )
-    windows = written(
-        texts.select("o", "v", "text").dropDuplicates(["o", "v"])
-        .join(_by_text(many, "at"), ["o", "v"])
-        .mapInPandas(_windows, f"{_ROW}rank long, start long")
-    )
-    least = windows.groupBy(F.col("rank").alias("r")).agg(
-        F.min(F.struct("o", "v", "start")).alias("first"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1")
-    far = windows.join(least, F.col("rank") == F.col("r")).where(F.struct("o", "v", "start") > F.col("first"))
-    return near.unionByName(far.select("o", "v", F.shiftleft("start", 8).alias("span")))
+            lost = repeats.gone(spans, len(data), LENGTH)
+            runs = int((np.diff(np.concatenate([[False], lost]).astype(np.int8)) == 1).sum())
+            out.append((doc, len(data), int(lost.sum()), runs, data[~lost].tobytes()))
+        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype(
+            {"doc_id": "Int64"}
+        )
 
 
 def removed_bytes(documents: DataFrame) -> DataFrame:
@@ -287,45 +99,32 @@ def removed_bytes(documents: DataFrame) -> DataFrame:
     share only the id are ordered by a hash of their text. An empty table gives an empty result;
     further columns are not read.
     """
-    own = bare(documents).select(
-        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("o"),
-        F.hash("text").alias("v"),
-    )
+    own = repeats.texts_of(documents)
     common = own.select("text").mapInPandas(_seed_counts, "seed long, n long")
     common = common.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
-    left = own.select("o", "v", "text").mapInPandas(_positions, f"seed long, {_ROW}at long")
+    left = own.select("o", "v", "text").mapInPandas(_positions, f"{ROW}seed long, at long")
+    places = repeats.by_text(left.join(common, "seed", "left_semi"), "at")
     joined = written(
-        own.join(_by_text(left.join(common, "seed", "left_semi"), "at"), ["o", "v"], "left").select(
+        own.join(places, ["o", "v"], "left").select(
             "doc_id", "o", "v", "ats", F.when(F.col("ats").isNotNull(), F.col("text")).alias("text"),
             F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
             F.when(F.col("ats").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"),
         )
     )
     texts = joined.where("ats IS NOT NULL")
-    regions = written(
-        texts.select("o", "v", "text", "ats").mapInPandas(_regions, f"{_ROW}seed long, region long, at long")
-    )
-    firsts = written(
-        regions.groupBy("seed", "region").agg(
-            F.min(F.struct("o", "v", "at")).alias("f"), F.count(F.lit(1)).alias("n")
-        ).select("seed", "region", "f.*", F.col("n").alias("rows"))
+    regions = texts.select("o", "v", "text", "ats").mapInPandas(
+        _regions, f"{ROW}seed long, region long, at long"
     )
-    before = firsts.where("rows > 1").select(
-        F.col("seed").alias("s"), F.col("region").alias("r"), F.struct("o", "v", "at").alias("f")
-    )
-    again = regions.join(before, (F.col("seed") == F.col("s")) & (F.col("region") == F.col("r"))).where(
-        F.struct("o", "v", "at") > F.col("f")
-    )
-    first, size = F.shiftright("at", 16), F.shiftright("at", 8).bitwiseAND(F.lit(255))
-    whole = again.select("o", "v", (F.shiftleft(first, 8) + size).alias("span"))
-    spans = _by_text(whole.unionByName(_edges(texts, firsts)), "span").withColumnRenamed("ats", "spans")
+    spans = repeats.repeated_spans(texts, written(regions), KIND)
     some = texts.select("doc_id", "o", "v", "text").join(spans, ["o", "v"], "left")
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    done = some.select(F.col("doc_id").cast("long"), "text", "spans").mapInPandas(_kept, fields)
+    done = some.select("doc_id", "text", "spans").mapInPandas(
+        _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    )
+    counts = ["doc_id", "n_bytes", "n_removed", "n_spans"]
     none = F.lit(0).cast("long")
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")).unionByName(
+    return done.select(*counts, F.sha2("kept", 256).alias("kept_sha256")).unionByName(
         joined.where("ats IS NULL").select(
-            F.col("doc_id").cast("long"), "n_bytes", none.alias("n_removed"), none.alias("n_spans"),
+            "doc_id", "n_bytes", none.alias("n_removed"), none.alias("n_spans"),
             F.col("sha").alias("kept_sha256"),
         )
     )
