@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
-from tidemark.llm import near_dedup, repeated_bytes, secret_spans, token_counts
+from tidemark.llm import near_dedup, repeated_bytes, repeated_passages, secret_spans, token_counts
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,16 +80,20 @@ def op4_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), path)
 
 
-@query
-def op5_bpe_codec(spark, folder):
-    path = public_tokenizers.path("word_bpe_49k.json")
-    rows = bpe_codec.encode_documents(table(spark, folder, "documents"), path)
+def encoded_digests(rows: DataFrame) -> DataFrame:
+    """What the contract asks of encoded documents."""
     return rows.select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+@query
+def op5_bpe_codec(spark, folder):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encoded_digests(bpe_codec.encode_documents(table(spark, folder, "documents"), path))
+
+
 @query
 def op6_secret_spans(spark, folder):
     rows = secret_spans.secrets(table(spark, folder, "documents"))
@@ -142,3 +146,9 @@ def op8_near_duplicates(spark, folder):
 @query
 def op7_repeated_bytes(spark, folder):
     return repeated_bytes.removed_bytes(table(spark, folder, "documents"))
+
+
+@query
+def op10_repeated_passages(spark, folder):
+    rows = repeated_passages.removed_passages(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
