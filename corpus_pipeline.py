@@ -1,18 +1,77 @@
-"""The corpus pipeline: language, exact and near duplicates, leaks of the benchmark, tokens."""
+"""The corpus pipeline: language, exact and near duplicates, leaks of the benchmark, tokens.
+
+Every stage works on all that the one before kept. Null and repeated ids, null and empty texts,
+empty tables and further columns are taken as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.durable import written
+from tidemark.llm import bpe_codec, decontamination, exact_dedup, language_spans, near_dedup
+from tidemark.llm.queries import encoded_digests, remainder, table
+from tidemark.llm.shipping import ship
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is not among ``ids``; a null id matches a null id."""
+    gone = ids.select(F.col("doc_id").alias("tidemark_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("tidemark_gone")), "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in which no language can be told (null, empty, or without a letter) go."""
+    ship(spark)
+    model = language_spans.fit(docs, remainder(3) != 1)
+    own = "tidemark_language"
+    marked = docs.withColumn(own, language_spans.predicted(F.col("text"), model))
+    return marked.where(F.col(own)["lang"] != language_spans.UNKNOWN).drop(own)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the largest id stays."""
+    return exact_dedup.deduplicated(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of near duplicates the document with the least id stays."""
+    ship(spark)
+    return _without(docs, near_dedup.near_duplicates(docs).where("NOT kept"))
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and decoded texts of what is left, as digests."""
+    ship(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encoded_digests(bpe_codec.encode_documents(docs, path))
+
 
-STAGES: list = []
+STAGES = [
+    ("language", language),
+    ("exact", exact),
+    ("near", near),
+    ("leaks", leaks),
+    ("tokens", tokens),
+]
 
-#: Fitted models, minimum hashes and a tokenizer decide, which SQL cannot express.
+#: A fitted language model and a tokenizer decide, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs)
     return docs

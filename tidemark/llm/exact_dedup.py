@@ -65,3 +65,16 @@ def exact_duplicates(documents: DataFrame, *, support: float = SUPPORT) -> DataF
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
+
+
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """The rows that stay, with all columns of ``documents``; of rows equal in id and text, one."""
+    own = "tidemark_digest"
+    marked = documents.withColumn(own, F.sha2(ascii_lower(F.col("text")), 256))
+    stay = exact_duplicates(documents).where("kept").groupBy(
+        F.col("doc_id").alias("i"), F.col("text_sha256").alias("d")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col(own) == F.col("d"))
+    once = marked.join(stay.where("n = 1"), same, "left_semi")
+    often = marked.join(stay.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", own])
+    return once.unionByName(often).drop(own)
