@@ -3,8 +3,8 @@
 Base spans are the matches of three fixed patterns. Two first-order character models, one of random
 strings and one of ordinary identifiers, add spans: a run of key characters is a secret when its
 log-likelihood ratio per character passes a threshold. Both models are trained on labelled samples
-from the corpus: values that the base patterns found are random strings, words of texts without any
-finding are identifiers.
+from the corpus: values that the base patterns found are random strings, words of ordinary size in
+texts without any finding are identifiers.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ KINDS = ("assign", "access", "hex", "markov")
 #: Runs of these characters are judged by the models. They are also the alphabet, in this order.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Words that count as ordinary identifiers; longer runs are what is to be judged.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"
 #: Log-likelihood ratio per character from which a run is a secret.
 RATIO = 0.5
 #: Documents, about, that each model is trained on, and words read of each.
@@ -108,6 +110,19 @@ def _codes(value: Column) -> Column:
     return F.transform(F.regexp_extract_all(value, F.lit("(?s)."), 0), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
+def _log_model(counts: dict[tuple[int, int], int], size: int, weight: float = 8.0) -> list[float]:
+    """Log-probability of each character after each, smoothed by the character's own share."""
+    after, of = [0.0] * size, [0.5] * size
+    for (a, b), n in counts.items():
+        after[a] += n
+        of[b] += n
+    total = sum(of)
+    return [
+        math.log((counts.get((a, b), 0) + weight * of[b] / total) / (after[a] + weight))
+        for a in range(size) for b in range(size)
+    ]
+
+
 def train(documents: DataFrame, found: DataFrame, *, sample: int = SAMPLE) -> list[float]:
     """Log-likelihood ratios of adjacent characters, random over identifier, row by row.
 
@@ -125,7 +140,7 @@ def train(documents: DataFrame, found: DataFrame, *, sample: int = SAMPLE) -> li
     plain = bare(documents).where(key < cut(total)).where(
         ~(text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
     )
-    words = F.slice(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), 0), 1, SAMPLE_WORDS)
+    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, SAMPLE_WORDS)
     ordinary = plain.select(F.explode(words).alias("value"))
     size = len(ALPHABET) + 1
     logs = []
@@ -133,10 +148,7 @@ def train(documents: DataFrame, found: DataFrame, *, sample: int = SAMPLE) -> li
         counts = {(r["a"], r["b"]): r["n"] for r in _pairs(values).collect()}  # at most size ** 2
         if not counts:
             return [0.0] * (size * size)
-        row = [sum(counts.get((a, b), 0) for b in range(1, size)) for a in range(size)]
-        logs.append(
-            [math.log((counts.get((a, b), 0) + 0.5) / (row[a] + 0.5 * size)) for a in range(size) for b in range(size)]
-        )
+        logs.append(_log_model(counts, size))
     return [x - y for x, y in zip(*logs, strict=True)]
 
 
