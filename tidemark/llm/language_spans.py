@@ -168,7 +168,8 @@ def predicted(text: Column, model: LanguageModel, *, spans: bool = False, rows:
             for i in range(0, len(texts), rows):
                 own = [t or "" for t in texts.iloc[i : i + rows]]
                 cut = [_WORD.findall(t) for t in own]
-                for text_, words, (path, _) in zip(own, cut, scorer.labels(cut), strict=True):
+                marked = scorer.labels(cut) if names else [((), None)] * len(cut)
+                for text_, words, (path, _) in zip(own, cut, marked, strict=True):
                     if not words or not names:
                         row = [UNKNOWN, 0.0, []]
                     else:

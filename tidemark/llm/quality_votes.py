@@ -94,6 +94,12 @@ class Votes:
         return np.where(total > 0, score, self.share)
 
 
+def _constant(share: float) -> Votes:
+    none = np.zeros((0, DIMENSIONS), np.float32)
+    axes = np.zeros((TERMS, DIMENSIONS), np.float32)
+    return Votes(np.zeros(TERMS, np.float32), axes, none, none[:, 0], share)
+
+
 def fit(documents: DataFrame, labels: DataFrame, learn: Column, *, sample: int = SAMPLE) -> Votes:
     """Fit on about ``sample`` documents, half of each ``quality``, among those ``learn`` allows.
 
@@ -106,8 +112,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, *, sample: int =
     )
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        none = np.zeros((0, DIMENSIONS), np.float32)
-        return Votes(np.zeros(TERMS, np.float32), np.zeros((TERMS, DIMENSIONS), np.float32), none, none[:, 0], 0.5)
+        return _constant(0.5)
     key = F.xxhash64("l").bitwiseAND(F.lit((1 << 40) - 1))
     cuts = {k: int(min(1.0, sample / 2 / n) * (1 << 40)) for k, n in counts.items()}
     chosen = rows.where(
@@ -125,6 +130,8 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, *, sample: int =
 
     table = picked.mapInPandas(vectors, "label int, w binary").toPandas()  # about `sample` rows
     share = counts.get(1, 0) / sum(counts.values())
+    if not len(table):
+        return _constant(share)
     table = table.sort_values(["label", "w"])
     weights = np.frombuffer(b"".join(table["w"]), np.float32).reshape(-1, TERMS)
     labels = table["label"].to_numpy(np.float32)
