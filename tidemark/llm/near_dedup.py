@@ -4,9 +4,8 @@ Each tree orders the distinct shingle sets by its own sequence of minimum hashes
 on the first ``DEPTH`` of them form a region of the tree. In a small region all pairs are
 candidates. A large region is refined: along its sorted order each set meets the neighbour with
 the longest common prefix, and links contract it to a few components; the sets outside its largest
-component are then compared with the whole region in blocks, first with the likest of each
-component and at last with all that are left. So dense regions cost about as many comparisons as
-they have sets, and no pair of a region stays unjudged unless both are connected already.
+component are then compared with the whole region in blocks, likest pairs first. Links found there
+join components at once, so a pair of a region stays unjudged only if both are connected already.
 """
 
 from __future__ import annotations
@@ -147,11 +146,10 @@ def _likely(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        kept = []
-        for a, b in zip(batch["own_a"], batch["own_b"], strict=True):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            kept.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+        kept = [
+            _linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+            for a, b in zip(batch["own_a"], batch["own_b"], strict=True)
+        ]
         yield batch.loc[np.array(kept, bool), ["a", "b"]]
 
 
@@ -161,29 +159,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(both.mapInPandas(_confirm, "a binary, b binary"))
 
 
-def _compare(best_only: bool):
-    """Likely pairs between different components of a block of a region."""
-
-    def compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(targets):
-            mine, theirs = np.stack(queries["sig"].to_list()), np.stack(targets["sig"].to_list())
-            parts = targets["part"].to_numpy()
-            codes = pd.factorize(parts)[0]
-            for q in range(len(queries)):
-                equal = (theirs == mine[q]).sum(axis=1)
-                ok = np.flatnonzero((equal >= LEAST_EQUAL) & (parts != queries["part"].iat[q]))
-                if best_only and len(ok):
-                    ok = ok[np.argsort(-equal[ok], kind="stable")]
-                    ok = ok[np.unique(codes[ok], return_index=True)[1]]
-                out += [(queries["fp"].iat[q], targets["fp"].iat[t]) for t in ok]
-        return pd.DataFrame(out, columns=["a", "b"])
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
-    return compare
 
+def _compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+    """Confirmed links that join components of a block; likest pairs first.
 
-def _left_over(large: DataFrame, vertices: DataFrame, parts: DataFrame, *, best_only: bool) -> DataFrame:
-    """Likely pairs of large regions that components do not join yet."""
+    A pair is passed over once links of this block have joined its components.
+    """
+    out, root = [], {}
+
+    def find(part: bytes) -> bytes:
+        while part in root:
+            part = root[part]
+        return part
+
+    if len(queries) and len(targets):
+        theirs = np.stack(targets["sig"].to_list())
+        sets = [np.frombuffer(x, np.uint64) for x in targets["own"]]
+        sizes = np.array([len(x) for x in sets])
+        parts, names = targets["part"].tolist(), targets["fp"].tolist()
+        for fp, part, sig, own in queries[["fp", "part", "sig", "own"]].itertuples(index=False):
+            mine = np.frombuffer(own, np.uint64)
+            equal = (theirs == np.asarray(sig)).sum(axis=1)
+            fits = np.minimum(sizes, len(mine)) * 100 >= np.maximum(sizes, len(mine)) * PERCENT
+            likely = np.flatnonzero((equal >= LEAST_EQUAL) & fits)
+            for t in likely[np.argsort(-equal[likely], kind="stable")].tolist():
+                here, there = find(part), find(parts[t])
+                if here != there and _linked(mine, sets[t]):
+                    out.append((fp, names[t]))
+                    root[here] = there
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _left_over(large: DataFrame, vertices: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links inside large regions that join components which are apart yet."""
     own = large.select("region", "fp").join(
         parts.select(F.col("node").alias("fp"), F.col("component").alias("part")), "fp", "left"
     ).select("region", "fp", F.coalesce("part", "fp").alias("part"))
@@ -194,19 +206,19 @@ def _left_over(large: DataFrame, vertices: DataFrame, parts: DataFrame, *, best_
         "r", F.col("most.part").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("q_blocks"),
     )
-    rows = written(own.join(most, F.col("region") == F.col("r")).join(vertices.select("fp", "sig"), "fp"))
+    rows = written(own.join(most, F.col("region") == F.col("r")))
+    full = vertices.select("fp", "sig").join(sets, "fp")
     cut = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    fresh = [F.col(c).alias(c) for c in ("region", "fp", "part", "sig")]
-    targets = rows.select(*fresh, cut("blocks").alias("block"), upto("q_blocks").alias("q"))
+    fresh = [F.col(c).alias(c) for c in ("region", "fp", "part")]
+    targets = rows.select(*fresh, cut("blocks").alias("block"), upto("q_blocks").alias("q")).join(full, "fp")
     queries = rows.where("part <> main").select(
         *fresh, upto("blocks").alias("block"), cut("q_blocks").alias("q")
-    )
+    ).join(full.select(*[F.col(c).alias(c) for c in full.columns]), "fp")
     keys = ["region", "block", "q"]
-    pairs = queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(
-        _compare(best_only), "a binary, b binary"
+    return _ordered_pairs(
+        queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(_compare, "a binary, b binary")
     )
-    return _ordered_pairs(pairs)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -242,11 +254,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     found = _confirmed(first, sets)
     parts = written(components(found))
-    for best_only in (True, False):
-        more = _confirmed(_left_over(large, vertices, parts, best_only=best_only), sets)
-        if not more.isEmpty():
-            found = found.unionByName(more)
-            parts = written(components(found))
+    more = written(_left_over(large, vertices, sets, parts))
+    if not more.isEmpty():
+        joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = written(components(joined.unionByName(more)))
     lows = parts.join(vertices.select(F.col("fp").alias("node"), "low"), "node")
     least = lows.groupBy("component").agg(F.min("low").alias("component_id"))
     linked = lows.join(least, "component").select(F.col("node").alias("fp"), "component_id")
