@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import written
+from tidemark.durable import free_shuffles, written
 from tidemark.llm import repeats
 from tidemark.llm.repeats import ROW
 
@@ -111,6 +111,7 @@ def removed_bytes(documents: DataFrame) -> DataFrame:
             F.when(F.col("ats").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"),
         )
     )
+    free_shuffles(documents.sparkSession)
     texts = joined.where("ats IS NOT NULL")
     regions = texts.select("o", "v", "text", "ats").mapInPandas(
         _regions, f"{ROW}seed long, region long, at long"

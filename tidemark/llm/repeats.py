@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import written
+from tidemark.durable import free_shuffles, written
 from tidemark.llm.text import bare
 from tidemark.llm.word_hash import mixed
 
@@ -229,6 +229,7 @@ def repeated_spans(texts: DataFrame, regions: DataFrame, kind: Kind) -> DataFram
             "o", "v", "seed", "region", "at", (place > F.col("f")).alias("again")
         )
     )
+    free_shuffles(texts.sparkSession)
     first, size = F.shiftright("at", 16), F.shiftright("at", 8).bitwiseAND(F.lit(255))
     whole = marked.where("again").select("o", "v", (F.shiftleft(first, 8) + size).alias("span"))
 
