@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import DIGITS, FIT_SEEDS, REPLICATES, SEEDS
+from checks.queries import DIGITS, REPLICATES, SEEDS
 
 # Shared table expressions ----------------------------------------------------------------
 
@@ -241,7 +241,7 @@ pr AS (
   SELECT seed, pk, row_number() OVER (
            PARTITION BY seed ORDER BY {uniform('pk', 'profile', 'seed')}, pk) AS rk,
          count(*) OVER (PARTITION BY seed) AS g
-  FROM prof, {seeds_values(FIT_SEEDS)}),
+  FROM prof, {seeds_values(SEEDS)}),
 ps AS (
   SELECT seed, pk,
          CASE WHEN rk <= ceil(g / 5) THEN 'test'
@@ -261,17 +261,26 @@ prof AS (
 strat AS (
   SELECT seed, pk, w, CAST(floor(log2(w) / 2) AS INT) AS size_class,
          CAST(ceil(rate * 4) AS INT) AS rate_class, {uniform('pk', 'grouped', 'seed')} AS u
-  FROM prof, {seeds_values(FIT_SEEDS)}),
+  FROM prof, {seeds_values(SEEDS)}),
+turned AS (
+  SELECT *, 0.0::DOUBLE - st - floor(0.0::DOUBLE - st) AS t0,
+         0.2::DOUBLE - st - floor(0.2::DOUBLE - st) AS t1,
+         0.4::DOUBLE - st - floor(0.4::DOUBLE - st) AS t2
+  FROM (SELECT *, {uniform("concat_ws(':', size_class, rate_class)", 'start', 'seed')} AS st
+        FROM strat)),
 run AS (
   SELECT *, sum(w) OVER (PARTITION BY seed, size_class, rate_class ORDER BY u, pk
                          ROWS UNBOUNDED PRECEDING) - w / 2 AS mid,
          sum(w) OVER (PARTITION BY seed, size_class, rate_class) AS total
-  FROM strat),
+  FROM turned),
+left_of AS (
+  SELECT *, mid <= total * t0 AS l0, mid <= total * t1 AS l1, mid <= total * t2 AS l2 FROM run),
 gs AS (
-  SELECT seed, pk, CASE WHEN mid <= total / 5.0::DOUBLE THEN 'test'
-                        WHEN mid <= total * 2.0::DOUBLE / 5.0::DOUBLE THEN 'validation'
-                        ELSE 'train' END AS split
-  FROM run),
+  SELECT seed, pk,
+         CASE WHEN CASE WHEN t0 < t1 THEN NOT l0 AND l1 ELSE NOT l0 OR l1 END THEN 'test'
+              WHEN CASE WHEN t1 < t2 THEN NOT l1 AND l2 ELSE NOT l1 OR l2 END THEN 'validation'
+              ELSE 'train' END AS split
+  FROM left_of),
 split_g AS (
   SELECT seed, conv.*, split FROM conv JOIN gs ON pk = {PROFILE_KEY})
 """
@@ -652,10 +661,33 @@ def _event_counters() -> str:
         (44, "page_events", "available_at is before event_at",
          count("be", "available_at_us < event_at_us")),
     ]
-    return "SELECT * FROM (" + " UNION ALL ".join(
+    # Rules that the faults do not touch.
+    lines += [
+        (0, "sessions", "session_id has missing or empty identifiers", 0),
+        (1, "sessions", "session_id has rows in duplicate keys", 0),
+        (2, "sessions", "user_id has missing or empty identifiers", 0),
+        (3, "score_requests", "score_id has missing or empty identifiers", 0),
+        (5, "score_requests", "session_id has missing or empty identifiers", 0),
+        (8, "page_events", "session_id has missing or empty identifiers", 0),
+    ]
+    instants = (
+        (14, "sessions", "session_start_at"), (20, "score_requests", "score_at"),
+        (30, "page_events", "event_at"), (34, "page_events", "available_at"),
+    )
+    faults = (
+        "missing timestamps", "invalid timestamps", "timestamps without a UTC offset",
+        "timestamps finer than microseconds",
+    )
+    given = {line[0] for line in lines}
+    lines += [
+        (first + i, table, f"{column} has {fault}", 0)
+        for first, table, column in instants for i, fault in enumerate(faults)
+        if first + i not in given
+    ]
+    return " UNION ALL ".join(
         f"SELECT {p} AS position, '{t}' AS \"table\", '{rule}' AS rule, CAST({c} AS BIGINT)"
         " AS violations" for p, t, rule, c in lines
-    ) + ") WHERE violations > 0"
+    )
 
 
 _BAD_CONVERSIONS = CONVERSIONS + """,
@@ -1015,6 +1047,21 @@ SELECT t.key, coalesce(rn <= {k}, false) AS selected FROM t LEFT JOIN e USING (k
 _ACQ = "country, age, new_user, source"
 
 
+_SHARES = f"""
+SELECT seed, split, count(*) AS rows, CAST(sum(converted) AS BIGINT) AS positives,
+       round(avg(converted), {DIGITS}) AS prevalence"""
+
+_QUALITY = f"""
+WITH {CONVERSIONS}
+SELECT count(*) AS input_rows, count(*) AS output_rows, 0 AS invalid_age_rows,
+       0 AS invalid_page_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (row_id) FROM conv))
+         AS exact_duplicate_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT country, age, new_user, source, total_pages_visited
+        FROM conv)) AS unique_feature_profiles
+FROM conv"""
+
+
 def all_sql() -> dict[str, str]:
     zero = "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right"
     ceilings = ", ".join(
@@ -1083,6 +1130,17 @@ SELECT seed, row_id, split FROM split""",
 WITH {CONVERSIONS}, {stratified('conv', 'converted', SEEDS)}
 SELECT seed, split, count(*) AS rows, CAST(sum(converted) AS BIGINT) AS positives,
        {r('avg(converted)', 'prevalence')} FROM split GROUP BY ALL""",
+        "training_splits": f"""
+WITH {CONVERSIONS}, {stratified('conv', 'converted', [42])} {_SHARES} FROM split GROUP BY ALL""",
+        "decision_quality": _QUALITY,
+        "audit_quality": _QUALITY,
+        "audit_profiles": f"WITH {CONVERSIONS} " + _diagnostics("acquisition", _ACQ)
+        + " UNION ALL " + _diagnostics("in_session", _ACQ + ", total_pages_visited"),
+        "decision_splits": f"""
+WITH {GROUPED_SPLIT}, {stratified('conv', 'converted', SEEDS)}
+{_SHARES}, 'row_random' AS split_strategy FROM split GROUP BY ALL
+UNION ALL
+{_SHARES}, 'acquisition_profile_grouped' FROM split_g GROUP BY ALL""",
         "profile_split": f"WITH {PROFILE_SPLIT} SELECT seed, row_id, split FROM split_p",
         "grouped_split": f"WITH {GROUPED_SPLIT} SELECT seed, row_id, split FROM split_g",
         "split_profile_overlap": _split_overlap(),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,9 @@ from tidemark.plans import audit, decision, policies, training, verification
 from tidemark.sources import driver_tables as tables
 
 SEEDS = policies.DEFAULT_SEEDS
-FIT_SEEDS = (7, 42)
-ACQUISITION = schemas.SCENARIOS["acquisition"].features
-IN_SESSION = schemas.SCENARIOS["in_session"].features
-REPLICATES = 40
-FOREST_TREES = 10
+ACQUISITION = schemas.FEATURES["acquisition"]
+IN_SESSION = schemas.FEATURES["in_session"]
+REPLICATES = 200
 DIGITS = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,7 +194,7 @@ def event_contract_violations(spark, folder):
     )
     return events.event_violations(sessions, requests, page_events).select(
         "position", "table", "rule", "violations"
-    ).where("violations > 0")
+    )
 
 
 # Conversion table ------------------------------------------------------------------------
@@ -308,8 +307,8 @@ def enrollment_plan(spark, folder):
 def profile_diagnostics(spark, folder):
     rows = tables.conversions(spark, folder)
     parts = [
-        splits.profile_diagnostics(rows, scenario.features).withColumn("scenario", F.lit(name))
-        for name, scenario in schemas.SCENARIOS.items()
+        splits.profile_diagnostics(rows, features).withColumn("scenario", F.lit(name))
+        for name, features in schemas.FEATURES.items()
     ]
     return rounded(parts[0].unionByName(parts[1]))
 
@@ -324,14 +323,14 @@ def stratified_split(spark, folder):
 @query
 def profile_split(spark, folder):
     return splits.profile_split(
-        tables.conversions(spark, folder), FIT_SEEDS, features=ACQUISITION
+        tables.conversions(spark, folder), SEEDS, features=ACQUISITION
     ).select("seed", "row_id", "split")
 
 
 @query
 def grouped_split(spark, folder):
     return splits.grouped_split(
-        tables.conversions(spark, folder), FIT_SEEDS, features=ACQUISITION
+        tables.conversions(spark, folder), SEEDS, features=ACQUISITION
     ).select("seed", "row_id", "split")
 
 
@@ -340,7 +339,7 @@ def split_profile_overlap(spark, folder):
     rows = tables.conversions(spark, folder)
     parts = [
         splits.profile_overlap(
-            make(rows, FIT_SEEDS, features=ACQUISITION), ACQUISITION
+            make(rows, SEEDS, features=ACQUISITION), ACQUISITION
         ).withColumn("strategy", F.lit(name))
         for name, make in (("profile", splits.profile_split), ("grouped", splits.grouped_split))
     ]
@@ -604,28 +603,36 @@ def model_scores(spark, folder):
     )
 
 
-@query
-def training_report(spark, folder):
-    report = training.run_training(
-        tables.conversions(spark, folder), scenarios=["in_session"], trees=FOREST_TREES
-    )
-    return rounded(report.metrics.join(F.broadcast(report.champions), "scenario"), 6)
+# Reports: one query per table of a full run -----------------------------------------------
 
 
-@query
-def decision_report(spark, folder):
-    report = decision.run_decision_optimization(
-        tables.conversions(spark, folder), seeds=FIT_SEEDS, scenarios=["in_session"]
-    )
-    return rounded(report.summary, 6)
+@lru_cache(maxsize=8)
+def _report(kind: str, application: str, folder: str):
+    """A run is made once per application and folder; its tables lie in the shared folder."""
+    runs = {
+        "training": training.run_training,
+        "decision": decision.run_decision_optimization,
+        "audit": audit.run_realism_audit,
+    }
+    return runs[kind](tables.conversions(SparkSession.active(), folder))
 
 
-@query
-def audit_report(spark, folder):
-    report = audit.run_realism_audit(
-        tables.conversions(spark, folder), seeds=FIT_SEEDS, bootstrap_samples=REPLICATES
-    )
-    return rounded(report.metrics, 6)
+def _report_table(kind: str, name: str) -> Query:
+    def table(spark, folder):
+        report = _report(kind, spark.sparkContext.applicationId, folder)
+        return rounded(getattr(report, name))
+
+    table.__name__ = f"{kind}_{name}"
+    return query(table)
+
+
+for _kind, _names in (
+    ("training", ("splits", "choices", "metrics", "champions", "curves")),
+    ("decision", ("quality", "splits", "runs", "comparison", "summary", "diagnostics")),
+    ("audit", ("quality", "profiles", "splits", "metrics", "summary", "bootstrap", "corruption")),
+):
+    for _name in _names:
+        _report_table(_kind, _name)
 
 
 @query

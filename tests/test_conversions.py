@@ -9,7 +9,7 @@ from tidemark.operators.conversion import clean_conversions, conversion_quality
 from tidemark.operators.metrics import descriptive_rates
 from tidemark.operators.planning import plan_enrollment
 from tidemark.operators.scoring import guarded_features, prepare_features
-from tidemark.schemas import scenario
+from tidemark.schemas import features_of
 
 SCHEMA = (
     "country string, age int, new_user int, source string, total_pages_visited int, converted int"
@@ -79,7 +79,7 @@ def test_scoring_request_keeps_nulls_and_new_levels(spark):
         "source string, age int, country string, total_pages_visited int, new_user int, note string",
     )
     got = prepare_features(request, "in_session")
-    assert got.columns == list(scenario("in_session").features)
+    assert got.columns == list(features_of("in_session"))
     assert [tuple(r) for r in got.collect()] == [
         ("Atlantis", 30.0, 1.0, None, None), ("US", 31.0, 0.0, None, 4.0)
     ]
@@ -99,12 +99,12 @@ def test_bad_scoring_values(table, column, value, message):
     with pytest.raises(ContractError, match=message):
         prepare_features(bad, "in_session")
     with pytest.raises(Exception, match=message):
-        guarded_features(bad, scenario("in_session").features, []).collect()
+        guarded_features(bad, features_of("in_session"), []).collect()
 
 
 def test_unknown_scenario():
-    with pytest.raises(ContractError, match="acquisition, in_session"):
-        scenario("later")
+    with pytest.raises(ContractError, match="acquisition and in_session"):
+        features_of("later")
 
 
 def test_descriptive_bands_are_closed_on_the_right(spark):

@@ -31,11 +31,11 @@ from tidemark.plans import policies as grid
 from tidemark.plans.audit import run_realism_audit
 from tidemark.plans.decision import run_decision_optimization
 from tidemark.plans.training import run_training
-from tidemark.schemas import SCENARIOS
+from tidemark.schemas import FEATURES
 from tidemark.sources.readers import load_conversions, read_csv
 from tidemark.sources.writers import write_csv, write_json_report, write_report_tables
 
-ACQUISITION = SCENARIOS["acquisition"].features
+ACQUISITION = FEATURES["acquisition"]
 
 
 @pytest.fixture(scope="module")
@@ -127,7 +127,7 @@ def test_preprocess_parameters(spark):
 
 
 def test_pipeline_contract_reload_and_extra_columns(spark, conversions, tmp_path):
-    features = SCENARIOS["in_session"].features
+    features = FEATURES["in_session"]
     fitted = build_model_pipeline(features).fit(conversions)
     plain = conversions.limit(200)
     request = plain.withColumns({
@@ -154,7 +154,7 @@ def test_pipeline_contract_reload_and_extra_columns(spark, conversions, tmp_path
 
 def test_logistic_fit_is_at_the_optimum(conversions):
     """Gradient of the penalized log loss at the fitted weights."""
-    fitted = build_model_pipeline(SCENARIOS["in_session"].features).fit(conversions)
+    fitted = build_model_pipeline(FEATURES["in_session"]).fit(conversions)
     model = fitted.stages[-1]
     data = fitted.transform(conversions).select("tm_features", "tm_probability", "converted")
     gradient = list(model.coefficients)
@@ -229,7 +229,7 @@ def test_bootstrap_covers_the_estimate(spark):
         assert r["lower_95"] < r["estimate"] < r["upper_95"] and r["resamples"] == 40
     own = bootstrap_interval(frame, {"mine": brier_sum}, samples=20).first()
     assert own["metric"] == "mine"
-    weights = replicate_histogram(frame, samples=40, seed=1).groupBy("replicate").agg(
+    weights = replicate_histogram(frame, [0.5], samples=40, seed=1).groupBy("replicate").agg(
         F.sum("n").alias("n")
     )
     spread = weights.agg(F.count(F.lit(1)), F.avg("n"), F.variance("n")).first()
@@ -362,3 +362,19 @@ def test_json_report_has_sorted_keys(spark, tmp_path):
     write_json_report(spark.sql("select 2 as b, cast(null as int) as c, true as a"), str(path))
     text = "".join(p.read_text() for p in path.glob("part-*"))
     assert list(json.loads(text)) == ["a", "b", "c"] and text.endswith("\n")
+
+
+def test_a_profile_alone_in_its_stratum_reaches_every_split(spark):
+    """Over fifty seeds a single large profile is test, and validation, about a fifth of them."""
+    rows = [("large", 30, 0, "Ads", i % 2) for i in range(90)]
+    rows += [(f"c{i}", 20 + i, 1, "Seo", 0) for i in range(10)]
+    frame = spark.createDataFrame(
+        rows, "country string, age int, new_user int, source string, converted int"
+    )
+    split = grouped_split(frame, list(range(50)), features=ACQUISITION)
+    found = split.where("country = 'large'").groupBy("seed").agg(
+        F.min("split").alias("low"), F.max("split").alias("high"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    assert len(found) == 50 and all(r["low"] == r["high"] and r["n"] == 90 for r in found)
+    names = [r["low"] for r in found]
+    assert 3 <= names.count("test") <= 19 and 3 <= names.count("validation") <= 19

@@ -292,3 +292,41 @@ def test_other_columns_do_not_change_the_selection(spark):
     plain = batch(spark, [0.8, 0.8, 0.2], ["a", "b", "c"])
     noisy = plain.withColumn("label", F.rand(1))
     assert chosen(select_top_k(plain, capacity=1)) == chosen(select_top_k(noisy, capacity=1))
+
+
+def test_a_null_run_is_a_run(spark):
+    """Rows whose run column is null keep their metric next to the other runs."""
+    from tidemark.operators.metrics import roc_auc
+
+    rows = [(s, i, i % 2, 0.1 * i) for s in (1, None) for i in range(6)]
+    frame = spark.createDataFrame(rows, "seed int, row_id int, label int, score double")
+    got = {r["seed"]: r["roc_auc"] for r in roc_auc(frame, ["seed"]).collect()}
+    assert set(got) == {1, None} and got[1] == got[None]
+
+
+def test_a_run_without_validation_rows_raises(spark):
+    from tidemark.operators.thresholds import Policy
+    from tidemark.plans.policies import policy_runs
+
+    rows = [
+        (seed, split, i, i % 2, 0.1 * i)
+        for seed in (1, 2) for split in ("validation", "test") for i in range(6)
+        if (seed, split) != (2, "validation")
+    ]
+    frame = spark.createDataFrame(
+        rows, "seed int, split string, row_id int, label int, score double"
+    )
+    with pytest.raises(Exception, match="no validation rows"):
+        policy_runs(frame, [Policy()]).collect()
+    assert policy_runs(frame.where("seed = 1"), [Policy()]).count() > 0
+
+
+def test_bootstrap_multiplies_rows_after_the_shuffle(spark):
+    """The one exchange of rows lies below the replicates, and no join moves their histogram."""
+    from tidemark.operators.bootstrap import replicate_histogram
+
+    frame = spark.range(100).selectExpr("cast(id as string) as key", "id % 2 as label", "id / 100 as score")
+    plan = replicate_histogram(frame, [0.25, 0.5], samples=20, seed=1)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("Exchange") == 1
+    assert text.index("Generate") < text.index("Exchange")

@@ -10,14 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
 from tidemark.functions.draws import DRAWS_PER_DIGEST, draw_block, poisson_count
 from tidemark.operators.combine import side_by_side
 from tidemark.operators.metrics import BRIER, average_precision_sum, roc_auc_sum
-from tidemark.operators.prefix import running_totals
+from tidemark.operators.prefix import running_totals, with_bucket
 from tidemark.operators.scores import ScoreProfile, profile_scores, score_histogram
 
 
@@ -34,33 +34,73 @@ METRICS = {
 
 
 def replicate_histogram(
-    frame: DataFrame, *, samples: int, seed: int, key: str = "key"
+    frame: DataFrame, points: Sequence[float], *, samples: int, seed: int, key: str = "key"
 ) -> DataFrame:
-    """(replicate, score, pos, n) with Poisson weights; eight replicates share one digest."""
+    """(_bucket, replicate, score, pos, n) with Poisson weights.
+
+    Rows are shuffled once, by score bucket and before they multiply; replicates are made and
+    counted inside the buckets. Eight replicates share one digest.
+    """
     blocks = math.ceil(samples / DRAWS_PER_DIGEST)
-    weighted = (
+    rows = with_bucket(
         frame.select(
             F.col(key).alias("_key"),
             F.col("label").cast("bigint").alias("label"),
             (F.col("score").cast("double") + F.lit(0.0)).alias("score"),
-            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-        )
+        ),
+        "score", points, "_bucket",
+    ).repartition("_bucket")
+    weighted = (
+        rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
         .select(
-            "label", "score", "_block",
+            "_bucket", "label", "score", "_block",
             F.posexplode(draw_block(F.col("_key"), F.col("_block"), seed)).alias("_i", "_draw"),
         )
         .select(
-            "label", "score",
+            "_bucket", "label", "score",
             (F.col("_block") * DRAWS_PER_DIGEST + F.col("_i")).alias("replicate"),
             poisson_count(F.col("_draw")).alias("weight"),
         )
         .where((F.col("replicate") < samples) & (F.col("weight") > 0))
     )
-    return weighted.groupBy("replicate", "score").agg(
+    return weighted.groupBy("_bucket", "replicate", "score").agg(
         F.sum(F.col("label") * F.col("weight")).alias("pos"), F.sum("weight").alias("n")
     )
 
 
+def replicate_sweep(histogram: DataFrame, samples: int) -> DataFrame:
+    """The histogram with running and whole sums per replicate, from the highest score down.
+
+    Only bucket totals move. What a bucket needs of them comes back as one row, an array over the
+    replicates, so the histogram stays where it is.
+    """
+    totals = histogram.groupBy("_bucket", "replicate").agg(
+        F.sum("pos").alias("pos"), F.sum("n").alias("n")
+    )
+    whole = Window.partitionBy("replicate")
+    above = whole.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sums = F.struct(
+        *[F.coalesce(F.sum(m).over(above), F.lit(0)).alias(f"before_{m}") for m in ("pos", "n")],
+        *[F.sum(m).over(whole).alias(f"all_{m}") for m in ("pos", "n")],
+    )
+    offsets = totals.select(F.col("_bucket").alias("_of"), "replicate", sums.alias("s")).groupBy(
+        "_of"
+    ).agg(F.map_from_entries(F.collect_list(F.struct("replicate", "s"))).alias("by"))
+    each = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("by")[i])
+    offsets = offsets.select("_of", each.alias("_sums"))
+    upto = Window.partitionBy("_bucket", "replicate").orderBy(F.col("score").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    own = F.get("_sums", F.col("replicate"))
+    return histogram.join(
+        offsets.hint("shuffle_hash"), F.col("_bucket") == F.col("_of")
+    ).select(
+        "replicate", "score", "pos", "n",
+        *[(own[f"before_{m}"] + F.sum(m).over(upto)).alias(f"cum_{m}") for m in ("pos", "n")],
+        *[own[f"all_{m}"].alias(f"all_{m}") for m in ("pos", "n")],
+    )
+
+
 def bootstrap_interval(
     frame: DataFrame,
     metrics: Sequence[str] | Mapping[str, Callable[[], Column]] = ("average_precision",),
@@ -83,14 +123,13 @@ def bootstrap_interval(
     profile = profile or profile_scores(frame)
     points = profile.score_points
 
-    def sweep(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return running_totals(histogram, keys, "score", ["pos", "n"], points, descending=True)
-
     named = [known[m]().alias(m) for m in metrics]
-
-    estimate = sweep(score_histogram(frame), []).agg(*named)
+    estimate = running_totals(
+        score_histogram(frame), [], "score", ["pos", "n"], points, descending=True
+    ).agg(*named)
+    histogram = replicate_histogram(frame, points, samples=samples, seed=seed, key=key)
     replicates = (
-        sweep(replicate_histogram(frame, samples=samples, seed=seed, key=key), ["replicate"])
+        replicate_sweep(histogram, samples)
         .where("all_pos > 0 and all_pos < all_n")
         .groupBy("replicate")
         .agg(*named)

@@ -303,6 +303,23 @@ def ranking_at_budget(
     ).select(*runs, *BUDGET_COLUMNS)
 
 
+def with_frozen(
+    rows: DataFrame, frozen: DataFrame, by: Sequence[str], value: str
+) -> DataFrame:
+    """Add the frozen ``value`` of each run; a run that has none, or rows of no run, raise.
+
+    ``frozen`` has one row per run: a bounded broadcast. Null runs are runs.
+    """
+    known = frozen.select(*[F.col(k).alias(f"_of_{k}") for k in by], value, F.lit(1).alias("_known"))
+    same = F.lit(True)
+    for k in by:
+        same = same & rows[k].eqNullSafe(F.col(f"_of_{k}"))
+    missing = F.raise_error(F.lit("a run has no validation rows to choose a threshold on"))
+    kind = frozen.schema[value].dataType
+    checked = F.when(F.col("_known").isNull(), missing.cast(kind)).otherwise(F.col(value))
+    return rows.join(F.broadcast(known), same, "left").select(*rows.columns, checked.alias(value))
+
+
 def confusion_at(
     frame: DataFrame, thresholds: DataFrame, *, runs: Sequence[str], by: Sequence[str],
     false_positive_cost: float = 1.0, false_negative_cost: float = 10.0,
@@ -311,8 +328,7 @@ def confusion_at(
     above = F.col("score") >= F.col("threshold")
     # One row per run: a bounded broadcast.
     counts = (
-        score_histogram(frame, runs)
-        .join(F.broadcast(thresholds.select(*by, "threshold")), list(by))
+        with_frozen(score_histogram(frame, runs), thresholds, by, "threshold")
         .groupBy(*runs)
         .agg(
             F.max("threshold").alias("threshold"),

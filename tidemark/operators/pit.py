@@ -166,21 +166,21 @@ def load_point_in_time_sql() -> str:
     )
 
 
-def register_event_views(tables: EventTables, *, rows_per_slice: int = ROWS_PER_SLICE) -> None:
-    """Temporary views for the packaged query."""
-    tables.sessions.createOrReplaceTempView("sessions")
-    tables.requests.createOrReplaceTempView("score_requests")
-    tables.events.createOrReplaceTempView("page_events")
-    slices = session_slices(_line_points(tables), rows_per_slice=rows_per_slice)
-    slices.createOrReplaceTempView("session_slices")
-
-
 def sql_features(
     spark: SparkSession, tables: EventTables, *, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """The packaged query over ``tables``; same result as ``point_in_time_features``."""
-    register_event_views(tables, rows_per_slice=rows_per_slice)
-    return spark.sql(load_point_in_time_sql())
+    """The packaged query over ``tables``; same result as ``point_in_time_features``.
+
+    The tables are handed over by name, so no view of the session is touched.
+    """
+    slices = session_slices(_line_points(tables), rows_per_slice=rows_per_slice)
+    if slices.isEmpty():
+        # Known to be empty, the planner leaves out what only sliced sessions need.
+        slices = slices.limit(0)
+    return spark.sql(
+        load_point_in_time_sql(), sessions=tables.sessions, score_requests=tables.requests,
+        page_events=tables.events, session_slices=slices,
+    )
 
 
 def in_score_order(features: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 QUANTILES = 1024
 ROWS_PER_BUCKET = 250_000
 MOST_BUCKETS = 1 << 15
-LEAST_BUCKETS = 8
+LEAST_BUCKETS = 32
 
 
 def quantile_points(column: str) -> Column:
@@ -79,9 +79,13 @@ def running_totals(
     so the rows are shuffled once. The offsets are the hashed side, one row per key group and
     bucket; a broadcast is not asked for, since key groups may be many.
     """
-    bucket = [*keys, "_bucket"]
+    # As one struct, a key group with nulls equals itself in the join below.
+    keys_of = ["_run"] if keys else []
+    bucket = [*keys_of, "_bucket"]
     placed = with_bucket(frame, by, points, "_bucket")
-    whole = Window.partitionBy(*keys)
+    if keys:
+        placed = placed.withColumn("_run", F.struct(*keys))
+    whole = Window.partitionBy(*keys_of)
     across = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     earlier = whole.orderBy(across).rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy(*bucket).agg(*[F.sum(m).alias(f"_{m}") for m in measures])

@@ -68,7 +68,7 @@ def _rules(frame: DataFrame, features: Sequence[str]) -> list[Rule]:
 
 def scoring_violations(frame: DataFrame, scenario: str) -> DataFrame:
     """All counters of the scoring contract, from one pass."""
-    features = schemas.scenario(scenario).features
+    features = schemas.features_of(scenario)
     work = require_columns(frame, features, "scoring request")
     return violation_rows(work, _rules(work, features))
 
@@ -90,7 +90,7 @@ def prepare_features(
     frame: DataFrame, scenario: str, *, keep: Sequence[str] = (), validate: bool = True
 ) -> DataFrame:
     """Project a scoring request to the scenario's features, in training order."""
-    features = schemas.scenario(scenario).features
+    features = schemas.features_of(scenario)
     require_columns(frame, (*keep, *features), "scoring request")
     if validate:
         raise_first(scoring_violations(frame, scenario))

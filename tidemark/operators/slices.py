@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_ROWS = 200_000
-SAMPLES_PER_SLICE = 10
+SAMPLES_PER_SLICE = 100
 ROWS_PER_SLICE = 2_000_000
 
 _POINT = T.StructType([T.StructField("at", T.LongType()), T.StructField("side", T.LongType())])
@@ -26,30 +25,35 @@ SLICE_SCHEMA = T.StructType(
 def session_slices(moments: DataFrame, *, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Cut points of the sessions with more than ``rows_per_slice`` moments.
 
-    ``moments`` has session_id, at and side. The cuts come from a row sample of bounded size and
-    are fixed as literals: they decide how the work is split, never what the result is. With n
-    rows there are at most n / rows_per_slice cuts and never more than a tenth of the sample, so
-    the table may be broadcast.
+    ``moments`` has session_id, at and side. Sessions are counted exactly, with combining on the
+    map side; n rows have at most n / rows_per_slice large ones. Only their moments are sampled, a
+    hundred per slice, so a slice is within a third of its size at every scale. The cuts are
+    literals: they decide how the work is split, never what the result is. There are about
+    n / rows_per_slice of them, so the table may be broadcast.
     """
     spark = moments.sparkSession
-    rows = moments.count()
-    if rows <= rows_per_slice:
+    counts = moments.groupBy("session_id").agg(F.count(F.lit(1)).alias("rows"))
+    hot = counts.where(F.col("rows") > rows_per_slice).withColumn(
+        "pieces", F.ceil(F.col("rows") / F.lit(rows_per_slice)).cast("int")
+    )
+    known = hot.collect()
+    if not known:
         return spark.createDataFrame([], SLICE_SCHEMA)
-    share = min(1.0, SAMPLE_ROWS / rows)
-    per_slice = max(rows_per_slice * share, SAMPLES_PER_SLICE)
-    sampled = moments.select("session_id", F.struct("at", "side").alias("point"))
-    if share < 1.0:
-        sampled = sampled.sample(fraction=share, seed=11)
+    sizes = spark.createDataFrame(
+        [(r["session_id"], r["pieces"]) for r in known], "session_id string, pieces int"
+    )
+    share = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
+    drawn = F.pmod(F.xxhash64("at", "side"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
     large = (
-        sampled.groupBy("session_id")
-        .agg(F.sort_array(F.collect_list("point")).alias("points"))
-        .withColumn("pieces", F.ceil(F.size("points") / F.lit(per_slice)).cast("int"))
-        .where("pieces > 1")
+        moments.where(drawn)
+        .join(F.broadcast(sizes), "session_id")
+        .groupBy("session_id", "pieces")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "side"))).alias("points"))
         .select(
             "session_id",
             F.expr(
                 "array_distinct(transform(sequence(1, pieces - 1),"
-                " i -> points[cast(i * size(points) / pieces as int)]))"
+                " i -> points[cast(cast(i as bigint) * size(points) / pieces as int)]))"
             ).alias("cuts"),
         )
         .collect()

@@ -6,17 +6,22 @@ partitioning. Rows are never shuffled for it: the cuts are found on bucket weigh
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.durable import written
 from tidemark.errors import ContractError
-from tidemark.functions.draws import rank_draw
+from tidemark.functions.draws import rank_draw, uniform
 from tidemark.functions.text import tuple_text
 from tidemark.operators.ranking import left_of, stratum_cuts
 
-MANY_ROWS = 10**10
+#: Rows, about, that one task sorts to find a cut.
+ROWS_PER_CUT = 2_500_000
+#: Share of the rows from which a profile is broadcast with its split; at most the inverse are.
+HOT_SHARE = 0.001
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
 
@@ -37,6 +42,9 @@ def _name_split() -> Column:
     )
 
 
+def _digits(rows: int) -> int:
+    """Hex digits of the draw whose buckets hold about ``ROWS_PER_CUT`` rows."""
+    return max(1, math.ceil(math.log(max(rows, 1) / ROWS_PER_CUT, 16)))
 
 
 def stratified_split(
@@ -79,8 +87,7 @@ def stratified_split(
             "test": lambda _: _by_label(quota, 0),
             "validation": lambda _: _by_label(quota, 1),
         },
-        # Keeps a bucket below some ten million rows.
-        digits=3 if n < MANY_ROWS else 4,
+        digits=_digits(n),
     )
     # Two labels per seed.
     joined = work.join(F.broadcast(cuts), ["seed", "_label"])
@@ -118,7 +125,8 @@ def profile_split(
             }
         )
 
-    profiles = placed(frame.select(*features).distinct())
+    distinct = written(frame.select(*features).distinct())
+    profiles = placed(distinct)
     cuts = stratum_cuts(
         profiles.select("seed", "draw", "key", "weight"),
         ["seed"],
@@ -127,6 +135,7 @@ def profile_split(
             "validation": lambda total: _ceil_div(total, 5)
             + _ceil_div(total - _ceil_div(total, 5), 4),
         },
+        digits=_digits(distinct.count()),
     )
     joined = placed(frame).join(F.broadcast(cuts), "seed")
     return joined.withColumn("split", _name_split()).select("seed", *frame.columns, "split")
@@ -145,39 +154,72 @@ def grouped_split(
 ) -> DataFrame:
     """Rows per seed with ``split``: no profile in two splits, nominal 60/20/20 of the rows.
 
-    Profiles are put into strata of like size and like rate of positives; inside a stratum they
-    are taken in the order of a hashed draw until a fifth of its rows is test and another fifth
-    validation. Splits then have like prevalence.
+    Profiles are put into strata of like size and like rate of positives. Inside a stratum they
+    lie on a circle of their rows in the order of a hashed draw; from a hashed start, a fifth of
+    the circle is test and the next fifth validation. So splits have like prevalence, and every
+    profile, also one alone in its stratum, is test for a fifth of the seeds.
+
+    Rows find the split of their profile by a join on profiles. Those with more than
+    ``HOT_SHARE`` of the rows are broadcast, so no key of the other join holds more.
     """
     seeds = _seeds(seeds)
     features = list(features)
-    key = profile_text(features)
-    profiles = frame.groupBy(*features).agg(
-        F.count(F.lit(1)).alias("weight"), F.avg(F.col(label).cast("double")).alias("_rate")
+    profiles = written(
+        frame.groupBy(*features).agg(
+            F.count(F.lit(1)).alias("_weight"), F.avg(F.col(label).cast("double")).alias("_rate")
+        )
     )
+    total, many = profiles.agg(F.sum("_weight"), F.count(F.lit(1))).first()
     # Sizes by powers of four, rates by quarters of [0, 1].
-    size = F.floor(F.log2(F.col("weight")) / 2).cast("int")
+    size = F.floor(F.log2(F.col("_weight")) / 2).cast("int")
     rate = F.ceil(F.col("_rate") * 4).cast("int")
     work = _per_seed(
-        profiles.withColumns({"_size": size, "_part": rate, "key": key}), seeds
-    ).withColumn("draw", rank_draw(F.col("key"), "grouped", F.col("seed")))
+        profiles.withColumns({"_size": size, "_part": rate, "key": profile_text(features)}), seeds
+    ).withColumns(
+        {"draw": rank_draw(F.col("key"), "grouped", F.col("seed")), "weight": F.col("_weight")}
+    )
     strata = ["seed", "_size", "_part"]
+    start = uniform(F.concat_ws(":", "_size", "_part"), "start", F.col("seed"))
+    turn = {name: _fraction(F.lit(gap) - start) for name, gap in _CIRCLE.items()}
     cuts = stratum_cuts(
         work.select(*strata, "draw", "key", "weight"),
         strata,
-        {
-            "test": lambda total: total / F.lit(5.0),
-            "validation": lambda total: total * F.lit(2.0) / F.lit(5.0),
-        },
+        {name: (lambda total, at=at: total * at) for name, at in turn.items()},
+        digits=_digits(many),
     )
+
+    def between(low: str, high: str) -> Column:
+        """From one cut up to the next around the circle."""
+        after, upto = ~left_of(low), left_of(high)
+        return F.when(turn[low] < turn[high], after & upto).otherwise(after | upto)
+
+    split = F.when(between("start", "test"), TEST).when(
+        between("test", "validation"), VALIDATION
+    ).otherwise(TRAIN)
     # At most 32 sizes and 5 rates per seed.
-    named = (
-        work.join(F.broadcast(cuts), strata)
-        .withColumn("split", _name_split())
-        .select("seed", *[F.col(f).alias(f"_{f}") for f in features], "split")
+    named = written(
+        work.join(F.broadcast(cuts), strata).select(
+            "seed", *[F.col(f).alias(f"_{f}") for f in features], "_weight", split.alias("split")
+        )
     )
-    same = [frame[f].eqNullSafe(named[f"_{f}"]) for f in features]
-    return frame.join(named, same).select("seed", *[frame[c] for c in frame.columns], "split")
+    hot = F.col("_weight") > (total or 0) * HOT_SHARE
+    same = [frame[f].eqNullSafe(F.col(f"_{f}")) for f in features]
+    first = named["seed"] == seeds[0]
+    rare = frame.join(F.broadcast(named.where(hot & first)), same, "left_anti")
+    parts = [
+        frame.join(F.broadcast(named.where(hot)), same),
+        rare.join(named.where(~hot), [rare[f].eqNullSafe(F.col(f"_{f}")) for f in features]),
+    ]
+    chosen = ["seed", *frame.columns, "split"]
+    return parts[0].select(*chosen).unionByName(parts[1].select(*chosen))
+
+
+#: Where on the circle the test rows begin and end, and the validation rows end.
+_CIRCLE = {"start": 0.0, "test": 0.2, "validation": 0.4}
+
+
+def _fraction(value: Column) -> Column:
+    return value - F.floor(value)
 
 
 def split_summary(split: DataFrame, *, label: str = "converted") -> DataFrame:

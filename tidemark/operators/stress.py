@@ -34,7 +34,7 @@ def corrupted_inputs(
 
     Each row becomes one row per variant within one scan.
     """
-    features = schemas.scenario(scenario).features
+    features = schemas.features_of(scenario)
     others = [c for c in frame.columns if c not in features]
     low, high = schemas.AGE_RANGE
 

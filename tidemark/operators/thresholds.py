@@ -13,6 +13,8 @@ from tidemark.operators.metrics import cost_per_1000, double_text, require_costs
 from tidemark.operators.scores import ScoreProfile, profile_scores, threshold_sweep
 
 OBJECTIVE = "minimize_expected_misclassification_cost"
+# The names of policies without and with a ceiling.
+FREE, CEILED = "unconstrained", "validation_selection_ceiling_"
 CHOICE_COLUMNS = (
     "threshold",
     "expected_cost_per_1000",
@@ -46,6 +48,12 @@ class Policy:
         if ceiling is not None and not 0 < ceiling <= 1:
             raise ContractError("selection ceiling must be in (0, 1]")
 
+    @property
+    def label(self) -> str:
+        """The text that names the ceiling in result tables."""
+        share = self.max_selection_fraction
+        return FREE if share is None else f"{CEILED}{share:.3f}"
+
     @property
     def theoretical_threshold(self) -> float:
         """The best threshold when scores are calibrated probabilities."""

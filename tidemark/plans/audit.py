@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.durable import durable
+from tidemark.durable import written
 from tidemark.errors import ContractError
 from tidemark.operators.bootstrap import bootstrap_interval
 from tidemark.operators.combine import side_by_side
@@ -101,14 +101,15 @@ def corruption_metrics(
     model, test: DataFrame, scenario: str, *, seed: int
 ) -> DataFrame:
     """Metrics at threshold 0.5 of each corrupted variant of the test rows, in one pass."""
-    features = schemas.scenario(scenario).features
+    features = schemas.features_of(scenario)
     variants = corrupted_inputs(
         test.select("row_id", F.col("converted").alias("label"), *features), scenario, seed=seed
     )
     scored = score_rows(model, variants, keep=["variant", "row_id", "label"])
     runs = ["variant"]
     free = threshold_free_metrics(scored, runs=runs)
-    return side_by_side([free, confusion(scored, 0.5, runs=runs, validate=False)], runs).select(*runs, *METRIC_COLUMNS)
+    judged = confusion(scored, 0.5, runs=runs, validate=False)
+    return side_by_side([free, judged], runs).select(*runs, *METRIC_COLUMNS)
 
 
 def baseline_scores(splits: DataFrame, *, seed: int, prevalence: float) -> DataFrame:
@@ -136,27 +137,27 @@ def run_realism_audit(
         raise ContractError("at least one split seed is required")
     base = BASE_SEED if BASE_SEED in seeds else int(seeds[0])
     rows = clean_conversions(conversions, keep=("row_id",))
-    row_splits = durable(stratified_split(rows, seeds))
+    row_splits = written(stratified_split(rows, seeds), partition_by=("seed", "split"))
     base_rows = row_splits.where(F.col("seed") == base)
     train = base_rows.where("split = 'train'")
     holdouts = {
-        name: durable(profile_split(rows, base, features=scenario.features))
-        for name, scenario in schemas.SCENARIOS.items()
+        name: written(profile_split(rows, base, features=features), partition_by=("split",))
+        for name, features in schemas.FEATURES.items()
     }
     permuted = permuted_labels(train, seed=base).drop("converted").withColumnRenamed(
         "permuted_label", "converted"
     )
     jobs: list[tuple[tuple[str, str, int], tuple[str, ...], DataFrame, DataFrame]] = []
-    for name, scenario in schemas.SCENARIOS.items():
+    for name, features in schemas.FEATURES.items():
         for seed in seeds:
             mine = row_splits.where(F.col("seed") == int(seed))
-            jobs.append(((ROW_RANDOM, name, int(seed)), scenario.features,
+            jobs.append(((ROW_RANDOM, name, int(seed)), features,
                          mine.where("split = 'train'"), mine))
         held = holdouts[name]
-        jobs.append(((PROFILE_HOLDOUT, name, base), scenario.features,
+        jobs.append(((PROFILE_HOLDOUT, name, base), features,
                      held.where("split = 'train'"), held))
     jobs.append(((PAGES, "in_session", base), PAGES_ONLY, train, base_rows))
-    acquisition = schemas.SCENARIOS["acquisition"].features
+    acquisition = schemas.FEATURES["acquisition"]
     jobs.append(((PERMUTED, "acquisition", base), acquisition, permuted, base_rows))
     models = fit_all(
         [(build_model_pipeline(features), fit_rows) for _, features, fit_rows, _ in jobs],
@@ -181,10 +182,10 @@ def run_realism_audit(
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)
-    scored = durable(scored)
-    metrics = durable(frozen_metrics(scored))
+    scored = written(scored, partition_by=(*RUNS, "split"))
+    metrics = written(frozen_metrics(scored))
     boots, stressed = [], []
-    for name in schemas.SCENARIOS:
+    for name in schemas.FEATURES:
         test = scored.where(
             (F.col("experiment") == ROW_RANDOM) & (F.col("scenario") == name)
             & (F.col("seed") == base) & (F.col("split") == "test")
@@ -204,8 +205,8 @@ def run_realism_audit(
             ).withColumn("scenario", F.lit(name))
         )
     diagnostics = [
-        profile_diagnostics(rows, scenario.features).withColumn("scenario", F.lit(name))
-        for name, scenario in schemas.SCENARIOS.items()
+        profile_diagnostics(rows, features).withColumn("scenario", F.lit(name))
+        for name, features in schemas.FEATURES.items()
     ]
     split_rows = [split_summary(row_splits).withColumn("strategy", F.lit(ROW_RANDOM))] + [
         split_summary(held).withColumn("strategy", F.lit(f"{PROFILE_HOLDOUT}:{name}"))

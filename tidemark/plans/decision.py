@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.durable import durable
+from tidemark.durable import written
 from tidemark.errors import ContractError
 from tidemark.operators.conversion import clean_conversions, conversion_quality
 from tidemark.operators.model import build_model_pipeline, fit_all, score_rows
@@ -50,7 +50,7 @@ class DecisionReport:
 
 def split_table(rows: DataFrame, seeds: Sequence[int], strategies: Sequence[str]) -> DataFrame:
     """Rows per strategy and seed with ``split``; the same split serves every scenario."""
-    profile = schemas.SCENARIOS["acquisition"].features
+    profile = schemas.FEATURES["acquisition"]
     makers = {
         GROUPED: lambda: grouped_split(rows, seeds, features=profile),
         ROW_RANDOM: lambda: stratified_split(rows, seeds),
@@ -77,7 +77,7 @@ def scored_table(
     models = fit_all(
         [
             (
-                build_model_pipeline(schemas.scenario(scenario).features),
+                build_model_pipeline(schemas.features_of(scenario)),
                 rows_of(strategy, seed).where(F.col("split") == "train"),
             )
             for scenario, strategy, seed in runs
@@ -104,24 +104,28 @@ def run_decision_optimization(
     seeds: Sequence[int] = grid.DEFAULT_SEEDS,
     false_negative_costs: Sequence[float] = grid.DEFAULT_FALSE_NEGATIVE_COSTS,
     ceilings: Sequence[float] = grid.DEFAULT_CEILINGS,
-    scenarios: Sequence[str] = tuple(schemas.SCENARIOS),
+    scenarios: Sequence[str] = tuple(schemas.FEATURES),
     strategies: Sequence[str] = STRATEGIES,
     parallelism: int = 4,
 ) -> DecisionReport:
     """The full decision report over a conversion table with ``row_id``.
 
-    The split table and the long scored table are written once to the shared checkpoint folder;
-    everything after them is one plan per report table.
+    The split table and the long scored table are written once to the shared folder, in one
+    partition per run and split, so a fit reads its own rows only; everything after them is one
+    plan per report table.
     """
     if not seeds:
         raise ContractError("at least one split seed is required")
     policies = grid.policy_grid(false_negative_costs, ceilings)
     rows = clean_conversions(conversions, keep=("row_id",))
-    splits = durable(split_table(rows, seeds, strategies))
-    scored = durable(
-        scored_table(splits, seeds, scenarios, strategies, parallelism=parallelism)
+    splits = written(
+        split_table(rows, seeds, strategies), partition_by=("split_strategy", "seed", "split")
     )
-    judged = durable(grid.policy_runs(scored, policies, runs=RUNS))
+    scored = written(
+        scored_table(splits, seeds, scenarios, strategies, parallelism=parallelism),
+        partition_by=(*RUNS, "split"),
+    )
+    judged = written(grid.policy_runs(scored, policies, runs=RUNS))
     comparison = grid.policy_comparison(judged, runs=RUNS)
     groups = ("scenario", "split_strategy")
     shares = [

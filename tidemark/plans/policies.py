@@ -20,9 +20,10 @@ from tidemark.operators.metrics import (
     double_text,
     threshold_free_metrics,
     with_confusion,
+    with_frozen,
 )
 from tidemark.operators.scores import profile_scores, score_histogram
-from tidemark.operators.thresholds import Policy, choose_thresholds
+from tidemark.operators.thresholds import FREE, Policy, choose_thresholds
 
 # The default grid.
 DEFAULT_SEEDS = (7, 21, 42, 84, 2026)
@@ -65,14 +66,6 @@ SUMMARY_FIELDS = (
 )
 
 
-def policy_name(ceiling: float | None) -> str:
-    return "unconstrained" if ceiling is None else f"validation_selection_ceiling_{ceiling:.3f}"
-
-
-def cost_key(cost: float) -> str:
-    return f"{cost:g}"
-
-
 def policy_grid(
     false_negative_costs: Sequence[float] = DEFAULT_FALSE_NEGATIVE_COSTS,
     ceilings: Sequence[float] = DEFAULT_CEILINGS,
@@ -84,14 +77,14 @@ def policy_grid(
         raise ContractError("false-negative costs must be finite and positive")
     if any(not math.isfinite(c) or not 0 < c <= 1 for c in ceilings):
         raise ContractError("ceilings must be in (0, 1]")
-    for names in ([cost_key(c) for c in false_negative_costs], [policy_name(c) for c in ceilings]):
-        if len(set(names)) != len(names):
-            raise ContractError("two policies would have the same name")
-    return [
+    grid = [
         Policy(1.0, float(cost), ceiling)
         for ceiling in (None, *ceilings)
         for cost in false_negative_costs
     ]
+    if len({(p.label, f"{p.false_negative_cost:g}") for p in grid}) != len(grid):
+        raise ContractError("two policies would have the same name")
+    return grid
 
 
 def primary_cost(false_negative_costs: Sequence[float]) -> float:
@@ -133,10 +126,8 @@ def policy_runs(
     )
     literal = sorted({FIXED_THRESHOLD, *[p.theoretical_threshold for p in policies]})
     cuts = [f"cuts[{i}]" for i in range(len(policies))] + [double_text(v) for v in literal]
-    # One row per run: a bounded broadcast.
     counts = (
-        score_histogram(test, runs)
-        .join(F.broadcast(frozen), runs)
+        with_frozen(score_histogram(test, runs), frozen, runs, "cuts")
         .groupBy(*runs)
         .agg(
             *[
@@ -180,7 +171,7 @@ def policy_runs(
     ceiling = _per_policy(
         ["cast(null as double)" if f is None else double_text(f) for f in fractions]
     )
-    names = _per_policy([f"'{policy_name(f)}'" for f in fractions])
+    names = _per_policy([f"'{p.label}'" for p in policies])
     return (
         judged.join(F.broadcast(free), runs)
         .join(F.broadcast(rate), [*runs, "policy_id"])
@@ -328,14 +319,11 @@ def policy_benchmark(
     A comparison under the ceiling is null when any run of either policy exceeds the ceiling on
     test rows; the raw change is kept in its own line.
     """
-    if not any(
-        p.max_selection_fraction is not None
-        and policy_name(p.max_selection_fraction) == policy_name(ceiling)
-        for p in policies
-    ):
+    bound_label = Policy(max_selection_fraction=ceiling).label
+    if bound_label not in {p.label for p in policies}:
         raise ContractError("the ceiling is not among the policies")
     primary = comparison.where(F.col("false_negative_cost") == float(false_negative_cost)).where(
-        F.col("policy").isin(policy_name(None), policy_name(ceiling))
+        F.col("policy").isin(FREE, bound_label)
     )
     spread = [
         F.struct(
@@ -370,5 +358,5 @@ def policy_benchmark(
     )
     return rows.select(
         *groups,
-        F.inline(F.when(F.col("policy") == policy_name(None), free).otherwise(bound)),
+        F.inline(F.when(F.col("policy") == FREE, free).otherwise(bound)),
     )

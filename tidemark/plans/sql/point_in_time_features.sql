@@ -1,5 +1,5 @@
 -- One row per score request, from page events that occurred before the request and had arrived
--- by it. Views: sessions, score_requests, page_events, session_slices.
+-- by it. Tables by name: {sessions}, {score_requests}, {page_events}, {session_slices}.
 --
 -- event_at_us < s AND available_at_us <= s is the same as visible_at <= s with
 -- visible_at = greatest(event_at_us + 1, available_at_us), so both times fold into one line of
@@ -15,7 +15,7 @@ WITH moments AS (
         0L AS categories,
         event_at_us AS seen_at,
         CAST(NULL AS STRING) AS score_id
-    FROM page_events
+    FROM {page_events}
     UNION ALL
     SELECT
         session_id,
@@ -25,7 +25,7 @@ WITH moments AS (
         1L,
         CAST(NULL AS BIGINT),
         CAST(NULL AS STRING)
-    FROM page_events
+    FROM {page_events}
     GROUP BY session_id, page_category
     UNION ALL
     SELECT
@@ -36,10 +36,10 @@ WITH moments AS (
         0L,
         CAST(NULL AS BIGINT),
         score_id
-    FROM score_requests
+    FROM {score_requests}
 ),
 sliced AS (
-    SELECT
+    SELECT /*+ BROADCAST(s) */
         m.*,
         s.heads IS NOT NULL AS is_sliced,
         CASE
@@ -51,7 +51,7 @@ sliced AS (
                     c -> c <= struct(m.at, m.side)))
         END AS slice
     FROM moments m
-    LEFT JOIN session_slices s ON s.session_id = m.session_id
+    LEFT JOIN {session_slices} s ON s.session_id = m.session_id
 ),
 carried AS (
     SELECT
@@ -64,7 +64,7 @@ carried AS (
         SELECT session_id, slice, sum(pages) AS pages, sum(categories) AS categories,
                max(seen_at) AS seen_at
         FROM sliced
-        WHERE is_sliced
+        WHERE is_sliced AND session_id IN (SELECT session_id FROM {session_slices})
         GROUP BY session_id, slice
     )
     WINDOW earlier AS (
@@ -113,4 +113,4 @@ SELECT
     h.seen_at AS feature_max_event_at_us,
     (h.score_at_us - h.seen_at) div 1000000 AS seconds_since_last_page_view
 FROM history h
-JOIN sessions s ON s.session_id = h.session_id
+JOIN {sessions} s ON s.session_id = h.session_id

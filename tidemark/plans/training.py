@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.durable import durable
+from tidemark.durable import written
 from tidemark.operators.combine import side_by_side
 from tidemark.operators.conversion import clean_conversions
 from tidemark.operators.metrics import (
@@ -48,7 +48,7 @@ def run_training(
     conversions: DataFrame,
     *,
     model_names: Sequence[str] = MODEL_NAMES,
-    scenarios: Sequence[str] = tuple(schemas.SCENARIOS),
+    scenarios: Sequence[str] = tuple(schemas.FEATURES),
     false_positive_cost: float = 1.0,
     false_negative_cost: float = 10.0,
     seed: int = 42,
@@ -59,12 +59,12 @@ def run_training(
     scenario, model and split (validation, test)."""
     require_costs(false_positive_cost, false_negative_cost)
     rows = clean_conversions(conversions, keep=("row_id",))
-    splits = durable(stratified_split(rows, seed))
+    splits = written(stratified_split(rows, seed), partition_by=("split",))
     train, rest = splits.where("split = 'train'"), splits.where("split <> 'train'")
     runs = [(scenario, model) for scenario in scenarios for model in model_names]
     models = fit_all(
         [
-            (build_model_pipeline(schemas.scenario(s).features, m, trees=trees), train)
+            (build_model_pipeline(schemas.features_of(s), m, trees=trees), train)
             for s, m in runs
         ],
         parallelism=parallelism,
@@ -79,10 +79,10 @@ def run_training(
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)
-    scored = durable(scored)
+    scored = written(scored, partition_by=(*RUNS, "split"))
     policy = Policy(false_positive_cost, false_negative_cost)
     profile = profile_scores(scored, order="row_id")
-    choices = durable(
+    choices = written(
         choose_thresholds(scored.where("split = 'validation'"), [policy], runs=RUNS)
     )
     keys = [*RUNS, "split"]
@@ -91,7 +91,7 @@ def run_training(
         false_negative_cost=false_negative_cost,
     )
     free = threshold_free_metrics(scored, runs=keys, profile=profile)
-    metrics = durable(
+    metrics = written(
         side_by_side([free, judged], keys).select(*keys, *METRIC_COLUMNS)
     )
     return TrainingReport(
