@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import written
+from tidemark.durable import free_shuffles, written
 from tidemark.llm import repeats
 from tidemark.llm.repeats import ROW
 from tidemark.llm.word_hash import WordHashes
@@ -29,7 +29,7 @@ from tidemark.llm.word_hash import WordHashes
 LENGTH = 50
 SEED = 20
 #: Phrases per automaton, about, and documents that one of its parts streams.
-PHRASES, DOCUMENTS = 20_000, 1000
+PHRASES, DOCUMENTS = 20_000, 5000
 
 _HASHES = WordHashes()
 
@@ -151,6 +151,7 @@ def removed_passages(documents: DataFrame) -> DataFrame:
         own.join(routes, ["o", "v"], "left").select("doc_id", "text", "o", "v", "shards", "firsts")
         .mapInPandas(_unshared, fields)
     )
+    free_shuffles(documents.sparkSession)
     texts = joined.where("shards IS NOT NULL")
     single = texts.select("o", "v", "text", "shards", "firsts").dropDuplicates(["o", "v"])
     patterns = single.where(F.size("firsts") > 0).select("text", "firsts").mapInPandas(
