@@ -35,7 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
     a number of rounds that grows with the logarithm of their length. Each round is written to the
     shared folder, and no node's links meet in one task.
     """
-    state = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    state = written(
+        edges.where("a <> b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
     mark = F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20)")).alias("s"))
     before = None
     while True:
