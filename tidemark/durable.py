@@ -50,12 +50,3 @@ def written(frame: DataFrame, *, partition_by: Sequence[str] = ()) -> DataFrame:
     frame.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     back = spark.read.schema(frame.schema).parquet(path)
     return back.select(*frame.columns)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let executors delete the shuffle files of finished jobs now.
-
-    Spark deletes them when the driver's garbage is collected, which may be long after; a job of
-    several steps that are written to the shared folder need not keep those of earlier steps.
-    """
-    spark.sparkContext._jvm.System.gc()
