@@ -60,3 +60,27 @@ def test_queries_that_have_sql_equal_it(spark):
         assert sorted(got.columns) == sorted(relation.columns)
         mine = sorted(tuple(r) for r in got.select(*relation.columns).collect())
         assert mine == sorted(relation.fetchall())
+
+
+def test_near_stage_joins_pairs_from_80_percent_on(spark):
+    """Pairs at exactly 80 %, between it and 85 %, and just under it, against brute force."""
+    rows, texts = [], {}
+    for pair, more in enumerate([*[20] * 12, *range(13, 20), 21, 22, 30]):
+        words = [f"w{pair}x{k}" for k in range(84)]
+        # 80 shingles and as many as words are added: 80 of 80 + more are in common.
+        texts[pair] = [" ".join(words), " ".join([*words, *[f"a{pair}x{k}" for k in range(more)]])]
+        rows += [(2 * pair + k, t) for k, t in enumerate(texts[pair])]
+    got = corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert {r["doc_id"] for r in got.collect()} == {r[0] for r in brute.near(rows, 80) if r[3]}
+    assert len(rows) - got.count() == 19
+
+
+def test_forest_misses_as_seldom_at_other_percentages():
+    from tidemark.llm.near_dedup import HASHES, MISS, forest
+
+    assert (forest(85).trees, forest(85).depth, forest(85).length, forest(85).least_equal) == (20, 4, 8, 112)
+    assert (forest(80).depth, forest(80).least_equal) == (3, 101)
+    for percent in (50, 70, 80, 90, 95):
+        own = forest(percent)
+        assert (1 - (percent / 100) ** own.depth) ** own.trees <= MISS
+        assert own.trees * own.length <= HASHES

@@ -1,7 +1,7 @@
 """Near duplicates by an LSH forest, with links confirmed on full shingle sets.
 
 Each tree orders the distinct shingle sets by its own sequence of minimum hashes. Sets that agree
-on the first ``DEPTH`` of them form a region of the tree. In a small region all pairs are
+on the first ``depth`` of them form a region of the tree. In a small region all pairs are
 candidates. A large region is refined: along its sorted order each set meets the neighbour with
 the longest common prefix, and links contract it to a few components; the sets outside its largest
 component are then compared with the whole region in blocks, likest pairs first. Links found there
@@ -10,7 +10,10 @@ join components at once, so a pair of a region stays unjudged only if both are c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,13 +27,15 @@ from tidemark.llm.text import bare
 from tidemark.llm.word_hash import WordHashes, windows
 
 SHINGLE = 5
-#: Links join sets with ``PERCENT`` of their union in common.
+#: Links join sets with this much of their union in common, if nothing else is asked for.
 PERCENT = 85
-#: At 85 % a pair shares no region of 20 trees at depth 4 once in 2.5 million times.
-TREES, DEPTH, LENGTH = 20, 4, 8
-HASHES = TREES * LENGTH
-#: Pairs with fewer equal minimum hashes are not confirmed: at 85 %, 5.4 deviations below the mean.
-LEAST_EQUAL = 112
+HASHES = 160
+#: Hashes of a tree beyond its depth, by which large regions are sorted.
+BEYOND = 4
+#: Largest share of pairs, at exactly the percentage of a link, that share no region of the forest.
+MISS = 4e-7
+#: Largest share of them that have fewer equal minimum hashes than are asked for.
+UNLIKE = 4.5e-7
 SMALL = 24
 #: Sets per block when a large region is compared with those outside its largest component.
 BLOCK = 1000
@@ -39,6 +44,39 @@ _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, HASHES, dtype=np.uint6
 _SKETCH = "doc_id long, n_shingles long, fp binary, sig array<int>"
 
 
+class Forest(NamedTuple):
+    """What is set by ``percent``: links join sets with that much of their union in common."""
+
+    percent: int
+    trees: int
+    depth: int
+    length: int
+    least_equal: int
+
+
+@cache
+def forest(percent: int) -> Forest:
+    """The deepest forest of ``HASHES`` that keeps to ``MISS``, and the cut that keeps to ``UNLIKE``.
+
+    At 85 % these are 20 trees of depth 4 and 112 equal hashes, at 80 % 21 of depth 3 and 101.
+    """
+    share = percent / 100
+    if not 0 < share < 1:
+        raise ValueError(f"percent must be between 0 and 100, not {percent}")
+    trees = lambda depth: math.ceil(math.log(MISS) / math.log1p(-(share**depth)))
+    depth = 0
+    while trees(depth + 1) * (depth + 1 + BEYOND) <= HASHES:
+        depth += 1
+    if not depth:
+        raise ValueError(f"{HASHES} hashes are too few for links at {percent} %")
+    least, below = 0, 0.0
+    while True:
+        below += math.comb(HASHES, least) * share**least * (1 - share) ** (HASHES - least)
+        if below > UNLIKE:
+            return Forest(percent, trees(depth), depth, depth + BEYOND, least)
+        least += 1
+
+
 def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the 5-word shingles; of all words, where there are fewer."""
     words = (text or "").encode("utf-8").lower().split()
@@ -78,15 +116,15 @@ def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"fp": [_print(s) for s in sets], "own": [s.tobytes() for s in sets]})
 
 
-def _regions(vertices: DataFrame) -> DataFrame:
+def _regions(vertices: DataFrame, shape: Forest) -> DataFrame:
     """``tree, head, tail, fp, n``: all regions with several sets, and their size."""
     trees = F.explode(
         F.transform(
-            F.sequence(F.lit(0), F.lit(TREES - 1)),
+            F.sequence(F.lit(0), F.lit(shape.trees - 1)),
             lambda t: F.struct(
                 t.alias("tree"),
-                F.slice("sig", t * LENGTH + 1, DEPTH).alias("head"),
-                F.slice("sig", t * LENGTH + DEPTH + 1, LENGTH - DEPTH).alias("tail"),
+                F.slice("sig", t * shape.length + 1, shape.depth).alias("head"),
+                F.slice("sig", t * shape.length + shape.depth + 1, BEYOND).alias("tail"),
             ),
         )
     ).alias("x")
@@ -125,13 +163,13 @@ def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _large_neighbours(large: DataFrame) -> DataFrame:
     """Neighbours in the sorted orders of large regions. Ranges of the order share no task."""
-    keyed = large.select("region", *[F.get("tail", i).alias(f"t{i}") for i in range(LENGTH - DEPTH)], "fp")
+    keyed = large.select("region", *[F.get("tail", i).alias(f"t{i}") for i in range(BEYOND)], "fp")
     order = keyed.columns
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     return _ordered_pairs(ranged.select("region", "fp").mapInPandas(_neighbours, "a binary, b binary"))
 
 
-def _likely(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, vertices: DataFrame, shape: Forest) -> DataFrame:
     """Pairs whose minimum hashes and sizes allow a link."""
     side = lambda k: vertices.select(
         F.col("fp").alias(k), F.col("sig").alias(f"sig_{k}"), F.col("n_shingles").alias(f"n_{k}")
@@ -140,31 +178,34 @@ def _likely(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
     equal = F.aggregate(
         F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
     )
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    return both.where(fits & (equal >= LEAST_EQUAL)).select("a", "b")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * shape.percent
+    return both.where(fits & (equal >= shape.least_equal)).select("a", "b")
 
 
-def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        kept = [
-            _linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
-            for a, b in zip(batch["own_a"], batch["own_b"], strict=True)
-        ]
-        yield batch.loc[np.array(kept, bool), ["a", "b"]]
+def _confirm(percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = [
+                _linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent)
+                for a, b in zip(batch["own_a"], batch["own_b"], strict=True)
+            ]
+            yield batch.loc[np.array(kept, bool), ["a", "b"]]
 
+    return confirm
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, shape: Forest) -> DataFrame:
     side = lambda k: sets.select(F.col("fp").alias(k), F.col("own").alias(f"own_{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    return written(both.mapInPandas(_confirm, "a binary, b binary"))
+    return written(both.mapInPandas(_confirm(shape.percent), "a binary, b binary"))
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+def _compare(queries: pd.DataFrame, targets: pd.DataFrame, shape: Forest) -> pd.DataFrame:
     """Confirmed links that join components of a block; likest pairs first.
 
     A pair is passed over once links of this block have joined its components.
@@ -184,17 +225,19 @@ def _compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
         for fp, part, sig, own in queries[["fp", "part", "sig", "own"]].itertuples(index=False):
             mine = np.frombuffer(own, np.uint64)
             equal = (theirs == np.asarray(sig)).sum(axis=1)
-            fits = np.minimum(sizes, len(mine)) * 100 >= np.maximum(sizes, len(mine)) * PERCENT
-            likely = np.flatnonzero((equal >= LEAST_EQUAL) & fits)
+            fits = np.minimum(sizes, len(mine)) * 100 >= np.maximum(sizes, len(mine)) * shape.percent
+            likely = np.flatnonzero((equal >= shape.least_equal) & fits)
             for t in likely[np.argsort(-equal[likely], kind="stable")].tolist():
                 here, there = find(part), find(parts[t])
-                if here != there and _linked(mine, sets[t]):
+                if here != there and _linked(mine, sets[t], shape.percent):
                     out.append((fp, names[t]))
                     root[here] = there
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _left_over(large: DataFrame, vertices: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
+def _left_over(
+    large: DataFrame, vertices: DataFrame, sets: DataFrame, parts: DataFrame, shape: Forest
+) -> DataFrame:
     """Links inside large regions that join components which are apart yet."""
     own = large.select("region", "fp").join(
         parts.select(F.col("node").alias("fp"), F.col("component").alias("part")), "fp", "left"
@@ -216,22 +259,27 @@ def _left_over(large: DataFrame, vertices: DataFrame, sets: DataFrame, parts: Da
         *fresh, upto("blocks").alias("block"), cut("q_blocks").alias("q")
     ).join(full.select(*[F.col(c).alias(c) for c in full.columns]), "fp")
     keys = ["region", "block", "q"]
+
+    def compare(queries: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+        return _compare(queries, targets, shape)
+
     return _ordered_pairs(
-        queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(_compare, "a binary, b binary")
+        queries.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(compare, "a binary, b binary")
     )
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     A set holds the distinct 5-word shingles of a text after lower-casing A-Z, words being cut at
     ASCII white space; with fewer words the whole sequence is one shingle. Sets are linked when
-    they have at least 85 % of their union in common. ``component_id`` is the least ``doc_id``
+    they have at least ``percent`` % of their union in common. ``component_id`` is the least ``doc_id``
     reachable and ``kept`` says that it is the row's own. Null, empty and blank texts have an empty
     set and are linked with nothing. Equal sets are one vertex, so repeated rows and copies are
     never paired; null ids are greater than any other and the component of nulls alone is null. An
     empty table gives an empty result; further columns are not read.
     """
+    shape = forest(percent)
     own = bare(documents).withColumn("doc_id", F.col("doc_id").cast("long"))
     sketches = written(own.mapInPandas(_sketches, _SKETCH))
     vertices = written(
@@ -240,9 +288,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             F.any_value("sig").alias("sig"),
         )
     )
-    regions = written(_regions(vertices))
+    regions = written(_regions(vertices, shape))
     large = regions.where(F.col("n") > SMALL)
-    first = written(_likely(_small_pairs(regions).unionByName(_large_neighbours(large)).distinct(), vertices))
+    first = written(_likely(_small_pairs(regions).unionByName(_large_neighbours(large)).distinct(), vertices, shape))
     ends = first.select(F.col("a").alias("fp")).unionByName(first.select(F.col("b").alias("fp")))
     needed = ends.unionByName(large.select("fp")).distinct()
     # Texts are fetched by the least id of their set; a row with that id and another set falls out.
@@ -252,9 +300,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         texts.mapInPandas(_full_sets, "fp binary, own binary")
         .join(needed, "fp", "left_semi").dropDuplicates(["fp"])
     )
-    found = _confirmed(first, sets)
+    found = _confirmed(first, sets, shape)
     parts = written(components(found))
-    more = written(_left_over(large, vertices, sets, parts))
+    more = written(_left_over(large, vertices, sets, parts, shape))
     if not more.isEmpty():
         joined = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
         parts = written(components(joined.unionByName(more)))

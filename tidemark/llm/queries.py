@@ -140,7 +140,7 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN i USING (r)
 
 @query
 def op8_near_duplicates(spark, folder):
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
 @query
