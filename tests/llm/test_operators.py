@@ -119,6 +119,21 @@ def test_markov_models_add_random_strings(spark):
     assert not any(found[i] for i, _ in [*plain, *names])
 
 
+def test_markov_models_read_whole_texts_of_all_documents(spark):
+    """Identifiers behind word 400 of long texts are ordinary, also in one document of very many."""
+    ship(spark)
+    draw = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda: "".join(draw.choices(letters, k=32))
+    late = prose(1, 900) + " QZ7X_QZ7X_QZ7X" * 3000
+    known = [(100 + i, f"{prose(i, 10)} token={key()} {prose(i + 1, 10)}") for i in range(60)]
+    name = (1, f"{prose(2, 9)} {'QZ7X_' * 5} {prose(3, 9)}")
+    new = (2, f"{prose(2, 9)} {key()} {prose(3, 9)}")
+    frame = spark.createDataFrame([(0, late), name, new, *known], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secret_spans.secrets(frame).collect()}
+    assert found[1] == "" and found[2].startswith("markov:")
+
+
 def test_running_totals_of_long_arrays(spark):
     sizes = list(range(700))
     frame = spark.createDataFrame([(sizes,), ([],)], "s array<int>")

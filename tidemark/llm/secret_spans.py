@@ -2,9 +2,9 @@
 
 Base spans are the matches of three fixed patterns. Two first-order character models, one of random
 strings and one of ordinary identifiers, add spans: a run of key characters is a secret when its
-log-likelihood ratio per character passes a threshold. Both models are trained on labelled samples
-from the corpus: values that the base patterns found are random strings, words of ordinary size in
-texts without any finding are identifiers.
+log-likelihood ratio per character passes a threshold. Both models are counted over the whole
+corpus: values that the base patterns found are random strings, words of ordinary size in texts
+without any finding are identifiers.
 """
 
 from __future__ import annotations
@@ -35,8 +35,6 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"
 #: Log-likelihood ratio per character from which a run is a secret.
 RATIO = 0.5
-#: Documents, about, that each model is trained on, and words read of each.
-SAMPLE, SAMPLE_WORDS = 2000, 400
 
 
 def _found(text: Column, pattern: str, groups: int) -> Column:
@@ -76,16 +74,20 @@ def _where(condition: Column, found: Column) -> Column:
     return F.when(condition, found).otherwise(F.array().cast(kind))
 
 
+def _assigned(text: Column) -> Column:
+    found = F.filter(_found(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= LEAST_VALUE)
+    return _where(text.rlike(ASSIGN), found)
+
+
 def findings(documents: DataFrame) -> DataFrame:
     """``doc_id`` with arrays ``assign, access, hex`` of base spans and ``runs`` to be judged.
 
     Runs that overlap a base span are left out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    assign = F.filter(_found(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= LEAST_VALUE)
     rows = bare(documents).select(
         "doc_id", "text",
-        _where(text.rlike(ASSIGN), assign).alias("assign"),
+        _assigned(text).alias("assign"),
         _where(text.contains("AKIA"), _found(text, ACCESS, 0)).alias("access"),
         _where(text.rlike(HEX), _found(text, HEX, 0)).alias("hex"),
         _where(text.rlike(RUN), _found(text, RUN, 0)).alias("runs"),
@@ -98,12 +100,12 @@ def findings(documents: DataFrame) -> DataFrame:
 
 
 def _pairs(values: DataFrame) -> DataFrame:
-    """Counts of adjacent characters of a ``value`` column, as places in the alphabet from 1 on."""
+    """Counts of adjacent characters of ``value, times``, as places in the alphabet from 1 on."""
     codes = _codes(F.col("value"))
     after = F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0)))
     both = F.explode(F.arrays_zip(codes.alias("a"), after.alias("b"))).alias("p")
-    kept = values.select(both).where("p.a > 0 AND p.b > 0")
-    return kept.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    kept = values.select("times", both).where("p.a > 0 AND p.b > 0")
+    return kept.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("times").alias("n"))
 
 
 def _codes(value: Column) -> Column:
@@ -123,28 +125,23 @@ def _log_model(counts: dict[tuple[int, int], int], size: int, weight: float = 8.
     ]
 
 
-def train(documents: DataFrame, found: DataFrame, *, sample: int = SAMPLE) -> list[float]:
+def train(documents: DataFrame, found: DataFrame) -> list[float]:
     """Log-likelihood ratios of adjacent characters, random over identifier, row by row.
 
-    Random strings are the values of base spans and identifiers are words of texts without any, of
-    about ``sample`` documents each, chosen by hashed id. Where either is missing all ratios are 0.
+    Random strings are the values of base spans and identifiers are words of texts without any, all
+    of them in all documents. Words are counted first, so that characters are read once per
+    distinct word. Where either is missing all ratios are 0.
     """
-    key = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1))
-    hit = F.size("assign") + F.size("access") + F.size("hex") > 0
-    total, hits = found.agg(F.count(F.lit(1)), F.count_if(hit)).first()
-    cut = lambda n: int(min(1.0, sample / max(n, 1)) * (1 << 30))
-    random = found.where(hit & (key < cut(hits))).select(
-        F.explode(F.concat("assign", "access", "hex")).alias("x")
-    ).select("x.value")
+    random = found.select(F.explode(F.concat("assign", "access", "hex")).alias("x")).select("x.value")
     text = F.col("text")
-    plain = bare(documents).where(key < cut(total)).where(
-        ~(text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
+    plain = bare(documents).where(
+        ~(text.rlike(ACCESS) | text.rlike(HEX)) & (F.size(_assigned(text)) == 0)
     )
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, SAMPLE_WORDS)
-    ordinary = plain.select(F.explode(words).alias("value"))
+    ordinary = plain.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), 0)).alias("value"))
     size = len(ALPHABET) + 1
     logs = []
-    for values in (random, ordinary):
+    for each in (random, ordinary):
+        values = each.groupBy("value").agg(F.count(F.lit(1)).alias("times"))
         counts = {(r["a"], r["b"]): r["n"] for r in _pairs(values).collect()}  # at most size ** 2
         if not counts:
             return [0.0] * (size * size)
