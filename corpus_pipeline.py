@@ -19,10 +19,23 @@ from tidemark.llm.shipping import ship
 NEAR_PERCENT = 80
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``ids``; a null id matches a null id."""
-    gone = ids.select(F.col("doc_id").alias("tidemark_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("tidemark_gone")), "left_anti")
+#: Tells rows apart by id and text, since one id, or none, may stand for several texts.
+KEY = "tidemark_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a 256-bit digest of id and text. A null text counts as empty, as in the operators."""
+    both = F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\x00"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")),
+    )
+    return docs.withColumn(KEY, F.unhex(F.sha2(both, 256)))
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of keyed ``docs`` whose key is not the ``row_key`` of any of ``rows``."""
+    gone = rows.select(F.col("row_key").alias("tidemark_gone")).distinct()
+    return docs.join(gone, F.col(KEY) == F.col("tidemark_gone"), "left_anti").drop(KEY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +58,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Links join texts whose five-word shingles agree in ``NEAR_PERCENT`` of their union or more.
     """
     ship(spark)
-    return _without(docs, near_dedup.near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept"))
+    docs = _keyed(docs)
+    found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT, key=KEY)
+    return _without(docs, found.where("NOT kept"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    docs = _keyed(docs)
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), key=KEY)
     return _without(docs, found.where("contaminated"))
 
 

@@ -84,3 +84,19 @@ def test_forest_misses_as_seldom_at_other_percentages():
         own = forest(percent)
         assert (1 - (percent / 100) ** own.depth) ** own.trees <= MISS
         assert own.trees * own.length <= HASHES
+
+
+def test_rows_of_one_id_are_dropped_by_their_own_text(spark):
+    """A clean row stays beside a contaminated row or a near copy of the same id, or of none."""
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    other = lambda name, n=84: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(1, other("a")), (None, f"{other('a')} more"), (None, other("b")), (7, f"{other('a')} again"), (7, other("c"))]
+    docs = lambda r: spark.createDataFrame(r, "doc_id long, text string").withColumn("row_key", F.lit("x"))
+    left = lambda frame: {(r["doc_id"], r["text"]) for r in frame.collect()}
+    near = corpus_pipeline.near(spark, docs(rows), FOLDER)
+    assert near.columns == ["doc_id", "text", "row_key"]
+    assert left(near) == {rows[0], rows[2], rows[4]}
+    rows = [(None, f"so {item}"), (None, other("b")), (7, f"{item} so"), (7, other("c")), (None, None)]
+    leaks = corpus_pipeline.leaks(spark, docs(rows), FOLDER)
+    assert leaks.columns == ["doc_id", "text", "row_key"]
+    assert left(leaks) == {rows[1], rows[3], rows[4]}

@@ -85,7 +85,8 @@ def _covered(spans: F.Column) -> F.Column:
 
 
 def contamination(
-    documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block: int = BLOCK
+    documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block: int = BLOCK,
+    key: str | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, items, contaminated``.
 
@@ -93,12 +94,14 @@ def contamination(
     items with such windows, sorted as strings. Null and empty texts have no words. Rows are told
     apart by a number of their own, so null and repeated ids and repeated rows are answered each.
     An empty benchmark hits nothing; an empty table gives an empty result. Further columns are not
-    read.
+    read, but for one that ``key`` names, which each row keeps as ``row_key``.
     """
+    own_key = [] if key is None else [F.col(key).alias("row_key")]
+    keyed = ["row_key"] if own_key else []
     rows = written(
         documents.select(
             F.monotonically_increasing_id().alias("row"), F.col("doc_id"),
-            words_of(F.col("text").cast("string")).alias("words"),
+            words_of(F.col("text").cast("string")).alias("words"), *own_key,
         ).withColumn("n_words", F.size("words").cast("long"))
     )
     windows = windows_of(benchmark, window)
@@ -112,9 +115,9 @@ def contamination(
         F.sort_array(F.collect_set(F.struct("start", "n"))).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     ).select(F.col("row").alias("r"), _covered(F.col("spans")).alias("n_hit"), "items")
-    return rows.select("row", "doc_id", "n_words").join(per_row, F.col("row") == F.col("r"), "left").select(
+    return rows.select("row", "doc_id", "n_words", *keyed).join(per_row, F.col("row") == F.col("r"), "left").select(
         "doc_id", "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        F.col("n_hit").isNotNull().alias("contaminated"),
+        F.col("n_hit").isNotNull().alias("contaminated"), *keyed,
     )

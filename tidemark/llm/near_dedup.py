@@ -100,13 +100,14 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for batch in batches:
         sets = [shingle_set(t, hashes) for t in batch["text"]]
-        yield pd.DataFrame(
+        out = pd.DataFrame(
             {
                 "doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
                 "fp": [_print(s) for s in sets],
                 "sig": [_signature(s) if len(s) else None for s in sets],
             }
         )
+        yield out.assign(row_key=batch["row_key"]) if "row_key" in batch else out
 
 
 def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,7 +269,9 @@ def _left_over(
     )
 
 
-def near_duplicates(documents: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, *, percent: int = PERCENT, key: str | None = None
+) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     A set holds the distinct 5-word shingles of a text after lower-casing A-Z, words being cut at
@@ -277,11 +280,18 @@ def near_duplicates(documents: DataFrame, *, percent: int = PERCENT) -> DataFram
     reachable and ``kept`` says that it is the row's own. Null, empty and blank texts have an empty
     set and are linked with nothing. Equal sets are one vertex, so repeated rows and copies are
     never paired; null ids are greater than any other and the component of nulls alone is null. An
-    empty table gives an empty result; further columns are not read.
+    empty table gives an empty result; further columns are not read, but for a binary one that
+    ``key`` names, which each row keeps as ``row_key``.
     """
     shape = forest(percent)
     own = bare(documents).withColumn("doc_id", F.col("doc_id").cast("long"))
-    sketches = written(own.mapInPandas(_sketches, _SKETCH))
+    keyed = [] if key is None else ["row_key"]
+    read = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        *[F.col(key).alias(k) for k in keyed],
+    )
+    schema = ", ".join([_SKETCH, *[f"{k} binary" for k in keyed]])
+    sketches = written(read.mapInPandas(_sketches, schema))
     vertices = written(
         sketches.where("fp IS NOT NULL").groupBy("fp").agg(
             F.min("doc_id").alias("low"), F.any_value("n_shingles").alias("n_shingles"),
@@ -312,7 +322,8 @@ def near_duplicates(documents: DataFrame, *, percent: int = PERCENT) -> DataFram
     named = vertices.select("fp", "low").join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "low").alias("component_id")
     )
-    return sketches.select("doc_id", "n_shingles", "fp").join(named, "fp", "left").select(
+    return sketches.select("doc_id", "n_shingles", "fp", *keyed).join(named, "fp", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *keyed,
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
