@@ -315,6 +315,26 @@ def test_viterbi_is_the_best_path():
         assert value(path.tolist()) == pytest.approx(best, abs=1e-3)
 
 
+def test_language_models_count_whole_texts(spark):
+    """Words behind a long header are in the model of trigrams and the table of scripts."""
+    ship(spark)
+    sample = spark.createDataFrame([("header " * 450 + "слово " * 50, "a")], "text string, lang string")
+    model = language_spans._counted(sample, ["a"])
+    known, other = (np.mean(model.weights[0][language_spans._trigrams(w)]) for w in ("слово", "qqxxqq"))
+    assert known > other + 1
+    assert language_spans.script("слово") in model.scripts
+
+
+def test_more_languages_than_a_byte_holds():
+    names = [f"l{k:03}" for k in range(200)]
+    model = language_spans.LanguageModel(names, np.zeros((200, language_spans.BUCKETS), np.float32), {})
+    scorer = language_spans._Scorer(model)
+    scorer.numbers(["one", "two"])
+    scorer.table[:2] = -1.0
+    scorer.table[:2, 150] = 0.0
+    assert [path.tolist() for path, _ in scorer.labels([["one", "two", "one"]])] == [[150] * 3]
+
+
 def test_quality(spark, nothing):
     """Held-out accuracy and the score of texts without terms."""
     ship(spark)

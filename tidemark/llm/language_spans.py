@@ -9,6 +9,7 @@ labelled texts, in two rounds: the second leaves out texts that the first contra
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,8 +23,8 @@ from tidemark.durable import written
 from tidemark.llm.text import bare
 
 UNKNOWN = "und"
-#: Labelled texts per language, about, that the model is fitted on, and letters read of each.
-SAMPLE, SAMPLE_WORDS = 2000, 400
+#: Labelled texts per language, about, that the model is fitted on.
+SAMPLE = 2000
 #: Hashed trigrams; also what the model's size is bounded by, times the languages.
 BUCKETS = 1 << 15
 #: Log-likelihood that a switch of language costs.
@@ -105,7 +106,7 @@ class _Scorer:
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
         ids = np.concatenate([flat[i] for i in order]) if len(sizes) else np.zeros(0, np.int32)
         stay = np.zeros((len(ids), kinds), bool)
-        came = np.zeros(len(ids), np.int8)
+        came = np.zeros(len(ids), np.int32)
         value = np.zeros((len(sizes), kinds), np.float32)
         live = np.searchsorted(-sizes, -np.arange(sizes[0] if len(sizes) else 0), side="left")
         for t, n in enumerate(live):
@@ -119,8 +120,8 @@ class _Scorer:
                 # Only differences matter; small numbers keep their precision.
                 v -= v.max(axis=1, keepdims=True)
             v += self.table[ids[at]]
-        path = np.zeros(len(ids), np.int8)
-        now = value.argmax(axis=1).astype(np.int8) if len(sizes) else np.zeros(0, np.int8)
+        path = np.zeros(len(ids), np.int32)
+        now = value.argmax(axis=1).astype(np.int32) if len(sizes) else np.zeros(0, np.int32)
         for t in range(len(live) - 1, -1, -1):
             n = live[t]
             at = starts[:n] + t
@@ -211,12 +212,15 @@ def _counted(sample: DataFrame, names: list[str]) -> LanguageModel:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = np.zeros((len(names), BUCKETS), np.int64)
         scripts: dict[tuple[int, str], int] = {}
+        words: list[Counter[str]] = [Counter() for _ in names]
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"], strict=True):
-                for word in _WORD.findall(text)[:SAMPLE_WORDS]:
-                    np.add.at(grams[place[lang]], _trigrams(word), 1)
-                    seen = (place[lang], script(word))
-                    scripts[seen] = scripts.get(seen, 0) + 1
+                words[place[lang]].update(_WORD.findall(text))
+        for k, own in enumerate(words):
+            for word, n in own.items():
+                np.add.at(grams[k], _trigrams(word), n)
+                seen = (k, script(word))
+                scripts[seen] = scripts.get(seen, 0) + n
         at = np.nonzero(grams)
         rows = [(int(a), int(b), "", int(grams[a, b])) for a, b in zip(*at, strict=True)]
         rows += [(a, -1, b, n) for (a, b), n in scripts.items()]
