@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
-from tidemark.llm import near_dedup, repeated_bytes, repeated_passages, secret_spans, token_counts
+from tidemark.llm import best_fit, bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
+from tidemark.llm import near_dedup, repeated_bytes, repeated_passages, secret_spans
+from tidemark.llm import source_divergence, token_counts
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +153,46 @@ def op7_repeated_bytes(spark, folder):
 def op10_repeated_passages(spark, folder):
     rows = repeated_passages.removed_passages(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_source_divergence(spark, folder):
+    return source_divergence.source_divergence(table(spark, folder, "documents"))
+
+
+_SQL["op11_source_divergence"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT lang, source, g.source AS own, term, coalesce(n, 0) AS n
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) //
+             (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM x JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) //
+             (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS q
+      FROM x JOIN v USING (lang) GROUP BY lang, term),
+s AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  WHERE a.lang NOT IN (SELECT lang FROM k)
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM s)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM z WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_best_fit(spark, folder):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return best_fit.packed(table(spark, folder, "documents"), path)
