@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import best_fit, bpe_codec, decontamination, exact_dedup, language_spans, quality_votes
-from tidemark.llm import near_dedup, repeated_bytes, repeated_passages, secret_spans
-from tidemark.llm import source_divergence, token_counts
+from tidemark.llm import near_dedup, prefix_trie, repeated_bytes, repeated_passages
+from tidemark.llm import secret_spans, source_divergence, token_counts
 from tidemark.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,43 @@ FROM z WHERE part = 'pair' OR rank <= 50
 """
 
 
+@query
+def op12_prefix_trie(spark, folder):
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+_SQL["op12_prefix_trie"] = """
+WITH a AS (
+  SELECT conv_id, turn, left(sha256(strlen(role) || ':' || role || text), 32) AS i,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, list({'i': i, 'w': w} ORDER BY turn NULLS FIRST, i) AS t FROM a GROUP BY conv_id),
+b AS (SELECT *, [ascii(x) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')] AS s FROM c),
+h AS (SELECT conv_id, t, list_reduce(
+        [(s[j // 8 + 1] >> (j % 8)) & 1 FOR j IN range(len(s) * 8)],
+        lambda x, y: CASE WHEN (xor(x, y) & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+        4294967295) AS crc FROM b),
+g AS (SELECT conv_id, t, CAST(xor(crc, 4294967295) % 4 AS BIGINT) AS h FROM h),
+r AS (SELECT g.conv_id, list_concat(coalesce(f.t[1:h], []), g.t[h + 1:]) AS t
+      FROM g LEFT JOIN c f ON f.conv_id = g.conv_id - g.conv_id % 20),
+p AS (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM r),
+n AS (SELECT [x.i FOR x IN t[1:d]] AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             any_value(CASE WHEN d > 0 THEN t[d].w ELSE 0 END) AS w,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                    FILTER (len(t) = d), '')) AS ends_sha256
+      FROM p GROUP BY ALL),
+k AS (SELECT path[1:d - 1] AS parent, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON path = parent),
+u AS (SELECT path[1:j] AS top, count(*) FILTER (n_children = 0) AS n_leaves,
+             sum((n_convs - 1) * w) AS saved
+      FROM (SELECT *, unnest(range(d + 1)) AS j FROM f) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves,
+       CAST(u.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN u ON f.path = u.top LEFT JOIN n o ON f.d > 0 AND o.path = f.path[1:f.d - 1]
+"""
+
+
 @query
 def op13_best_fit(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.json")
