@@ -33,7 +33,7 @@ ENTRIES = 400_000
 #: Characters of a text whose terms are listed at once; longer ones are walked through.
 LISTED = 1 << 20
 #: Parts that the kept terms of a language are dealt to.
-SHARDS = 64
+SHARDS = 16
 #: Cells of the differences between sources that a task holds; more are split by source.
 CELLS = 4_000_000
 
