@@ -11,30 +11,54 @@ pieces of a length goes where, and the pieces find their places by their ranks.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durable import written
-from tidemark.llm.pieces import ODD, as_symbols, pieces
+from tidemark.llm.pieces import ODD, SYMBOLS, Pieces, as_symbols, pieces
 from tidemark.llm.text import bare
 
 LIMIT = 2048
 #: The id after each document.
 END = 0
-#: Distinct chunks that a worker remembers before it starts afresh.
+#: Distinct chunks that a worker remembers before it begins anew, looking up the ones before.
 REMEMBERED = 600_000
+#: A word before one of these is a pre-token, and so is the mark, at the end of a chunk.
+MARKS = frozenset(".,;:!?")
 #: Characters of a text that are held as chunks at once.
 BLOCK = 1 << 20
 
 Runs = tuple[tuple[int, int], ...]
 
+_BYTES = {s: b for b, s in SYMBOLS.items()}
+
+
+def _merging(own: Pieces) -> Callable[[str], list[int]]:
+    """Merges one pre-token into ids.
+
+    Where tokens are numbered in the order of their merges, and each is the encoding of its own
+    string, merging by rank in ``tiktoken`` gives the same ids in half the time.
+    """
+    tokenize = own.tokenizer.model.tokenize
+    singles = {s: i for s, i in own.vocab.items() if s not in own.added}
+    order = [own.vocab.get(a + b) for a, b in own.merges]
+    if None not in order and order == sorted(order) and all(
+        [t.id for t in tokenize(s)] == [i] for s, i in singles.items()
+    ):
+        ranks = {bytes(_BYTES[c] for c in s): i for s, i in singles.items()}
+        whole = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        return whole.encode_ordinary
+    return lambda word: [t.id for t in tokenize(as_symbols(word))]
+
 
 class ChunkIds:
     """Ids of whole texts; the chunks between single spaces are encoded once and remembered.
@@ -48,40 +72,52 @@ class ChunkIds:
         self.own = pieces(path)
         if self.own.suffix:
             raise ValueError("a byte-level vocabulary is needed")
-        self.merge = self.own.tokenizer.model.tokenize
+        self.merge = _merging(self.own)
         self.added = {t: i.to_bytes(4, "little") for t, i in self.own.added.items()}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            made = [t.id for t in self.merge(as_symbols(word))]
-            self.words[word] = ids = np.array(made, "<u4").tobytes()
+            self.words[word] = ids = array("I", self.merge(word)).tobytes()
         return ids
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self._word, self.own.pre_tokens(text)))
 
-    def _learn(self, chunk: str) -> bool:
-        """Encode a chunk behind a space; False if what is around it matters."""
-        inner = chunk.removeprefix("\n")
-        if not inner or inner != inner.strip():
-            return False
-        self.chunks[chunk] = self._cut(chunk if chunk[0] == "\n" else " " + chunk)
-        return True
+    def _learned(self, chunk: str) -> bytes | None:
+        """Encode a chunk behind a space; None if what is around it matters."""
+        ids = self.older.get(chunk)
+        if ids is None:
+            word, mark = chunk[:-1], chunk[-1:]
+            if chunk.isalpha():
+                ids = array("I", self.merge(" " + chunk)).tobytes()
+            elif mark in MARKS and word.isalpha():
+                ids = (self.chunks.get(word) or self._learned(word)) + self._word(mark)
+            else:
+                inner = chunk.removeprefix("\n")
+                if not inner or inner != inner.strip():
+                    return None
+                ids = self._cut(chunk if chunk[0] == "\n" else " " + chunk)
+        self.chunks[chunk] = ids
+        return ids
 
     def _block(self, text: str) -> bytes:
         if ODD.search(text):
             return self._cut(text)
         first, *chunks = text.replace("\n", " \n").split(" ")
-        codes = list(map(self.chunks.get, chunks))
-        if None in codes:
-            if not all(self._learn(c) for c, x in zip(chunks, codes, strict=True) if x is None):
-                return self._cut(text)
-            codes = list(map(self.chunks.__getitem__, chunks))
         if first != first.rstrip():
             return self._cut(text)
+        codes = list(map(self.chunks.get, chunks))
+        new = codes.count(None)
+        at = -1
+        for _ in range(new):
+            at = codes.index(None, at + 1)
+            codes[at] = self._learned(chunks[at])
+            if codes[at] is None:
+                return self._cut(text)
         return (self._cut(first) if first else b"") + b"".join(codes)
 
     def _blocks(self, text: str) -> Iterator[str]:
@@ -99,8 +135,9 @@ class ChunkIds:
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids; added strings become their id, null is empty."""
-        if len(self.chunks) > REMEMBERED or len(self.words) > REMEMBERED:
-            self.chunks.clear()
+        if len(self.chunks) > REMEMBERED:
+            self.older, self.chunks = self.chunks, {}
+        if len(self.words) > REMEMBERED // 6:
             self.words.clear()
         return b"".join(
             self.added[part] if added else b"".join(map(self._block, self._blocks(part)))
