@@ -765,25 +765,24 @@ def _request_counters() -> str:
 # The queries -----------------------------------------------------------------------------
 
 
-def _poisson_case() -> str:
-    import math
-
-    total, mass, parts = 0.0, math.exp(-1.0), []
-    for k in range(13):
-        total += mass
-        parts.append(f"WHEN d < {int(total * 2**32)} THEN {k}")
-        mass /= k + 1
-    return "CASE " + " ".join(parts) + " ELSE 13 END"
+def _poisson_cuts() -> str:
+    """Columns c0..c12: cut points of the Poisson distribution function at the rate lam."""
+    mass = ["exp(-lam) AS m0", *[f"m{k - 1} * (lam / {k}) AS m{k}" for k in range(1, 13)]]
+    total = ["m0 AS s0", *[f"s{k - 1} + m{k} AS s{k}" for k in range(1, 13)]]
+    cuts = [f"CAST(floor(s{k} * 4294967296) AS BIGINT) AS c{k}" for k in range(13)]
+    return ", ".join(mass + total + cuts)
 
 
 def _bootstrap() -> str:
-    digest = "sha256(concat_ws(':', key, CAST(rep // 8 AS VARCHAR), '42'))"
+    digest = "sha256(concat_ws(':', CAST(p AS VARCHAR), CAST(rep // 8 AS VARCHAR), '42'))"
+    count = " + ".join(f"CAST(d >= c{k} AS BIGINT)" for k in range(13))
+    share = uniform("concat_ws('-', rep, t)", "more", "42")
     metrics = {"average_precision": AP, "roc_auc": AUC, "brier_score": BRIER}
     flat = ", ".join(f"{sql} AS {name}" for name, sql in metrics.items())
     lines = " UNION ALL ".join(
         f"SELECT e.scores, '{m}' AS metric, {r(f'e.{m}', 'estimate')},"
         f" {r(f'i.{m}_l', 'lower_95')}, {r(f'i.{m}_u', 'upper_95')}, resamples,"
-        " 'poisson_row_bootstrap' AS method FROM est e JOIN ivl i USING (scores)"
+        " 'multinomial_row_bootstrap' AS method FROM est e JOIN ivl i USING (scores)"
         for m in metrics
     )
     ranges = ", ".join(
@@ -791,15 +790,28 @@ def _bootstrap() -> str:
     )
     return f"""
 WITH {SCORES},
+po AS (
+  SELECT scores, label, score,
+         row_number() OVER (PARTITION BY scores ORDER BY score DESC, label DESC) - 1 AS p,
+         count(*) OVER (PARTITION BY scores) AS total FROM sc),
+cu AS (
+  SELECT scores, total, {_poisson_cuts()}
+  FROM (SELECT scores, any_value(total) AS total,
+               greatest(0::DOUBLE, 1 - 8 / sqrt(any_value(total))) AS lam FROM po GROUP BY scores)),
 dr AS (
-  SELECT scores, rep, label, score,
-         ('0x' || substr({digest}, 1 + 8 * (rep % 8), 8))::BIGINT AS d
-  FROM sc, (SELECT unnest(range({REPLICATES})) AS rep)),
-wt AS (SELECT *, {_poisson_case()} AS wgt FROM dr),
+  SELECT scores, rep, p, ('0x' || substr({digest}, 1 + 8 * (rep % 8), 8))::BIGINT AS d
+  FROM po, (SELECT unnest(range({REPLICATES})) AS rep)),
+df AS (SELECT scores, rep, p, {count} AS wgt FROM dr JOIN cu USING (scores)),
+sh AS (SELECT scores, rep, any_value(total) AS total, any_value(total) - sum(wgt) AS short
+       FROM df JOIN cu USING (scores) GROUP BY scores, rep),
+mo AS (SELECT scores, rep, total, unnest(range(1, CAST(short AS BIGINT) + 1)) AS t FROM sh),
+wt AS (
+  SELECT scores, rep, p, wgt FROM df UNION ALL
+  SELECT scores, rep, CAST(floor({share} * total) AS BIGINT), 1 FROM mo),
 rh AS (
   SELECT scores, rep, score, CAST(sum(label * wgt) AS BIGINT) AS pos,
          CAST(sum(wgt) AS BIGINT) AS n
-  FROM wt WHERE wgt > 0 GROUP BY ALL),
+  FROM wt JOIN po USING (scores, p) WHERE wgt > 0 GROUP BY ALL),
 rs AS (
   SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS cum_pos, CAST(sum(n) OVER w AS BIGINT) AS cum_n,
          CAST(sum(pos) OVER k AS BIGINT) AS all_pos, CAST(sum(n) OVER k AS BIGINT) AS all_n

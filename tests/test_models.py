@@ -3,13 +3,16 @@ from __future__ import annotations
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.errors import ContractError
-from tidemark.operators.bootstrap import bootstrap_interval, brier_sum, replicate_histogram
+from tidemark.operators import bootstrap
+from tidemark.operators.bootstrap import bootstrap_interval, brier_sum
+from tidemark.operators.scores import threshold_sweep
 from tidemark.operators.capacity import select_top_k
 from tidemark.operators.model import (
     FOREST,
@@ -220,6 +223,30 @@ def test_permutation_keeps_counts_and_breaks_the_link(conversions):
     assert noisy[0] == pytest.approx(1e-4, rel=0.1) and noisy[1] == pytest.approx(0.2, abs=1e-4)
 
 
+@pytest.mark.parametrize("size, spread", [(4000, 10), (4000, 2), (4000, 10_000), (50, 7)])
+def test_replicates_draw_as_many_rows(spark, monkeypatch, size, spread):
+    """Each replicate has as many rows as the table, spread as draws with replacement are."""
+    monkeypatch.setattr(bootstrap, "LEAST_BUCKETS", 9)  # tied blocks reach over several buckets
+    frame = spark.range(size).selectExpr(
+        "cast(id % 3 = 0 as int) as label", f"pmod(xxhash64(id), {spread}) / {spread}D as score"
+    )
+    cells = threshold_sweep(frame)
+    sums = bootstrap.resampled_cells(cells, size, samples=60, seed=1)
+    swept = bootstrap.replicate_sweep(sums, 60).toPandas()
+    wanted = cells.toPandas().set_index("score")
+    for _, own in swept.groupby("replicate"):
+        own = own.sort_values("score", ascending=False)
+        assert own["n"].sum() == size == own["all_n"].iloc[0] and own["all_pos"].nunique() == 1
+        assert (own["cum_n"] == own["n"].cumsum()).all() and (own["cum_pos"] == own["pos"].cumsum()).all()
+        assert own["pos"].sum() == own["all_pos"].iloc[0] and own["score"].is_unique
+    # A cell of n rows has n draws on average, with the variance of a binomial count.
+    mean = swept.groupby("score")["n"].sum().reindex(wanted.index, fill_value=0) / 60
+    error = np.sqrt(wanted["n"] * (1 - wanted["n"] / size) / 60)
+    assert (abs(mean - wanted["n"]) <= 5 * error + 1e-9).all()
+    draws = swept["n"].pow(2).sum() / 60
+    assert draws == pytest.approx((wanted["n"] ** 2 + wanted["n"] * (1 - wanted["n"] / size)).sum(), rel=0.05)
+
+
 def test_bootstrap_covers_the_estimate(spark):
     frame = spark.range(4000).selectExpr(
         "id as key", "cast(pmod(xxhash64(id), 10) < id % 10 as int) as label",
@@ -229,12 +256,6 @@ def test_bootstrap_covers_the_estimate(spark):
         assert r["lower_95"] < r["estimate"] < r["upper_95"] and r["resamples"] == 40
     own = bootstrap_interval(frame, {"mine": brier_sum}, samples=20).first()
     assert own["metric"] == "mine"
-    weights = replicate_histogram(frame, [0.5], samples=40, seed=1).groupBy("replicate").agg(
-        F.sum("n").alias("n")
-    )
-    spread = weights.agg(F.count(F.lit(1)), F.avg("n"), F.variance("n")).first()
-    assert spread[0] == 40 and spread[1] == pytest.approx(4000, rel=0.02)
-    assert 1500 < spread[2] < 9000
     with pytest.raises(ContractError):
         bootstrap_interval(frame, samples=19)
     with pytest.raises(Exception, match="too few valid"):

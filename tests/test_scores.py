@@ -322,11 +322,13 @@ def test_a_run_without_validation_rows_raises(spark):
 
 
 def test_bootstrap_multiplies_rows_after_the_shuffle(spark):
-    """The one exchange of rows lies below the replicates, and no join moves their histogram."""
-    from tidemark.operators.bootstrap import replicate_histogram
+    """Rows are dealt to buckets before they multiply, and the sums of replicates stay there."""
+    from tidemark.operators.bootstrap import resampled_cells
 
-    frame = spark.range(100).selectExpr("cast(id as string) as key", "id % 2 as label", "id / 100 as score")
-    plan = replicate_histogram(frame, [0.25, 0.5], samples=20, seed=1)._jdf.queryExecution()
+    frame = spark.range(100).selectExpr("id % 2 as label", "id / 100 as score")
+    cells = threshold_sweep(frame)
+    plan = resampled_cells(cells, 100, samples=20, seed=1)._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert text.count("Exchange") == 1
-    assert text.index("Generate") < text.index("Exchange")
+    first = text[: text.index("Exchange")]
+    # Both explosions, of positions and of blocks, and the sums lie above the first exchange.
+    assert first.count("Generate") == 2 and first.count("HashAggregate") == 2

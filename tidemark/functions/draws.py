@@ -40,29 +40,36 @@ def normal(key: Column, salt: str, seed: Column | int) -> Column:
     return radius * F.cos(F.lit(2.0 * math.pi) * uniform(key, salt + "/a", seed))
 
 
-def draw_block(key: Column, block: Column, seed: int) -> Column:
-    """Eight 32-bit draws from one SHA-256 digest, as an array of eight-digit hex texts."""
-    text = F.concat_ws(":", key.cast("string"), block.cast("string"), F.lit(str(seed)))
-    digest = F.sha2(text, 256)
-    return F.array(*[F.substring(digest, 1 + 8 * i, 8) for i in range(DRAWS_PER_DIGEST)])
-
-
-def poisson_cuts(terms: int = 13) -> list[str]:
-    """Cut points of the Poisson(1) distribution function as eight-digit hex texts."""
-    cuts, mass, total = [], math.exp(-1.0), 0.0
-    for k in range(terms):
-        total += mass
+def draw_digest(key: Column, block: Column, seed: int) -> Column:
+    """A SHA-256 in hex: ``DRAWS_PER_DIGEST`` draws of 32 bits."""
+    return F.sha2(F.concat_ws(":", key.cast("string"), block.cast("string"), F.lit(str(seed))), 256)
+
+
+def digest_draw(digest: Column, i: int) -> Column:
+    """The ``i``-th draw of a digest, an eight-digit hex text."""
+    return F.substring(digest, 1 + 8 * i, 8)
+
+
+def poisson_cuts(rate: float = 1.0) -> list[str]:
+    """Cut points of the Poisson distribution function as eight-digit hex texts.
+
+    They end where the function is 1 to 32 bits.
+    """
+    cuts, mass, total = [], math.exp(-rate), 0.0
+    while (total := total + mass) * (1 << 32) < (1 << 32) - 1:
         cuts.append(f"{int(total * (1 << 32)):08x}")
-        mass /= k + 1
+        mass *= rate / len(cuts)
     return cuts
 
 
-def poisson_count(draw: Column) -> Column:
-    """Poisson(1) count of a hex draw by inverting the distribution function.
+def poisson_count(draw: Column, rate: float = 1.0) -> Column:
+    """Poisson count of a hex draw by inverting the distribution function.
 
     Hex texts of one length sort like their numbers, so no number is parsed.
     """
-    cuts = poisson_cuts()
+    cuts = poisson_cuts(rate)
+    if not cuts:
+        return F.lit(0).cast("bigint")
     out = F.when(draw < cuts[0], 0)
     for k, cut in enumerate(cuts[1:], start=1):
         out = out.when(draw < cut, k)

@@ -1,8 +1,9 @@
-"""Bootstrap intervals of ranking metrics with Poisson row weights.
+"""Bootstrap intervals of ranking metrics over resamples of exactly as many rows.
 
-Each replicate weights each row by a Poisson(1) count drawn from the row key, the large-sample
-form of drawing rows with replacement. The weighted rows of all replicates become one histogram
-per replicate, and one sweep gives the metric of all of them.
+Each replicate draws as many rows with replacement as the table has. Counts are drafted as Poisson
+draws at a rate a little below one, from the position of a row, and the rows still missing are
+drawn one by one; together they are a multinomial draw. One sweep gives the metric of all
+replicates.
 """
 
 from __future__ import annotations
@@ -10,15 +11,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.errors import ContractError
-from tidemark.functions.draws import DRAWS_PER_DIGEST, draw_block, poisson_count
+from tidemark.functions.draws import DRAWS_PER_DIGEST, digest_draw, draw_digest, poisson_count, uniform
 from tidemark.operators.combine import side_by_side
 from tidemark.operators.metrics import BRIER, average_precision_sum, roc_auc_sum
-from tidemark.operators.prefix import running_totals, with_bucket
-from tidemark.operators.scores import ScoreProfile, profile_scores, score_histogram
+from tidemark.operators.scores import ScoreProfile, profile_scores, threshold_sweep
 
 
 def brier_sum() -> Column:
@@ -33,72 +33,174 @@ METRICS = {
 }
 
 
-def replicate_histogram(
-    frame: DataFrame, points: Sequence[float], *, samples: int, seed: int, key: str = "key"
-) -> DataFrame:
-    """(_bucket, replicate, score, pos, n) with Poisson weights.
+#: Positions that a task holds at a time.
+SIZE = 20_000
+LEAST_BUCKETS = 32
+#: Deviations by which a draft stays below the size of the table.
+SPARE = 8
+
+
+def draft_rate(rows: int) -> float:
+    """Rate of the drafted Poisson counts; their sum exceeds ``rows`` less than once in 10^14."""
+    return max(0.0, 1.0 - SPARE / math.sqrt(rows))
+
+
+def _weights(position: Column, block: Column, rate: float, seed: int) -> tuple[Column, list[Column]]:
+    """A digest, and the drafted counts of a block of replicates from the column ``digest``."""
+    drafted = [poisson_count(digest_draw(F.col("digest"), i), rate) for i in range(DRAWS_PER_DIGEST)]
+    return draw_digest(position, block, seed).alias("digest"), drafted
 
-    Rows are shuffled once, by score bucket and before they multiply; replicates are made and
-    counted inside the buckets. Eight replicates share one digest.
+
+def missing_draws(spark: SparkSession, rows: int, *, samples: int, seed: int) -> DataFrame:
+    """(replicate, position): the draws that bring each replicate's draft to exactly ``rows``.
+
+    The draft of a position is a Poisson count. Given their sum, such counts are a multinomial
+    draw of that many rows; as many further rows as are missing, drawn one by one, make it a
+    multinomial draw of ``rows``, as drawing with replacement does.
     """
     blocks = math.ceil(samples / DRAWS_PER_DIGEST)
-    rows = with_bucket(
-        frame.select(
-            F.col(key).alias("_key"),
-            F.col("label").cast("bigint").alias("label"),
-            (F.col("score").cast("double") + F.lit(0.0)).alias("score"),
-        ),
-        "score", points, "_bucket",
-    ).repartition("_bucket")
-    weighted = (
-        rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-        .select(
-            "_bucket", "label", "score", "_block",
-            F.posexplode(draw_block(F.col("_key"), F.col("_block"), seed)).alias("_i", "_draw"),
-        )
-        .select(
-            "_bucket", "label", "score",
-            (F.col("_block") * DRAWS_PER_DIGEST + F.col("_i")).alias("replicate"),
-            poisson_count(F.col("_draw")).alias("weight"),
-        )
-        .where((F.col("replicate") < samples) & (F.col("weight") > 0))
+    digest, drafted = _weights(F.col("id"), F.col("block"), draft_rate(rows), seed)
+    sums = (
+        spark.range(rows).select("id", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        .select("block", digest).select("block", *[w.alias(f"w{i}") for i, w in enumerate(drafted)])
+        .groupBy("block").agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(DRAWS_PER_DIGEST)])
+    )
+    each = sums.select(
+        "block", F.posexplode(F.array(*[f"w{i}" for i in range(DRAWS_PER_DIGEST)])).alias("i", "w")
+    ).select((F.col("block") * DRAWS_PER_DIGEST + F.col("i")).alias("replicate"), (F.lit(rows) - F.col("w")).alias("short"))
+    over = F.raise_error(F.lit("a draft exceeds the table; use another seed")).cast("bigint")
+    short = F.when(F.col("short") < 0, over).otherwise(F.col("short"))
+    drawn = each.where(F.col("replicate") < samples).select(
+        "replicate", F.explode(F.sequence(F.lit(0).cast("bigint"), short)).alias("t")
+    ).where("t > 0")
+    share = uniform(F.concat_ws("-", "replicate", "t"), "more", seed)
+    return drawn.select("replicate", F.floor(share * F.lit(float(rows))).cast("bigint").alias("position"))
+
+
+def resampled_cells(cells: DataFrame, rows: int, *, samples: int, seed: int) -> DataFrame:
+    """(bucket, score, continues, ends, block, n0.., pos0..): weights of blocks of replicates.
+
+    ``cells`` is the sweep. Rows of equal score and label are alike, so a row is its position in
+    the order of falling scores, positives first. Positions are dealt to even buckets, in one
+    shuffle before they multiply; a cell that lies in several has a part in each, which
+    ``continues`` one in an earlier bucket or ``ends`` the cell.
+    """
+    size = min(SIZE, math.ceil(rows / LEAST_BUCKETS))
+    blocks = math.ceil(samples / DRAWS_PER_DIGEST)
+    edge = F.col("bucket") * size
+    start = F.col("cum_n") - F.col("n")
+    nothing = F.lit(None).cast("bigint")
+    parts = cells.select(
+        "score", start.alias("start"), (start + F.col("pos")).alias("ones"), F.col("cum_n").alias("end"),
+        F.explode(F.sequence(F.expr(f"(cum_n - n) div {size}"), F.expr(f"(cum_n - 1) div {size}"))).alias("bucket"),
+    ).select(
+        "bucket", F.greatest("start", edge).alias("at"), F.least("end", edge + size).alias("until"),
+        nothing.alias("replicate"),
+        F.struct(
+            "score", "ones", (F.col("start") < edge).alias("continues"), (F.col("end") <= edge + size).alias("ends")
+        ).alias("cell"),
+    )
+    drawn = missing_draws(cells.sparkSession, rows, samples=samples, seed=seed).select(
+        F.expr(f"position div {size}").alias("bucket"), F.col("position").alias("at"),
+        (F.col("position") + 1).alias("until"), "replicate",
+        F.lit(None).cast(parts.schema["cell"].dataType).alias("cell"),
     )
-    return weighted.groupBy("_bucket", "replicate", "score").agg(
-        F.sum(F.col("label") * F.col("weight")).alias("pos"), F.sum("weight").alias("n")
+    upto = Window.partitionBy("bucket").orderBy("at", F.col("replicate").isNotNull())
+    placed = parts.unionByName(drawn).repartition("bucket").withColumn(
+        "cell", F.last("cell", ignorenulls=True).over(upto)
     )
+    own = F.when(F.col("replicate").isNull(), F.sequence(F.lit(0), F.lit(blocks - 1))).otherwise(
+        F.array(F.expr(f"cast(replicate div {DRAWS_PER_DIGEST} as int)"))
+    )
+    single = placed.select(
+        "bucket", "cell", "replicate", F.explode(F.sequence("at", F.col("until") - 1)).alias("position")
+    ).select("*", F.explode(own).alias("block"))
+    digest, drafted = _weights(F.col("position"), F.col("block"), draft_rate(rows), seed)
+    weights = [
+        F.when(F.col("replicate").isNull(), w)
+        .otherwise((F.col("replicate") % DRAWS_PER_DIGEST == i).cast("bigint")).alias(f"w{i}")
+        for i, w in enumerate(drafted)
+    ]
+    positive = F.col("position") < F.col("cell.ones")
+    kept = ["bucket", "cell.score", "cell.continues", "cell.ends", "block"]
+    return (
+        single.select(*kept, "replicate", positive.alias("positive"), digest)
+        .select("bucket", "score", "continues", "ends", "block", "positive", *weights)
+        .groupBy("bucket", "score", "continues", "ends", "block")
+        .agg(
+            *[F.sum(f"w{i}").alias(f"n{i}") for i in range(DRAWS_PER_DIGEST)],
+            *[F.sum(F.when(F.col("positive"), F.col(f"w{i}")).otherwise(0)).alias(f"pos{i}") for i in range(DRAWS_PER_DIGEST)],
+        )
+    )
+
+
+def _per_replicate(frame: DataFrame, samples: int, *columns: str) -> DataFrame:
+    """One line per replicate of a block."""
+    lines = F.array(*[
+        F.struct(
+            (F.col("block") * DRAWS_PER_DIGEST + i).alias("replicate"),
+            *[F.col(f"{m}{i}").alias(m) for m in ("n", "pos")],
+            *[F.col(f"{m}{i}").alias(m) for m in columns],
+        )
+        for i in range(DRAWS_PER_DIGEST)
+    ])
+    rest = [c for c in frame.columns if not c[-1].isdigit() and c != "block"]
+    return frame.select(*rest, F.inline(lines)).where(F.col("replicate") < samples)
 
 
-def replicate_sweep(histogram: DataFrame, samples: int) -> DataFrame:
-    """The histogram with running and whole sums per replicate, from the highest score down.
+def _offsets(sums: DataFrame, samples: int) -> DataFrame:
+    """(_of, _sums): what a bucket needs of the others, as an array over the replicates.
 
-    Only bucket totals move. What a bucket needs of them comes back as one row, an array over the
-    replicates, so the histogram stays where it is.
+    Besides the sums before the bucket and of all, the sums of its first cell so far.
     """
-    totals = histogram.groupBy("_bucket", "replicate").agg(
-        F.sum("pos").alias("pos"), F.sum("n").alias("n")
+    edge = F.when(F.col("continues") | ~F.col("ends"), F.col("score"))
+    measures = [f"{m}{i}" for m in ("n", "pos") for i in range(DRAWS_PER_DIGEST)]
+    totals = sums.groupBy("bucket", "block", edge.alias("edge"), "continues").agg(
+        *[F.sum(m).alias(m) for m in measures]
     )
+    before = [Window.unboundedPreceding, -1]
+    cell = Window.partitionBy("replicate", "edge").orderBy("bucket").rowsBetween(*before)
     whole = Window.partitionBy("replicate")
-    above = whole.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    sums = F.struct(
-        *[F.coalesce(F.sum(m).over(above), F.lit(0)).alias(f"before_{m}") for m in ("pos", "n")],
-        *[F.sum(m).over(whole).alias(f"all_{m}") for m in ("pos", "n")],
+    above = whole.orderBy("bucket").rowsBetween(*before)
+    each = _per_replicate(totals, samples).select(
+        "bucket", "replicate", "n", "pos",
+        *[F.when(F.col("continues"), F.sum(m).over(cell)).alias(f"carry_{m}") for m in ("n", "pos")],
+    ).groupBy("bucket", "replicate").agg(
+        *[F.sum(m).alias(m) for m in ("n", "pos")],
+        *[F.coalesce(F.max(f"carry_{m}"), F.lit(0)).alias(f"carry_{m}") for m in ("n", "pos")],
+    )
+    line = F.struct(
+        *[F.coalesce(F.sum(m).over(above), F.lit(0)).alias(f"before_{m}") for m in ("n", "pos")],
+        *[F.sum(m).over(whole).alias(f"all_{m}") for m in ("n", "pos")], "carry_n", "carry_pos",
+    )
+    # As many entries per bucket as replicates.
+    return each.select(F.col("bucket").alias("_of"), "replicate", line.alias("s")).groupBy("_of").agg(
+        F.map_from_entries(F.collect_list(F.struct("replicate", "s"))).alias("by")
+    ).select(
+        "_of", F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("by")[i]).alias("_sums")
     )
-    offsets = totals.select(F.col("_bucket").alias("_of"), "replicate", sums.alias("s")).groupBy(
-        "_of"
-    ).agg(F.map_from_entries(F.collect_list(F.struct("replicate", "s"))).alias("by"))
-    each = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("by")[i])
-    offsets = offsets.select("_of", each.alias("_sums"))
-    upto = Window.partitionBy("_bucket", "replicate").orderBy(F.col("score").desc()).rowsBetween(
+
+
+def replicate_sweep(sums: DataFrame, samples: int) -> DataFrame:
+    """(replicate, score, pos, n, cum_pos, cum_n, all_pos, all_n) of all replicates.
+
+    A bucket is sorted once for each block of replicates, and only bucket totals move.
+    """
+    upto = Window.partitionBy("bucket", "block").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    running = sums.select(
+        "*", *[F.sum(f"{m}{i}").over(upto).alias(f"cum_{m}{i}") for m in ("n", "pos") for i in range(DRAWS_PER_DIGEST)]
+    )
+    joined = running.join(_offsets(sums, samples).hint("shuffle_hash"), F.col("bucket") == F.col("_of"))
     own = F.get("_sums", F.col("replicate"))
-    return histogram.join(
-        offsets.hint("shuffle_hash"), F.col("_bucket") == F.col("_of")
-    ).select(
-        "replicate", "score", "pos", "n",
-        *[(own[f"before_{m}"] + F.sum(m).over(upto)).alias(f"cum_{m}") for m in ("pos", "n")],
+    # A cell counts where it ends, with its parts before.
+    return _per_replicate(joined.where("ends"), samples, "cum_n", "cum_pos").select(
+        "replicate", "score",
+        *[(F.col(m) + F.when(F.col("continues"), own[f"carry_{m}"]).otherwise(0)).alias(m) for m in ("pos", "n")],
+        *[(own[f"before_{m}"] + F.col(f"cum_{m}")).alias(f"cum_{m}") for m in ("pos", "n")],
         *[own[f"all_{m}"].alias(f"all_{m}") for m in ("pos", "n")],
-    )
+    ).where("n > 0")
 
 
 def bootstrap_interval(
@@ -107,7 +209,6 @@ def bootstrap_interval(
     *,
     samples: int = 200,
     seed: int = 42,
-    key: str = "key",
     profile: ScoreProfile | None = None,
 ) -> DataFrame:
     """(metric, estimate, lower_95, upper_95, resamples, method), one row per metric.
@@ -121,15 +222,13 @@ def bootstrap_interval(
     if not metrics or any(m not in known for m in metrics):
         raise ContractError(f"metrics must be among {sorted(METRICS)}")
     profile = profile or profile_scores(frame)
-    points = profile.score_points
 
     named = [known[m]().alias(m) for m in metrics]
-    estimate = running_totals(
-        score_histogram(frame), [], "score", ["pos", "n"], points, descending=True
-    ).agg(*named)
-    histogram = replicate_histogram(frame, points, samples=samples, seed=seed, key=key)
+    cells = threshold_sweep(frame, profile=profile)
+    estimate = cells.agg(*named)
+    sums = resampled_cells(cells, profile.rows, samples=samples, seed=seed)
     replicates = (
-        replicate_sweep(histogram, samples)
+        replicate_sweep(sums, samples)
         .where("all_pos > 0 and all_pos < all_n")
         .groupBy("replicate")
         .agg(*named)
@@ -153,7 +252,7 @@ def bootstrap_interval(
                 F.col(f"{m}_range")[0].alias("lower_95"),
                 F.col(f"{m}_range")[1].alias("upper_95"),
                 enough.alias("resamples"),
-                F.lit("poisson_row_bootstrap").alias("method"),
+                F.lit("multinomial_row_bootstrap").alias("method"),
             )
             for m in metrics
         ]
