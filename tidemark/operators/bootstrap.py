@@ -45,10 +45,16 @@ def draft_rate(rows: int) -> float:
     return max(0.0, 1.0 - SPARE / math.sqrt(rows))
 
 
-def _weights(position: Column, block: Column, rate: float, seed: int) -> tuple[Column, list[Column]]:
-    """A digest, and the drafted counts of a block of replicates from the column ``digest``."""
-    drafted = [poisson_count(digest_draw(F.col("digest"), i), rate) for i in range(DRAWS_PER_DIGEST)]
-    return draw_digest(position, block, seed).alias("digest"), drafted
+def _drafts(frame: DataFrame, position: Column, rate: float, seed: int) -> DataFrame:
+    """``frame`` with the drafted counts w0.. of its block of replicates at ``position``.
+
+    Each draw is a column of its own before it is compared: the methods generated for this step
+    are small enough to be compiled.
+    """
+    draws = [digest_draw(F.col("digest"), i).alias(f"d{i}") for i in range(DRAWS_PER_DIGEST)]
+    counts = [poisson_count(F.col(f"d{i}"), rate).alias(f"w{i}") for i in range(DRAWS_PER_DIGEST)]
+    digest = draw_digest(position, F.col("block"), seed).alias("digest")
+    return frame.select("*", digest).select(*frame.columns, *draws).select(*frame.columns, *counts)
 
 
 def missing_draws(spark: SparkSession, rows: int, *, samples: int, seed: int) -> DataFrame:
@@ -59,11 +65,9 @@ def missing_draws(spark: SparkSession, rows: int, *, samples: int, seed: int) ->
     multinomial draw of ``rows``, as drawing with replacement does.
     """
     blocks = math.ceil(samples / DRAWS_PER_DIGEST)
-    digest, drafted = _weights(F.col("id"), F.col("block"), draft_rate(rows), seed)
-    sums = (
-        spark.range(rows).select("id", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        .select("block", digest).select("block", *[w.alias(f"w{i}") for i, w in enumerate(drafted)])
-        .groupBy("block").agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(DRAWS_PER_DIGEST)])
+    single = spark.range(rows).select("id", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    sums = _drafts(single, F.col("id"), draft_rate(rows), seed).groupBy("block").agg(
+        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(DRAWS_PER_DIGEST)]
     )
     each = sums.select(
         "block", F.posexplode(F.array(*[f"w{i}" for i in range(DRAWS_PER_DIGEST)])).alias("i", "w")
@@ -115,21 +119,24 @@ def resampled_cells(cells: DataFrame, rows: int, *, samples: int, seed: int) ->
     single = placed.select(
         "bucket", "cell", "replicate", F.explode(F.sequence("at", F.col("until") - 1)).alias("position")
     ).select("*", F.explode(own).alias("block"))
-    digest, drafted = _weights(F.col("position"), F.col("block"), draft_rate(rows), seed)
+    # A row of a part has the drafted counts, a missing draw counts one for its own replicate.
     weights = [
-        F.when(F.col("replicate").isNull(), w)
-        .otherwise((F.col("replicate") % DRAWS_PER_DIGEST == i).cast("bigint")).alias(f"w{i}")
-        for i, w in enumerate(drafted)
+        (F.col(f"w{i}") * F.col("drafted") + (F.col("own") == i).cast("bigint")).alias(f"w{i}")
+        for i in range(DRAWS_PER_DIGEST)
     ]
-    positive = F.col("position") < F.col("cell.ones")
-    kept = ["bucket", "cell.score", "cell.continues", "cell.ends", "block"]
+    cell = ["bucket", "score", "continues", "ends", "block"]
+    labelled = single.select(
+        "bucket", "cell.score", "cell.continues", "cell.ends", "block", "position",
+        F.col("replicate").isNull().cast("bigint").alias("drafted"),
+        F.coalesce(F.col("replicate") % DRAWS_PER_DIGEST, F.lit(-1)).alias("own"),
+        F.coalesce(F.col("position") < F.col("cell.ones"), F.lit(False)).cast("bigint").alias("positive"),
+    )
     return (
-        single.select(*kept, "replicate", positive.alias("positive"), digest)
-        .select("bucket", "score", "continues", "ends", "block", "positive", *weights)
-        .groupBy("bucket", "score", "continues", "ends", "block")
+        _drafts(labelled, F.col("position"), draft_rate(rows), seed).select(*cell, "positive", *weights)
+        .groupBy(*cell)
         .agg(
             *[F.sum(f"w{i}").alias(f"n{i}") for i in range(DRAWS_PER_DIGEST)],
-            *[F.sum(F.when(F.col("positive"), F.col(f"w{i}")).otherwise(0)).alias(f"pos{i}") for i in range(DRAWS_PER_DIGEST)],
+            *[F.sum(F.col(f"w{i}") * F.col("positive")).alias(f"pos{i}") for i in range(DRAWS_PER_DIGEST)],
         )
     )
 
