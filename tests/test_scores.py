@@ -332,3 +332,14 @@ def test_bootstrap_multiplies_rows_after_the_shuffle(spark):
     first = text[: text.index("Exchange")]
     # Both explosions, of positions and of blocks, and the sums lie above the first exchange.
     assert first.count("Generate") == 2 and first.count("HashAggregate") == 2
+
+
+def test_budget_ranking_of_a_null_run(spark):
+    """Ties of a null run are cut like those of any other."""
+    frame = spark.range(200).selectExpr(
+        "if(id < 100, null, 1) as seed", "id % 100 as row_id", "cast(id % 5 = 0 as int) as label", "0.5D as score"
+    )
+    got = ranking_at_budget(frame, budget_fraction=0.05, runs=["seed"]).collect()
+    assert sorted((str(r["seed"]), r["budget_selected_positives"], r["recall_at_budget"]) for r in got) == [
+        ("1", 1, 0.05), ("None", 1, 0.05),
+    ]

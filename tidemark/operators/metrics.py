@@ -250,8 +250,12 @@ def _budget_columns(
         *runs, "row_id", F.col("label").cast("bigint").alias("label"),
         (F.col("score").cast("double") + F.lit(0.0)).alias("_edge"), F.lit(1).alias("one"),
     )
-    # One row per run: a bounded broadcast.
-    tied = scores.join(F.broadcast(cut), [*runs, "_edge"])
+    # One row per run: a bounded broadcast. Null runs are runs.
+    same = F.col("_edge") == F.col("_cut__edge")
+    for k in runs:
+        same = same & F.col(k).eqNullSafe(F.col(f"_cut_{k}"))
+    cuts = cut.select(*[F.col(c).alias(f"_cut_{c}") for c in (*runs, "_edge")], "_take")
+    tied = scores.join(F.broadcast(cuts), same).select(*scores.columns, "_take")
     taken = (
         running_totals(tied, runs, "row_id", ["label", "one"], order_points)
         .where(F.col("cum_one") == F.col("_take"))
@@ -259,7 +263,10 @@ def _budget_columns(
         .agg(F.max("cum_label").alias("_taken_pos"))
     )
     full = side_by_side([blocks, taken], runs)
-    positives = "coalesce(_taken_pos, edge.pos) + edge.cum_pos - edge.pos"
+    # A block that is cut must have been counted.
+    lost = "cast(raise_error('rows of a cut block are missing') as bigint)"
+    taken_pos = f"case when _take < edge.n then coalesce(_taken_pos, {lost}) else edge.pos end"
+    positives = f"{taken_pos} + edge.cum_pos - edge.pos"
     precision = f"cast({positives} as double) / edge.k"
     expressions = {
         "budget_selected_rows": "edge.k",
