@@ -22,7 +22,7 @@ def test_stages_by_hand(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
     left = [(r["doc_id"], r["text"]) for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
     left = [d for d, row in zip(left, brute.exact(left), strict=True) if row[3]]
-    left = [d for d, row in zip(left, brute.near(left), strict=True) if row[3]]
+    left = [d for d, row in zip(left, brute.near(left, 80), strict=True) if row[3]]
     left = [d for d, row in zip(left, brute.contaminated(left, items), strict=True) if not row[5]]
     own = pieces.pieces(public_tokenizers.path("word_bpe_49k.json")).tokenizer
     expected = sorted((i, len(own.encode(t, add_special_tokens=False).ids)) for i, t in left)
