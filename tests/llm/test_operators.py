@@ -306,7 +306,7 @@ def test_viterbi_is_the_best_path():
     for words in texts:
         scorer.numbers(words)
     scorer.table[: len(scorer.number)] = draw.normal(0, 12, (len(scorer.number), 3))
-    for words, (path, _) in zip(texts, scorer.labels(texts), strict=True):
+    for words, path in zip(texts, scorer.labels(texts), strict=True):
         scores = scorer.table[scorer.numbers(words)] if words else np.zeros((0, 3))
         value = lambda p: sum(s[k] for s, k in zip(scores, p, strict=True)) - language_spans.SWITCH * sum(
             x != y for x, y in zip(p, p[1:], strict=False)
@@ -315,6 +315,28 @@ def test_viterbi_is_the_best_path():
         assert value(path.tolist()) == pytest.approx(best, abs=1e-3)
 
 
+def test_texts_of_one_language_need_no_viterbi():
+    """Where a constant path is taken, no path is better."""
+    model = language_spans.LanguageModel(["a", "b", "c"], np.zeros((3, language_spans.BUCKETS), np.float32), {})
+    scorer = language_spans._Scorer(model)
+    draw = np.random.default_rng(7)
+    lead = np.array([0.0, 0.6, 0.0])
+    constant = 0
+    for n in [3, 40, 40, 90, 90, 200, 200, 200]:
+        words = [f"t{n}-{k}-{constant}" for k in range(n)]
+        ids = scorer.numbers(words)
+        scores = draw.normal(0, 1.2, (n, 3)) + lead
+        if n == 90:
+            scores[30:60, 2] += 2
+        scorer.table[ids] = scores
+        path, best = scorer._constant(scorer.table[ids]), scorer._viterbi([ids])[0]
+        if path is not None:
+            constant += 1
+            assert (path == best).all()
+        assert (scorer.labels([words])[0] == best).all()
+    assert 3 <= constant < 8
+
+
 def test_language_models_count_whole_texts(spark):
     """Words behind a long header are in the model of trigrams and the table of scripts."""
     ship(spark)
@@ -332,7 +354,7 @@ def test_more_languages_than_a_byte_holds():
     scorer.numbers(["one", "two"])
     scorer.table[:2] = -1.0
     scorer.table[:2, 150] = 0.0
-    assert [path.tolist() for path, _ in scorer.labels([["one", "two", "one"]])] == [[150] * 3]
+    assert [path.tolist() for path in scorer.labels([["one", "two", "one"]])] == [[150] * 3]
 
 
 def test_quality(spark, nothing):

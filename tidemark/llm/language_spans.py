@@ -9,9 +9,11 @@ labelled texts, in two rounds: the second leaves out texts that the first contra
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,9 @@ SWITCH = 12.0
 #: Distinct words that a worker remembers before it starts afresh.
 REMEMBERED = 400_000
 
+#: Distinct words of a task that wait to be counted by their trigrams.
+DISTINCT = 200_000
+
 # First letters of Unicode blocks and the script that begins there.
 _BLOCKS = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"),
@@ -40,20 +45,23 @@ _BLOCKS = (
     (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"),
     (0x3100, "han"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "other"),
 )
-_STARTS = np.array([b for b, _ in _BLOCKS])
+_STARTS = [b for b, _ in _BLOCKS]
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def script(word: str) -> str:
     """The script of the first letter."""
-    return _BLOCKS[int(np.searchsorted(_STARTS, ord(word[0]), side="right")) - 1][1]
+    return _BLOCKS[bisect_right(_STARTS, ord(word[0])) - 1][1]
+
+
+@lru_cache(maxsize=1 << 17)
+def _bucket(trigram: str) -> int:
+    return xxhash.xxh32_intdigest(trigram) % BUCKETS
 
 
 def _trigrams(word: str) -> list[int]:
     marked = f"^{word.lower()}$"
-    return [
-        xxhash.xxh32_intdigest(marked[i : i + 3]) % BUCKETS for i in range(max(1, len(marked) - 2))
-    ]
+    return [_bucket(marked[i : i + 3]) for i in range(max(1, len(marked) - 2))]
 
 
 @dataclass
@@ -73,34 +81,63 @@ class _Scorer:
         # The scores of one trigram at a time, per language: a word adds a few rows.
         self.rows = np.ascontiguousarray(model.weights.T)
 
-    def numbers(self, words: list[str]) -> list[int | None]:
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Rows of the table for words; new ones are scored together."""
         found = list(map(self.number.get, words))
         if None in found:
-            for i, n in enumerate(found):
-                if n is None:
-                    found[i] = self._add(words[i])
-        return found
-
-    def _add(self, word: str) -> int:
-        known = self.number.get(word)
-        if known is not None:
-            return known
-        n = self.number[word] = len(self.number)
-        if n == len(self.table):
+            self._add(list(dict.fromkeys(w for w, n in zip(words, found, strict=True) if n is None)))
+            found = list(map(self.number.__getitem__, words))
+        return np.array(found, np.int32)
+
+    def _add(self, words: list[str]) -> None:
+        first = len(self.number)
+        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+        while len(self.number) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        score = self.rows[_trigrams(word)].sum(axis=0)
-        mask = self.model.scripts.get(script(word))
-        if mask is not None:
-            score = np.where(mask, score, score.min() - SWITCH)
-        self.table[n] = score
-        return n
-
-    def labels(self, texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per text the language number of each word, and the total score of each language."""
+        for k in range(0, len(words), 10_000):
+            some = words[k : k + 10_000]
+            grams = [_trigrams(w) for w in some]
+            starts = np.cumsum([0, *map(len, grams[:-1])])
+            rows = self.rows[np.fromiter((g for own in grams for g in own), np.int32)]
+            score = np.add.reduceat(rows, starts, axis=0)
+            for name in set(kinds := [script(w) for w in some]):
+                mask = self.model.scripts.get(name)
+                if mask is not None and not mask.all():
+                    own = np.array([kind == name for kind in kinds])
+                    low = score[own].min(axis=1, keepdims=True) - SWITCH
+                    score[own] = np.where(mask, score[own], low)
+            self.table[first + k : first + k + len(some)] = score
+
+    def labels(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The language number of each word of each text.
+
+        If in no run of words any language gains half a switch over the one that is best for the
+        whole text, no path with switches is better than staying with that one. Viterbi is for
+        the other texts.
+        """
         if len(self.number) > REMEMBERED:
             self.number.clear()
-        flat = [np.array(self.numbers(words), np.int32) for words in texts]
-        sizes = np.array([len(f) for f in flat])
+        ids = self.numbers([w for words in texts for w in words])
+        ends = np.cumsum([0, *map(len, texts)])
+        out: list[np.ndarray | None] = []
+        for a, b in zip(ends, ends[1:], strict=False):
+            out.append(self._constant(self.table[ids[a:b]]) if b > a else np.zeros(0, np.int32))
+        mixed = [i for i, path in enumerate(out) if path is None]
+        for i, path in zip(mixed, self._viterbi([ids[ends[i] : ends[i + 1]] for i in mixed]), strict=True):
+            out[i] = path
+        return out
+
+    def _constant(self, scores: np.ndarray) -> np.ndarray | None:
+        best = int(scores.sum(axis=0, dtype=np.float64).argmax())
+        gain = np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)
+        # The largest gain of a run: the sum at its end less the least sum before it.
+        low = np.minimum.accumulate(gain, axis=0)
+        most = max(float(gain.max()), float((gain[1:] - np.minimum(low[:-1], 0)).max(initial=0.0)))
+        return np.full(len(scores), best, np.int32) if most < SWITCH / 2 else None
+
+    def _viterbi(self, flat: list[np.ndarray]) -> list[np.ndarray]:
+        """Best paths of texts given as rows of the table, all texts step by step together."""
+        sizes = np.array([len(f) for f in flat], np.int64)
         order = np.argsort(-sizes, kind="stable")
         sizes, kinds = sizes[order], len(self.model.languages)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
@@ -130,11 +167,24 @@ class _Scorer:
             now[:n] = np.where(keep, now[:n], came[at])
         out: list = [None] * len(order)
         for k, i in enumerate(order):
-            span = slice(starts[k], starts[k] + sizes[k])
-            out[i] = (path[span], self.table[ids[span]].sum(axis=0))
+            out[i] = path[starts[k] : starts[k] + sizes[k]]
         return out
 
 
+def _batches(texts: Iterator[str], words: int) -> Iterator[list[tuple[str, list[str]]]]:
+    """Texts with their words, together until they have ``words`` of them."""
+    held, size = [], 0
+    for text in texts:
+        cut = _WORD.findall(text)
+        held.append((text, cut))
+        size += len(cut) + 1
+        if size >= words:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _chosen(words: list[str], path: np.ndarray, kinds: int) -> tuple[int, float]:
     """The language with most letters, and its share of all letters."""
     letters = np.bincount(path, np.fromiter(map(len, words), float, len(words)), kinds)
@@ -150,12 +200,13 @@ def _spans(words: list[tuple[int, int]], path: np.ndarray, names: list[str]) ->
     ]
 
 
-def predicted(text: Column, model: LanguageModel, *, spans: bool = False, rows: int = 4000) -> Column:
+def predicted(text: Column, model: LanguageModel, *, spans: bool = False, words: int = 200_000) -> Column:
     """Struct of ``lang`` and ``score``; with ``spans`` also (start, end, lang) in code points.
 
     ``lang`` has most letters of the labelled words and ``score`` is its share of them. Texts
     without a letter, empty and null texts are ``und`` with score 0 and have no spans. Ties go to
-    the language that sorts first.
+    the language that sorts first. ``words`` bounds the words that a worker holds at once, but for
+    those of one text.
     """
     fields = "lang string, score double"
     if spans:
@@ -166,15 +217,13 @@ def predicted(text: Column, model: LanguageModel, *, spans: bool = False, rows:
         scorer, names = _Scorer(model), model.languages
         for texts in batches:
             out = []
-            for i in range(0, len(texts), rows):
-                own = [t or "" for t in texts.iloc[i : i + rows]]
-                cut = [_WORD.findall(t) for t in own]
-                marked = scorer.labels(cut) if names else [((), None)] * len(cut)
-                for text_, words, (path, _) in zip(own, cut, marked, strict=True):
-                    if not words or not names:
+            for held in _batches((t or "" for t in texts), words):
+                paths = scorer.labels([cut for _, cut in held]) if names else [()] * len(held)
+                for (text_, cut), path in zip(held, paths, strict=True):
+                    if not cut or not names:
                         row = [UNKNOWN, 0.0, []]
                     else:
-                        best, share = _chosen(words, path, len(names))
+                        best, share = _chosen(cut, path, len(names))
                         row = [names[best], share, []]
                         if spans:
                             places = [m.span() for m in _WORD.finditer(text_)]
@@ -212,15 +261,22 @@ def _counted(sample: DataFrame, names: list[str]) -> LanguageModel:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = np.zeros((len(names), BUCKETS), np.int64)
         scripts: dict[tuple[int, str], int] = {}
-        words: list[Counter[str]] = [Counter() for _ in names]
-        for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"], strict=True):
-                words[place[lang]].update(_WORD.findall(text))
-        for k, own in enumerate(words):
-            for word, n in own.items():
+        words: Counter[tuple[int, str]] = Counter()
+
+        def fold() -> None:
+            for (k, word), n in words.items():
                 np.add.at(grams[k], _trigrams(word), n)
                 seen = (k, script(word))
                 scripts[seen] = scripts.get(seen, 0) + n
+            words.clear()
+
+        for batch in batches:
+            for text, lang in zip(batch["text"], batch["lang"], strict=True):
+                own = Counter(_WORD.findall(text))
+                words.update({(place[lang], w): n for w, n in own.items()})
+                if len(words) > DISTINCT:
+                    fold()
+        fold()
         at = np.nonzero(grams)
         rows = [(int(a), int(b), "", int(grams[a, b])) for a, b in zip(*at, strict=True)]
         rows += [(a, -1, b, n) for (a, b), n in scripts.items()]
