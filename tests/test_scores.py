@@ -202,13 +202,47 @@ def test_running_totals_keep_runs_apart(sample):
     assert rows(got) == [(0, 1500, 1500), (1, 1500, 1500)]
 
 
-def test_split_points_divide_gaps_for_large_tables():
-    quantiles = [0.1, 0.1, 0.5, 0.9]
-    fine = split_points(quantiles, 1600, 100)
-    assert fine == sorted(set(fine)) and len(fine) > len(set(quantiles))
+def test_split_points_take_quantiles():
+    quantiles = [i / 100 for i in range(100)]
+    assert split_points(quantiles, 1600, 50) == [quantiles[int(i * 100 / 32)] for i in range(1, 32)]
+    assert split_points(quantiles, 10**6, 100) == quantiles
     assert split_points(None, 10) == []
 
 
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """99 % of the rows between two quantiles of the others, with a value that a third share."""
+    frame = spark.range(20_000).selectExpr(
+        "id as row_id", "0 as label",
+        "case when id % 100 = 0 then id / 20000D when id % 3 = 0 then 0.5D"
+        " else 0.5D + id * 1e-12D end as score",
+    )
+    return frame.repartition(5).cache()
+
+
+def test_balanced_points_split_a_crowded_gap(crowded):
+    from tidemark.operators.prefix import QUANTILES, with_bucket
+
+    points = profile_scores(crowded, rows_per_bucket=15).score_points
+    assert 20_000 > QUANTILES * 15
+    lines = with_bucket(crowded, "score", points, "b").groupBy("b").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("score").alias("values")
+    ).collect()
+    assert max(r["n"] for r in lines if r["values"] > 1) <= 4 * 15
+    assert max(r["n"] for r in lines) > 6000 and len(points) < 10_000
+    got = threshold_sweep(crowded, profile=profile_scores(crowded, rows_per_bucket=15))
+    assert rows(got) == rows(threshold_sweep(crowded))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_boundary_value_in_a_crowded_gap(crowded, descending):
+    order = sorted((r["score"] for r in crowded.select("score").collect()), reverse=descending)
+    for k in (1, 150, 9000, 15_000, 20_000):
+        got = boundary_value(crowded, "score", k, descending=descending, rows_per_bucket=10)
+        assert got.value == order[k - 1] and got.ties == order.count(got.value)
+        assert got.before == sum(s > got.value if descending else s < got.value for s in order)
+
+
 def test_boundary_value(sample):
     frame, data = sample
     order = sorted((d[2] for d in data), reverse=True)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 QUANTILES = 1024
 ROWS_PER_BUCKET = 250_000
-MOST_BUCKETS = 1 << 15
 LEAST_BUCKETS = 32
 
 
@@ -29,26 +28,59 @@ def quantile_points(column: str) -> Column:
 
 
 def split_points(
-    quantiles: Sequence[float] | None, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
+    quantiles: Sequence[float] | None, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
+    least: int = LEAST_BUCKETS,
 ) -> list[float]:
-    """Increasing split points for buckets of about ``rows_per_bucket`` rows.
+    """Increasing split points for buckets of about ``rows_per_bucket`` rows, from quantiles.
 
-    Small tables take every so-manieth quantile; large ones divide the gaps between quantiles.
+    Every so-manieth quantile, or all of them where they are too few.
     """
     if not quantiles:
         return []
-    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(rows / rows_per_bucket)))
-    if wanted <= len(quantiles):
-        step = len(quantiles) / wanted
-        points = [quantiles[int(i * step)] for i in range(1, wanted)]
-    else:
-        parts = math.ceil(wanted / len(quantiles))
-        points = [
-            low + (high - low) * p / parts
-            for low, high in zip(quantiles, quantiles[1:])
-            for p in range(parts)
-        ] + [quantiles[-1]]
-    return sorted({float(p) for p in points})
+    wanted = min(len(quantiles), max(least, math.ceil(rows / rows_per_bucket)))
+    step = len(quantiles) / wanted
+    first = 1 if wanted < len(quantiles) else 0
+    return sorted({float(quantiles[int(i * step)]) for i in range(first, wanted)})
+
+
+def separated(points: Sequence[float]) -> list[float]:
+    """Each point and the next number above it: a value that is a point has its own bucket."""
+    return sorted({float(x) for p in points for x in (p, math.nextafter(p, math.inf))})
+
+
+def balanced_points(
+    frame: DataFrame, column: str, quantiles: Sequence[float] | None, rows: int,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> list[float]:
+    """Split points whose buckets hold about ``rows_per_bucket`` rows or one value.
+
+    Where the quantiles of the table are too few for that, its buckets are counted, and those too
+    full are split at their own quantiles, again and again: each round leaves about a thousandth
+    of a bucket, so the rounds are few even if most rows lie in one gap. One number per bucket
+    reaches the driver.
+    """
+    points = split_points(quantiles, rows, rows_per_bucket)
+    if rows <= QUANTILES * rows_per_bucket:
+        return points
+    points = separated(points)
+    values = frame.select(F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL")
+    while True:
+        placed = with_bucket(values, "_v", points, "_b")
+        full = {
+            r["_b"]: r["rows"]
+            for r in placed.groupBy("_b").agg(
+                F.count(F.lit(1)).alias("rows"), F.min("_v").alias("low"), F.max("_v").alias("high")
+            ).where((F.col("rows") > 2 * rows_per_bucket) & (F.col("low") < F.col("high"))).collect()
+        }
+        if not full:
+            return points
+        # As many rows as buckets that are too full: a bounded broadcast of their numbers.
+        wanted = frame.sparkSession.createDataFrame([(b,) for b in full], "_b int")
+        found = placed.join(F.broadcast(wanted), "_b", "left_semi").groupBy("_b").agg(
+            quantile_points("_v").alias("q")
+        )
+        more = [x for r in found.collect() for x in split_points(r["q"], full[r["_b"]], rows_per_bucket, 2)]
+        points = sorted({*points, *separated(more)})
 
 
 def with_bucket(frame: DataFrame, by: str, points: Sequence[float], name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.prefix import (
     ROWS_PER_BUCKET,
     quantile_points,
+    separated,
     split_points,
     with_bucket,
 )
@@ -35,43 +36,42 @@ def boundary_value(
 ) -> Boundary | None:
     """Value of the numeric ``column`` at rank ``k`` (from 1); None when there are fewer rows.
 
-    What reaches the driver: quantiles, one count per bucket, and one row.
+    A descent: the bucket that holds rank k is cut again at its own quantiles, which have buckets
+    of their own, until it holds one value or few enough rows to be ordered in a task. What
+    reaches the driver in each round: quantiles and one count per bucket.
     """
-    head = frame.agg(
-        F.count(column).alias("rows"), quantile_points(column).alias("quantiles")
-    ).first()
-    if head["rows"] < k:
-        return None
-    points = split_points(head["quantiles"], head["rows"], rows_per_bucket)
-    counts = {
-        row["_bucket"]: row["count"]
-        for row in with_bucket(frame.select(column), column, points, "_bucket")
-        .groupBy("_bucket").count().collect()
-    }
-    before = 0
-    for bucket in sorted(counts, reverse=descending):
-        if before + counts[bucket] >= k:
-            break
-        before += counts[bucket]
-    inside = frame.select(column)
-    if bucket > 0:
-        inside = inside.where(F.col(column) >= F.lit(points[bucket - 1]))
-    if bucket < len(points):
-        inside = inside.where(F.col(column) < F.lit(points[bucket]))
+    inside, before = frame.select(column).where(F.col(column).isNotNull()), 0
     order = F.col(column).desc() if descending else F.col(column).asc()
-    upto = Window.partitionBy(F.lit(0)).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    # One bucket's distinct values: the window is over a known share of the table.
-    hit = (
-        inside.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("upto", F.sum("ties").over(upto))
-        .where(F.col("upto") >= F.lit(k - before))
-        .orderBy("upto")
-        .first()
-    )
-    return Boundary(hit[column], before + hit["upto"] - hit["ties"], hit["ties"])
+    while True:
+        head = inside.agg(
+            F.count(column).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"),
+            quantile_points(column).alias("quantiles"),
+        ).first()
+        if head["rows"] < k - before:
+            return None
+        if head["low"] == head["high"]:
+            return Boundary(head["low"], before, head["rows"])
+        if head["rows"] <= rows_per_bucket:
+            break
+        points = separated(split_points(head["quantiles"], head["rows"], rows_per_bucket))
+        counts = {
+            row["_bucket"]: row["count"]
+            for row in with_bucket(inside, column, points, "_bucket").groupBy("_bucket").count().collect()
+        }
+        for bucket in sorted(counts, reverse=descending):
+            if before + counts[bucket] >= k:
+                break
+            before += counts[bucket]
+        if bucket > 0:
+            inside = inside.where(F.col(column).cast("double") >= F.lit(points[bucket - 1]))
+        if bucket < len(points):
+            inside = inside.where(F.col(column).cast("double") < F.lit(points[bucket]))
+    # At most ``rows_per_bucket`` rows are left.
+    last = F.min(column) if descending else F.max(column)
+    value = inside.orderBy(order).limit(k - before).agg(last).first()[0]
+    beyond = F.col(column) > F.lit(value) if descending else F.col(column) < F.lit(value)
+    around = inside.agg(F.count_if(beyond).alias("n"), F.count_if(F.col(column) == F.lit(value)).alias("ties")).first()
+    return Boundary(value, before + around["n"], around["ties"])
 
 
 def stratum_cuts(

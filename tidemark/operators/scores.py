@@ -17,9 +17,9 @@ from tidemark.errors import ContractError
 from tidemark.operators.checks import Rule, broken_unless, raise_first, violation_rows
 from tidemark.operators.prefix import (
     ROWS_PER_BUCKET,
+    balanced_points,
     quantile_points,
     running_totals,
-    split_points,
 )
 
 
@@ -70,8 +70,8 @@ def profile_scores(
             raise ContractError(f"{rule.table}: {rule.name}; count={row[f'_{i}']}")
     return ScoreProfile(
         row["rows"],
-        split_points(row["scores"], row["rows"], rows_per_bucket),
-        split_points(row["orders"], row["rows"], rows_per_bucket),
+        balanced_points(work, "_score", row["scores"], row["rows"], rows_per_bucket),
+        balanced_points(work, order, row["orders"], row["rows"], rows_per_bucket) if order else [],
     )
 
 
