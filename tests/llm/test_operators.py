@@ -320,7 +320,7 @@ def test_texts_of_one_language_need_no_viterbi():
     model = language_spans.LanguageModel(["a", "b", "c"], np.zeros((3, language_spans.BUCKETS), np.float32), {})
     scorer = language_spans._Scorer(model)
     draw = np.random.default_rng(7)
-    lead = np.array([0.0, 0.6, 0.0])
+    lead = np.array([0.0, 1.2, 0.0])
     constant = 0
     for n in [3, 40, 40, 90, 90, 200, 200, 200]:
         words = [f"t{n}-{k}-{constant}" for k in range(n)]
