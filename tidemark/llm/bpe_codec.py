@@ -199,12 +199,12 @@ def encoded(text: Column, path: str, *, rows: int = 2000) -> Column:
     return encode(text)
 
 
-def encode_documents(documents: DataFrame, path: str) -> DataFrame:
+def encode_documents(documents: DataFrame, path: str, *, rows: int = 2000) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` per document.
 
     Null and empty texts give no ids and an empty decoded text. Every row is answered by itself,
     so null and repeated ids, repeated rows and further columns change nothing; an empty table
     gives an empty result.
     """
-    rows = bare(documents).select("doc_id", encoded(F.col("text"), path).alias("e"))
-    return rows.select("doc_id", "e.n_tokens", "e.ids", "e.decoded")
+    own = bare(documents).select("doc_id", encoded(F.col("text"), path, rows=rows).alias("e"))
+    return own.select("doc_id", "e.n_tokens", "e.ids", "e.decoded")

@@ -54,7 +54,7 @@ def script(word: str) -> str:
     return _BLOCKS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
-@lru_cache(maxsize=1 << 17)
+@lru_cache(maxsize=1 << 15)
 def _bucket(trigram: str) -> int:
     return xxhash.xxh32_intdigest(trigram) % BUCKETS
 
