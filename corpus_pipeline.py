@@ -74,7 +74,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded texts of what is left, as digests."""
     ship(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    return encoded_digests(bpe_codec.encode_documents(docs, path))
+    # The stages before leave less memory to this one than it has alone.
+    return encoded_digests(bpe_codec.encode_documents(docs, path, rows=400))
 
 
 STAGES = [
