@@ -125,6 +125,7 @@ class Codec:
         by_id = {i: t for t, i in [*self.own.vocab.items(), *self.own.added.items()]}
         self.spelled = [by_id.get(i, "") for i in range(max(by_id) + 1)]
         self.chunks: dict[str, bytes] = {}
+        self.remembered = REMEMBERED
 
     def _cut(self, text: str) -> list[str]:
         """Chunks between white space; pre-tokens never reach over it."""
@@ -139,7 +140,7 @@ class Codec:
 
     def batch(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > self.remembered:
             self.chunks.clear()
         known, missing, lines = self.chunks.get, set(), []
         for text in texts:
@@ -176,16 +177,20 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(text: Column, path: str, *, rows: int = 2000) -> Column:
+def encoded(
+    text: Column, path: str, *, rows: int = 2000, remembered: int = REMEMBERED
+) -> Column:
     """Struct of ``n_tokens``, ``ids`` (little-endian unsigned 32-bit) and ``decoded`` text.
 
     Strings of added tokens become their id, as is the default of the library; nothing is added
-    before or after. ``rows`` bounds the texts that a worker holds as words at once.
+    before or after. ``rows`` bounds the texts that a worker holds as words at once, and
+    ``remembered`` the distinct chunks whose ids it keeps.
     """
 
     @F.pandas_udf(FIELDS)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = codec(path)
+        own.remembered = remembered
         for texts in batches:
             ids = [x for i in range(0, len(texts), rows) for x in own.batch(texts.iloc[i : i + rows])]
             yield pd.DataFrame(
@@ -199,12 +204,14 @@ def encoded(text: Column, path: str, *, rows: int = 2000) -> Column:
     return encode(text)
 
 
-def encode_documents(documents: DataFrame, path: str, *, rows: int = 2000) -> DataFrame:
+def encode_documents(
+    documents: DataFrame, path: str, *, rows: int = 2000, remembered: int = REMEMBERED
+) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` per document.
 
     Null and empty texts give no ids and an empty decoded text. Every row is answered by itself,
     so null and repeated ids, repeated rows and further columns change nothing; an empty table
     gives an empty result.
     """
-    own = bare(documents).select("doc_id", encoded(F.col("text"), path, rows=rows).alias("e"))
+    own = bare(documents).select("doc_id", encoded(F.col("text"), path, rows=rows, remembered=remembered).alias("e"))
     return own.select("doc_id", "e.n_tokens", "e.ids", "e.decoded")
