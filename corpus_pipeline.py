@@ -75,7 +75,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     # The stages before leave less memory to this one than it has alone.
-    return encoded_digests(bpe_codec.encode_documents(docs, path, rows=400))
+    return encoded_digests(bpe_codec.encode_documents(docs, path, rows=400, remembered=200_000))
 
 
 STAGES = [
