@@ -192,14 +192,16 @@ def encoded(
         own = codec(path)
         own.remembered = remembered
         for texts in batches:
-            ids = [x for i in range(0, len(texts), rows) for x in own.batch(texts.iloc[i : i + rows])]
-            yield pd.DataFrame(
-                {
-                    "n_tokens": [len(x) // 4 for x in ids],
-                    "ids": ids,
-                    "decoded": [own.decode(x) for x in ids],
-                }
-            )
+            # Results go out in small parts, since they are larger than the texts.
+            for i in range(0, len(texts), rows):
+                ids = own.batch(texts.iloc[i : i + rows])
+                yield pd.DataFrame(
+                    {
+                        "n_tokens": [len(x) // 4 for x in ids],
+                        "ids": ids,
+                        "decoded": [own.decode(x) for x in ids],
+                    }
+                )
 
     return encode(text)
 
