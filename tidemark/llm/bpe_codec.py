@@ -34,6 +34,7 @@ class PrefixCodec:
         self.end = own.suffix
         self.rank = {tuple(m): i for i, m in enumerate(own.merges)}
         self.pairs: dict[tuple[str, str, bool], bool] = {}
+        self.remembered = REMEMBERED
         # Tokens that merging cannot reach from their own symbols are never the right ones.
         codes = {t: i.to_bytes(4, "little") for t, i in own.vocab.items() if self._merged(t) == [t]}
         self.inner = {t: c for t, c in codes.items() if not self._ends(t)}
@@ -68,7 +69,7 @@ class PrefixCodec:
         return symbols
 
     def _may_follow(self, before: str, token: str, final: bool) -> bool:
-        if len(self.pairs) > REMEMBERED:
+        if len(self.pairs) > self.remembered:
             self.pairs.clear()
         token_end = token + self.end if final else token
         follows = self._merged(before + token_end) == [before, token_end]
@@ -125,7 +126,11 @@ class Codec:
         by_id = {i: t for t, i in [*self.own.vocab.items(), *self.own.added.items()]}
         self.spelled = [by_id.get(i, "") for i in range(max(by_id) + 1)]
         self.chunks: dict[str, bytes] = {}
-        self.remembered = REMEMBERED
+        self.remember(REMEMBERED)
+
+    def remember(self, most: int) -> None:
+        """Bound the distinct chunks, and the pairs of tokens, that are kept."""
+        self.remembered = self.prefixes.remembered = most
 
     def _cut(self, text: str) -> list[str]:
         """Chunks between white space; pre-tokens never reach over it."""
@@ -184,13 +189,13 @@ def encoded(
 
     Strings of added tokens become their id, as is the default of the library; nothing is added
     before or after. ``rows`` bounds the texts that a worker holds as words at once, and
-    ``remembered`` the distinct chunks whose ids it keeps.
+    ``remembered`` the distinct chunks whose ids it keeps, and the pairs of tokens.
     """
 
     @F.pandas_udf(FIELDS)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = codec(path)
-        own.remembered = remembered
+        own.remember(remembered)
         for texts in batches:
             # Results go out in small parts, since they are larger than the texts.
             for i in range(0, len(texts), rows):
