@@ -10,6 +10,7 @@ without any finding are identifiers.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,35 +38,57 @@ WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"
 RATIO = 0.5
 
 
+def _bound(value: Column, result: Callable[[Column], Column]) -> Column:
+    """``result`` of a value that is computed once; named twice, or in a lambda, it is again each time."""
+    return F.get(F.transform(F.array(value), result), F.lit(0))
+
+
 def _found(text: Column, pattern: str, groups: int) -> Column:
     """Array of (start, end, value) of the leftmost matches; ``groups``: those of the pattern."""
     # Each match begins where the one before ended, so the text behind the last is read once.
     whole = rf"(?s)\G(.*?)({pattern})"
-    gaps, hits = F.regexp_extract_all(text, F.lit(whole), 1), F.regexp_extract_all(text, F.lit(whole), 2)
-    values = F.regexp_extract_all(text, F.lit(whole), 2 + groups) if groups else hits
-    ends = _running(F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h)))
-    joined = F.arrays_zip(ends.alias("end"), hits.alias("hit"), values.alias("value"))
-    return F.transform(
-        joined,
-        lambda x: F.struct(
-            (x["end"] - F.length(x["hit"])).alias("start"), x["end"].alias("end"), x["value"].alias("value")
-        ),
-    )
+    part = lambda group: F.regexp_extract_all(text, F.lit(whole), group)
+    parts = [part(1).alias("gaps"), part(2).alias("hits")]
+    if groups:
+        parts.append(part(2 + groups).alias("values"))
+
+    def placed(found: Column) -> Column:
+        hits = found["hits"]
+        ends = _running(F.zip_with(found["gaps"], hits, lambda g, h: F.length(g) + F.length(h)))
+        values = found["values"] if groups else hits
+        joined = F.arrays_zip(ends.alias("end"), hits.alias("hit"), values.alias("value"))
+        return F.transform(
+            joined,
+            lambda x: F.struct(
+                (x["end"] - F.length(x["hit"])).alias("start"), x["end"].alias("end"),
+                x["value"].alias("value"),
+            ),
+        )
+
+    return _bound(F.struct(*parts), placed)
 
 
 def _running(sizes: Column, block: int = 256) -> Column:
     """Running totals of an array, in blocks so that long arrays stay far from quadratic."""
     zero = F.lit(0)
     add = lambda a, b: a + b
-    last = F.floor((F.size(sizes) - 1) / block).cast("int")
-    numbers = F.when(F.size(sizes) > 0, F.sequence(zero, last)).otherwise(F.array().cast("array<int>"))
-    blocks = F.transform(numbers, lambda k: F.slice(sizes, k * block + 1, block))
-    totals = F.transform(blocks, lambda b: F.aggregate(b, zero, add))
-    before = F.transform(numbers, lambda k: F.aggregate(F.slice(totals, F.lit(1), k), zero, add))
+
+    def blocks(sizes: Column) -> Column:
+        last = F.floor((F.size(sizes) - 1) / block).cast("int")
+        numbers = F.when(F.size(sizes) > 0, F.sequence(zero, last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda k: F.slice(sizes, k * block + 1, block))
+
+    def totals(parts: Column) -> Column:
+        sums = F.transform(parts, lambda b: F.aggregate(b, zero, add))
+        return _bound(sums, lambda t: F.zip_with(parts, before(t), inner))
+
+    before = lambda sums: F.transform(
+        sums, lambda _, k: F.aggregate(F.slice(sums, F.lit(1), k), zero, add)
+    )
     inner = lambda b, start: F.transform(
         b, lambda _, i: start + F.aggregate(F.slice(b, F.lit(1), i + 1), zero, add)
     )
-    return F.flatten(F.zip_with(blocks, before, inner))
+    return F.flatten(_bound(_bound(sizes, blocks), totals))
 
 
 def _where(condition: Column, found: Column) -> Column:
@@ -92,11 +115,36 @@ def findings(documents: DataFrame) -> DataFrame:
         _where(text.rlike(HEX), _found(text, HEX, 0)).alias("hex"),
         _where(text.rlike(RUN), _found(text, RUN, 0)).alias("runs"),
     )
-    base = F.concat("assign", "access", "hex")
-    free = lambda r: ~F.exists(
-        base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
+    return rows.withColumn("runs", _free(F.col("runs"), F.concat("assign", "access", "hex"))).drop("text")
+
+
+def _places(array: Column, field: str) -> Column:
+    return F.transform(array, lambda x: x[field])
+
+
+def _among(runs: Column, others: Column, *, first: bool) -> Column:
+    """For each of ascending numbers, how many of ``others`` are smaller, or as small unless ``first``.
+
+    Both lists are sorted together; the i-th number at place p has p - i others before it.
+    """
+    marked = lambda values, mark: F.transform(
+        values, lambda x: F.struct(x.alias("at"), F.lit(mark).alias("mark"))
     )
-    return rows.withColumn("runs", F.filter("runs", free)).drop("text")
+    own = 0 if first else 2
+    both = F.sort_array(F.concat(marked(runs, own), marked(others, 1)))
+    placed = F.transform(both, lambda x, p: F.struct(x["mark"].alias("mark"), p.alias("place")))
+    return F.transform(F.filter(placed, lambda x: x["mark"] == own), lambda x, i: x["place"] - i)
+
+
+def _free(runs: Column, base: Column) -> Column:
+    """Runs that no base span overlaps, by two sorts instead of a comparison of all with all.
+
+    Spans that begin before a run ends, less those that end before it begins, overlap it.
+    """
+    begun = _among(_places(runs, "end"), _places(base, "start"), first=True)
+    ended = _among(_places(runs, "start"), _places(base, "end"), first=False)
+    counted = F.arrays_zip(runs.alias("run"), begun.alias("begun"), ended.alias("ended"))
+    return F.transform(F.filter(counted, lambda x: x["begun"] == x["ended"]), lambda x: x["run"])
 
 
 def _pairs(values: DataFrame) -> DataFrame:
