@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from pathlib import Path
 
 import numpy as np
@@ -99,6 +100,35 @@ def test_secret_spans(corpus, nothing):
     assert secret_spans.secrets(nothing).count() == 0
 
 
+def test_runs_that_touch_or_overlap_base_spans(spark):
+    """Against a comparison of all with all; spans that only touch do not overlap."""
+    draw = random.Random(11)
+    rows = []
+    for i in range(200):
+        cuts = sorted(draw.sample(range(60), 2 * draw.randint(0, 8)))
+        runs = [(a, b, "r") for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        base = [(a, a + draw.randint(1, 6), "b") for a in draw.sample(range(60), draw.randint(0, 9))]
+        rows.append((i, runs, base))
+    span = "array<struct<start: int, end: int, value: string>>"
+    frame = spark.createDataFrame(rows, f"id int, runs {span}, base {span}")
+    got = frame.select("id", secret_spans._free(F.col("runs"), F.col("base")).alias("free")).collect()
+    want = {i: [r for r in rs if not any(b[0] < r[1] and r[0] < b[1] for b in bs)] for i, rs, bs in rows}
+    assert {r["id"]: [tuple(x) for x in r["free"]] for r in got} == want
+
+
+def test_secrets_of_one_long_text_take_time_in_proportion(spark):
+    """500 kB of secrets in one text, which took some minutes when all were compared with all."""
+    ship(spark)
+    draw = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = " ".join(f"token={''.join(draw.choices(letters, k=32))}" for _ in range(13_000))
+    begun = time.monotonic()
+    frame = spark.createDataFrame([(1, text), (2, prose(1, 50))], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_assign"] for r in secret_spans.secrets(frame).collect()}
+    assert got == {1: 13_000, 2: 0}
+    assert time.monotonic() - begun < 60
+
+
 def test_markov_models_add_random_strings(spark):
     """Keys that no pattern finds are found, ordinary identifiers are not."""
     ship(spark)
@@ -159,6 +189,21 @@ def test_repeated_passages(corpus, nothing):
     assert repeated_passages.removed_passages(nothing).count() == 0
 
 
+def test_null_ids_with_texts_whose_32_bit_hashes_meet(spark):
+    """Texts without an id are told apart by more than 32 bits."""
+    ship(spark)
+    words = F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.hex(F.xxhash64("id", k)))
+    texts = spark.range(200_000).select(F.array_join(words, " ").alias("text"))
+    pair = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("both")).where("size(both) > 1").first()
+    alone, again = sorted(pair["both"])[:2]
+    docs = [(1, prose(9, 60)), (2, again), (None, alone), (None, again), (None, prose(10, 60))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = repeated_passages.removed_passages(frame).withColumn("kept", F.sha2("kept", 256))
+    same(got, brute.repeated_passages(docs), ["doc_id", "n_words", "n_removed", "kept"])
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    same(repeated_bytes.removed_bytes(frame), brute.repeated_bytes(docs), columns)
+
+
 def test_many_regions_of_one_seed_go_by_windows(spark, corpus, monkeypatch):
     """The way for seeds with very many regions gives the same rows."""
     from tidemark.llm import repeats

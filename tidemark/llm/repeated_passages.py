@@ -28,8 +28,8 @@ from tidemark.llm.word_hash import WordHashes
 
 LENGTH = 50
 SEED = 20
-#: Phrases per automaton, about, and documents that one of its parts streams.
-PHRASES, DOCUMENTS = 20_000, 5000
+#: Phrases per automaton, about, and bytes of the texts that one of its parts streams, about.
+PHRASES, BYTES = 20_000, 16 << 20
 
 _HASHES = WordHashes()
 
@@ -131,7 +131,8 @@ def removed_passages(documents: DataFrame) -> DataFrame:
     columns are not read.
     """
     own = repeats.texts_of(documents)
-    phrases = own.select("o", "v", "text").mapInPandas(_phrases, f"{ROW}phrase long")
+    # Read three times below, so the texts are cut and hashed once.
+    phrases = written(own.select("o", "v", "text").mapInPandas(_phrases, f"{ROW}phrase long"))
     confirmed = written(
         phrases.groupBy("phrase").agg(F.min(F.struct("o", "v")).alias("first"), F.max("o").alias("high"))
         .where("first.o < high").select("phrase", "first")
@@ -156,9 +157,9 @@ def removed_passages(documents: DataFrame) -> DataFrame:
     patterns = single.where(F.size("firsts") > 0).select("text", "firsts").mapInPandas(
         _patterns, "shard long, pattern string"
     )
-    parts = single.select(F.explode("shards").alias("s")).groupBy("s").agg(
-        F.ceil(F.count(F.lit(1)) / DOCUMENTS).alias("parts")
-    )
+    parts = single.select(F.explode("shards").alias("s"), F.octet_length("text").alias("size")).groupBy(
+        "s"
+    ).agg(F.ceil(F.sum(F.col("size") + 1) / BYTES).alias("parts"))
     left = patterns.join(parts, F.col("shard") == F.col("s")).select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "pattern"
     )

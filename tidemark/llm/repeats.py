@@ -126,7 +126,7 @@ def rows_of(found: list[tuple], names: list[str]) -> pd.DataFrame:
     return pd.DataFrame(columns)
 
 
-ROW = "o long, v int, "
+ROW = "o long, v long, "
 
 
 def _functions(kind: Kind) -> dict[str, Callable]:
@@ -269,9 +269,13 @@ def gone(spans: np.ndarray | None, size: int, length: int) -> np.ndarray:
 
 
 def texts_of(documents: DataFrame) -> DataFrame:
-    """``doc_id, text, o, v``: ``o`` orders documents, nulls last; ``v`` tells texts apart."""
+    """``doc_id, text, o, v``: ``o`` orders documents, nulls last; ``v`` tells texts of one id apart.
+
+    ``v`` is the first 64 bits of the SHA-256 of the text, with null as the empty text.
+    """
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
     return bare(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("o"),
-        F.hash("text").alias("v"),
+        F.conv(F.substring(digest, 1, 16), 16, -10).cast("long").alias("v"),
     )
