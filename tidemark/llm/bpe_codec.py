@@ -183,13 +183,14 @@ def codec(path: str) -> Codec:
 
 
 def encoded(
-    text: Column, path: str, *, rows: int = 2000, remembered: int = REMEMBERED
+    text: Column, path: str, *, rows: int = 2000, remembered: int = REMEMBERED, release: bool = False
 ) -> Column:
     """Struct of ``n_tokens``, ``ids`` (little-endian unsigned 32-bit) and ``decoded`` text.
 
     Strings of added tokens become their id, as is the default of the library; nothing is added
     before or after. ``rows`` bounds the texts that a worker holds as words at once, and
-    ``remembered`` the distinct chunks whose ids it keeps, and the pairs of tokens.
+    ``remembered`` the distinct chunks whose ids it keeps, and the pairs of tokens. With
+    ``release`` a worker forgets vocabulary and ids after each task and leaves the memory to others.
     """
 
     @F.pandas_udf(FIELDS)
@@ -207,12 +208,15 @@ def encoded(
                         "decoded": [own.decode(x) for x in ids],
                     }
                 )
+        if release:
+            codec.cache_clear()
+            pieces.cache_clear()
 
     return encode(text)
 
 
 def encode_documents(
-    documents: DataFrame, path: str, *, rows: int = 2000, remembered: int = REMEMBERED
+    documents: DataFrame, path: str, *, rows: int = 2000, remembered: int = REMEMBERED, release: bool = False
 ) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` per document.
 
@@ -220,5 +224,6 @@ def encode_documents(
     so null and repeated ids, repeated rows and further columns change nothing; an empty table
     gives an empty result.
     """
-    own = bare(documents).select("doc_id", encoded(F.col("text"), path, rows=rows, remembered=remembered).alias("e"))
+    codes = encoded(F.col("text"), path, rows=rows, remembered=remembered, release=release)
+    own = bare(documents).select("doc_id", codes.alias("e"))
     return own.select("doc_id", "e.n_tokens", "e.ids", "e.decoded")

@@ -252,7 +252,8 @@ def fit(documents: DataFrame, learn: Column, *, per_language: int = SAMPLE) -> L
     sample = written(rows.where(key < F.element_at(cut, F.col("lang"))).select("text", "lang"))
     first = _counted(sample, names)
     kept = sample.withColumn("guess", predicted(F.col("text"), first)).where("guess.lang = lang")
-    return _counted(kept, names)
+    # Written, so that no task needs two Python workers at once.
+    return _counted(written(kept.select("text", "lang")), names)
 
 
 def _counted(sample: DataFrame, names: list[str]) -> LanguageModel:
