@@ -43,7 +43,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = language_spans.fit(docs, remainder(3) != 1)
     own = "tidemark_language"
-    marked = docs.withColumn(own, language_spans.predicted(F.col("text"), model))
+    marked = docs.withColumn(own, language_spans.predicted(F.col("text"), model, words=50_000))
     return marked.where(F.col(own)["lang"] != language_spans.UNKNOWN).drop(own)
 
 
@@ -74,8 +74,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded texts of what is left, as digests."""
     ship(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    # The stages before leave less memory to this one than it has alone.
-    return encoded_digests(bpe_codec.encode_documents(docs, path, rows=400, remembered=200_000))
+    # Stages share the workers: what one keeps in memory is missing for the others.
+    return encoded_digests(bpe_codec.encode_documents(docs, path, rows=400, remembered=200_000, release=True))
 
 
 STAGES = [
