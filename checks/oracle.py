@@ -759,7 +759,12 @@ def _request_counters() -> str:
         ("age is out of range", f"{number} NOT BETWEEN 13 AND 100"),
         (f"{p} is not positive", "pages < 1"),
     ]
-    return counters([(i, n, q) for i, (n, q) in enumerate(names)], "bad")
+    early = [(n, q) for n, q in names if not n.startswith(p)]
+    return " UNION ALL ".join(
+        f"SELECT *, '{scenario}' AS scenario FROM ("
+        + counters([(i, n, q) for i, (n, q) in enumerate(rules)], "bad") + ")"
+        for scenario, rules in (("acquisition", early), ("in_session", names))
+    )
 
 
 # The queries -----------------------------------------------------------------------------
@@ -870,9 +875,15 @@ def _corrupted() -> str:
         "source": "source", "total_pages_visited": "total_pages_visited::DOUBLE AS total_pages_visited",
     }
 
-    def row(name: str, changed: dict[str, str]) -> str:
-        columns = ", ".join(changed.get(c, sql) for c, sql in plain.items())
-        return f"SELECT row_id, '{name}' AS variant, {columns} FROM conv"
+    def row(name: str, changed: dict[str, str], scenarios=("acquisition", "in_session")) -> str:
+        lines = []
+        for scenario in scenarios:
+            own = {c: q for c, q in changed.items() if scenario == "in_session" or c != "total_pages_visited"}
+            columns = ", ".join(own.get(c, sql) for c, sql in plain.items())
+            lines.append(
+                f"SELECT row_id, '{scenario}' AS scenario, '{name}' AS variant, {columns} FROM conv"
+            )
+        return " UNION ALL ".join(lines)
 
     kinds = {c: "VARCHAR" if c in ("country", "source") else "DOUBLE" for c in plain}
     age = f"round_even(age + 3.0::DOUBLE * {normal('row_id', 'age', '42')}, 0)"
@@ -897,6 +908,7 @@ def _corrupted() -> str:
                     "total_pages_visited":
                         f"greatest(1.0::DOUBLE, {pages}) AS total_pages_visited"
                 },
+                ("in_session",),
             ),
         ]
     )
@@ -957,7 +969,8 @@ WITH {CONVERSIONS}, gaps AS (
 
 
 def _permuted() -> str:
-    block = f"floor({uniform('row_id', 'permute/block', '42')} * 16)"
+    blocks = "(SELECT greatest(8, ceil(count(*) / 100000)) FROM conv)"
+    block = f"floor({uniform('row_id', 'permute/block', '42')} * {blocks})"
     return f"""
 WITH {CONVERSIONS}, b AS (
   SELECT row_id, converted, {block} AS block, {uniform('row_id', 'permute/to', '42')} AS t,
@@ -1074,8 +1087,25 @@ SELECT count(*) AS input_rows, count(*) AS output_rows, 0 AS invalid_age_rows,
 FROM conv"""
 
 
+def _optimality() -> str:
+    """The slots that training rows give a model, each at the optimum."""
+    columns = {c: "acquisition" for c in ("country", "source", "age", "new_user", "intercept")}
+    columns["total_pages_visited"] = "in_session"
+    lines = []
+    for column, first in columns.items():
+        level = column if column in ("country", "source") else "NULL::VARCHAR"
+        lines.append(
+            f"SELECT DISTINCT scenario, '{column}' AS feature, {level} AS level,"
+            " 0.0::DOUBLE AS gradient FROM split,"
+            " (VALUES ('acquisition'), ('in_session')) s(scenario)"
+            f" WHERE split = 'train' AND scenario >= '{first}'"
+        )
+    return f"WITH {CONVERSIONS}, {stratified('conv', 'converted', [42])} " + " UNION ALL ".join(lines)
+
+
 def all_sql() -> dict[str, str]:
     zero = "SELECT 0::BIGINT AS only_left, 0::BIGINT AS only_right"
+    both = f"SELECT * FROM ({zero}), (VALUES ('acquisition'), ('in_session')) s(scenario)"
     ceilings = ", ".join(
         f"({i}, {f}::DOUBLE, {c}::DOUBLE)"
         for i, (c, f) in enumerate((c, f) for c in (4.0, 10.0) for f in (0.001, 0.05, 0.5))
@@ -1122,7 +1152,8 @@ WITH {CONVERSIONS} SELECT * FROM conv WHERE row_id % 23 <> 0 AND row_id % 29 <>
 WITH {CONVERSIONS} SELECT row_id, country,
   CASE WHEN row_id % 41 <> 1 THEN age::DOUBLE END AS age, new_user::DOUBLE AS new_user,
   CASE WHEN row_id % 41 <> 0 THEN source END AS source,
-  total_pages_visited::DOUBLE AS total_pages_visited FROM conv""",
+  CASE WHEN scenario = 'in_session' THEN total_pages_visited::DOUBLE END AS total_pages_visited,
+  scenario FROM conv, (VALUES ('acquisition'), ('in_session')) s(scenario)""",
         "descriptive_rates": f"""
 WITH {CONVERSIONS}, p AS (
   SELECT 'country' AS panel, country AS level, converted FROM conv UNION ALL
@@ -1238,6 +1269,15 @@ UNION ALL SELECT 2, 'key is not unique', count(*) FILTER (x IN (0, 3)) FROM x"""
         "permuted_labels": _permuted(),
         "baseline_metrics": _baseline(),
         "impute_scale_params": _impute(),
+        "model_optimality": _optimality(),
+        "csv_round_trip": f"WITH {CONVERSIONS} SELECT * FROM conv",
+        "json_round_trip": f"WITH {CONVERSIONS} SELECT * FROM conv",
+        "table_round_trip": f"WITH {PIT} SELECT * FROM feat",
+        "report_round_trip": _QUALITY,
+        "report_tables_round_trip": f"""
+WITH {CONVERSIONS}, {stratified('conv', 'converted', [42])} {_SHARES} FROM split GROUP BY ALL""",
+        "reload_parity": both,
+        "capacity_handoff": both,
         "one_hot_encoded": f"""
 WITH {CONVERSIONS} SELECT row_id, """ + ", ".join(
             f"CAST(source = '{s}' AND row_id % 5 <> 0 AS INT) AS is_{s.lower()}"

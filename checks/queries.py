@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.durable import durable
+from tidemark.durable import durable, shared_folder
 from tidemark.operators import bootstrap, capacity, conversion, events, metrics, model, pit
 from tidemark.operators import pit_output, planning, scores, scoring, splits, stress, thresholds
+from tidemark.operators.combine import multiset_delta
 from tidemark.plans import audit, decision, policies, training, verification
 from tidemark.sources import driver_tables as tables
+from tidemark.sources import manifest, readers, writers
 
 SEEDS = policies.DEFAULT_SEEDS
 ACQUISITION = schemas.FEATURES["acquisition"]
@@ -55,6 +58,64 @@ def event_inputs(spark: SparkSession, folder: str, *, validate: bool = False) ->
     )
 
 
+def per_scenario(make: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of every scenario; columns that one does not have are null in it."""
+    parts = [make(s).withColumn("scenario", F.lit(s)) for s in schemas.FEATURES]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+# Sources and sinks -----------------------------------------------------------------------
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tidemark-sink-{uuid.uuid4().hex}"
+
+
+def _checked(rows: DataFrame, **options) -> tuple[DataFrame, str]:
+    """``rows`` written with a manifest and read back, and the folder."""
+    path = _new_folder(rows.sparkSession)
+    manifest.write_checked(rows, path, **options)
+    return manifest.read_checked(rows.sparkSession, path), path
+
+
+@query
+def csv_round_trip(spark, folder):
+    """The CSV sink, its manifest, and the CSV source with its header check and contract."""
+    rows = tables.conversions(spark, folder)
+    _, path = _checked(rows, form="csv")
+    table, _ = readers.load_conversions(spark, f"{path}/data", keep=("row_id",))
+    return table.withColumn("row_id", F.col("row_id").cast("long"))
+
+
+@query
+def table_round_trip(spark, folder):
+    """The table sink with partitions, read back after its files have been checked."""
+    return _checked(pit.point_in_time_features(event_inputs(spark, folder)), partition_by=("source",))[0]
+
+
+@query
+def json_round_trip(spark, folder):
+    return _checked(tables.conversions(spark, folder), form="json")[0]
+
+
+@query
+def report_round_trip(spark, folder):
+    """A one-row report as sorted JSON, read back."""
+    report = conversion.conversion_quality(tables.conversions(spark, folder))
+    path = _new_folder(spark)
+    writers.write_json_report(report, path)
+    return spark.read.schema(report.schema).json(path).select(*report.columns)
+
+
+@query
+def report_tables_round_trip(spark, folder):
+    """All tables of a training report written, and the one of its splits read back."""
+    report = _report("training", spark.sparkContext.applicationId, folder)
+    path = _new_folder(spark)
+    writers.write_report_tables(report, path)
+    return rounded(spark.read.parquet(f"{path}/splits"))
+
+
 # Point-in-time features ------------------------------------------------------------------
 
 
@@ -261,8 +322,10 @@ def scoring_contract_violations(spark, folder):
             "source": F.when(row == 9, F.lit(None)).otherwise(F.col("source")),
         }
     )
-    return scoring.scoring_violations(faults, "in_session").select(
-        "position", "rule", "violations"
+    return per_scenario(
+        lambda scenario: scoring.scoring_violations(faults, scenario).select(
+            "position", "rule", "violations"
+        )
     )
 
 
@@ -278,7 +341,9 @@ def scoring_features(spark, folder):
             "age": F.when(row == 1, F.lit(None)).otherwise(F.col("age")),
         }
     )
-    return scoring.prepare_features(request, "in_session", keep=("row_id",))
+    return per_scenario(
+        lambda scenario: scoring.prepare_features(request, scenario, keep=("row_id",))
+    )
 
 
 @query
@@ -528,14 +593,13 @@ def bootstrap_interval(spark, folder):
 
 @query
 def corrupted_inputs(spark, folder):
-    return stress.corrupted_inputs(
-        tables.conversions(spark, folder).drop("converted"), "in_session", seed=42
-    )
+    rows = tables.conversions(spark, folder).drop("converted")
+    return per_scenario(lambda scenario: stress.corrupted_inputs(rows, scenario, seed=42))
 
 
 @query
 def permuted_labels(spark, folder):
-    return stress.permuted_labels(tables.conversions(spark, folder), seed=42, blocks=16).select(
+    return stress.permuted_labels(tables.conversions(spark, folder), seed=42).select(
         "row_id", "permuted_label"
     )
 
@@ -592,17 +656,75 @@ def one_hot_encoded(spark, folder):
     )
 
 
+def _fitted(split, scenario):
+    """A logistic model over the training rows of ``split``."""
+    features = schemas.features_of(scenario)
+    return model.build_model_pipeline(features).fit(split.where("split = 'train'"))
+
+
 @query
 def model_scores(spark, folder):
     split = durable(splits.stratified_split(tables.conversions(spark, folder), 42))
-    fitted = model.build_model_pipeline(IN_SESSION).fit(split.where("split = 'train'"))
+    test = split.where("split = 'test'")
     return rounded(
-        model.score_rows(
-            fitted, split.where("split = 'test'"), keep=["row_id", "converted"]
+        per_scenario(
+            lambda scenario: model.score_rows(
+                _fitted(split, scenario), test, keep=["row_id", "converted"]
+            )
         ), 6,
     )
 
 
+@query
+def model_optimality(spark, folder):
+    """Each slot of the fitted weights with the size of its gradient, which is 0 at the optimum."""
+    split = durable(splits.stratified_split(tables.conversions(spark, folder), 42))
+    train = split.where("split = 'train'")
+    found = per_scenario(lambda s: model.loss_gradient(_fitted(split, s), train))
+    return found.select(
+        "scenario", "feature", "level", F.round(F.abs("gradient"), 4).alias("gradient")
+    )
+
+
+@query
+def reload_parity(spark, folder):
+    """Scores of fitted models before they are saved and after, as multisets."""
+    split = durable(splits.stratified_split(tables.conversions(spark, folder), 42))
+    test = split.where("split = 'test'")
+
+    def delta(scenario):
+        fitted = _fitted(split, scenario)
+        before, after = (
+            model.score_rows(m, test, keep=["row_id"]) for m in (fitted, model.saved(spark, fitted))
+        )
+        return multiset_delta(before, after, ["row_id", "score"])
+
+    return per_scenario(delta)
+
+
+@query
+def capacity_handoff(spark, folder):
+    """Selections from a fitted model and its saved form, with outcomes poisoned in the latter."""
+    split = durable(splits.stratified_split(tables.conversions(spark, folder), 42))
+    test = split.where("split = 'test'")
+    poisoned = test.withColumns(
+        {"converted": 1 - F.col("converted"), "outcome": F.col("row_id"), "features": F.lit("x")}
+    )
+
+    def chosen(fitted, rows):
+        scored = model.score_rows(fitted, rows, keep=["row_id"])
+        keyed = scored.withColumn("key", F.concat(F.lit("r"), F.col("row_id").cast("string")))
+        return capacity.select_top_k(keyed, capacity=200).where("selected").select("key", "score")
+
+    def delta(scenario):
+        fitted = _fitted(split, scenario)
+        return multiset_delta(
+            chosen(fitted, test), chosen(model.saved(spark, fitted), poisoned), ["key", "score"]
+        )
+
+    return per_scenario(delta)
+
+
 # Reports: one query per table of a full run -----------------------------------------------
 
 
@@ -638,9 +760,11 @@ for _kind, _names in (
 @query
 def corruption_metrics(spark, folder):
     split = durable(splits.stratified_split(tables.conversions(spark, folder), 42))
-    fitted = model.build_model_pipeline(IN_SESSION).fit(split.where("split = 'train'"))
+    test = split.where("split = 'test'")
     return rounded(
-        audit.corruption_metrics(
-            fitted, split.where("split = 'test'"), "in_session", seed=42
+        per_scenario(
+            lambda scenario: audit.corruption_metrics(
+                _fitted(split, scenario), test, scenario, seed=42
+            )
         ), 6,
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import shutil
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.errors import ContractError
 from tidemark.operators import bootstrap
+from tidemark.operators.combine import multiset_delta
 from tidemark.operators.bootstrap import bootstrap_interval, brier_sum
 from tidemark.operators.scores import threshold_sweep
 from tidemark.operators.capacity import select_top_k
@@ -19,9 +21,11 @@ from tidemark.operators.model import (
     FeatureContract,
     build_model_pipeline,
     champion,
+    loss_gradient,
     preprocess_parameters,
     score_rows,
 )
+from tidemark.operators.selection import ranked_values, value_counts
 from tidemark.operators.splits import (
     grouped_split,
     profile_diagnostics,
@@ -35,6 +39,7 @@ from tidemark.plans.audit import run_realism_audit
 from tidemark.plans.decision import run_decision_optimization
 from tidemark.plans.training import run_training
 from tidemark.schemas import FEATURES
+from tidemark.sources.manifest import read_checked, write_checked
 from tidemark.sources.readers import load_conversions, read_csv
 from tidemark.sources.writers import write_csv, write_json_report, write_report_tables
 
@@ -129,6 +134,34 @@ def test_preprocess_parameters(spark):
     assert age["deviation"] == pytest.approx((sum((v - mean) ** 2 for v in filled) / 5) ** 0.5)
 
 
+@pytest.mark.parametrize("limit", [3, 40, 10_000])
+def test_ranked_values_against_sorting(spark, limit):
+    """Ranks of two features at once; most values of one crowd in a gap of its quantiles."""
+    rng = random.Random(9)
+    crowded = [1.0 + rng.randrange(900) * 2.0**-50 for _ in range(3000)] + [-1e300, 0.0, 1e300]
+    other = [float(rng.randrange(50)) for _ in crowded]
+    frame = spark.createDataFrame(
+        [(a, b if i % 7 else None) for i, (a, b) in enumerate(zip(crowded, other))], "a double, b double"
+    ).repartition(5)
+    ordered = {0: sorted(crowded), 1: sorted(b for i, b in enumerate(other) if i % 7)}
+    targets = [(p, k) for p in (0, 1) for k in (1, 2, 777, 1500, len(ordered[p]))]
+    counts = value_counts(frame, ["a", "b"], [])
+    got = ranked_values(counts, targets, values_per_task=limit)
+    assert got == [ordered[p][k - 1] for p, k in targets]
+    with pytest.raises(ContractError, match="count=1"):
+        ranked_values(counts, [(0, 1), (1, 3003)], values_per_task=limit)
+    assert ranked_values(counts, []) == []
+
+
+def test_parameters_of_odd_tables(spark):
+    features = ["country", "age"]
+    empty = spark.createDataFrame([], "country string, age double")
+    assert [r["rows"] for r in preprocess_parameters(empty, features).collect()] == [0, 0]
+    nulls = spark.createDataFrame([(None, None)] * 3, "country string, age double")
+    got = preprocess_parameters(nulls, features).orderBy("position").collect()
+    assert [(r["rows"], r["mode"], r["median"]) for r in got] == [(3, None, None)] * 2
+
+
 def test_pipeline_contract_reload_and_extra_columns(spark, conversions, tmp_path):
     features = FEATURES["in_session"]
     fitted = build_model_pipeline(features).fit(conversions)
@@ -170,6 +203,25 @@ def test_logistic_fit_is_at_the_optimum(conversions):
     assert max(abs(g) for g in [bias, *gradient]) < 0.5
 
 
+def test_gradient_per_slot(spark, conversions):
+    """The aggregate against sums over dense vectors, at weights that are not the optimum."""
+    fitted = build_model_pipeline(FEATURES["in_session"]).fit(conversions)
+    moved = conversions.withColumn("converted", (F.col("row_id") % 2).cast("int"))
+    got = {(r[0], r[1]): r[2] for r in loss_gradient(fitted, moved).collect()}
+    data = fitted.transform(moved).select("tm_features", "tm_probability", "converted").collect()
+    want = np.array(fitted.stages[-1].coefficients)
+    for r in data:
+        want = want + (r["tm_probability"][1] - r["converted"]) * r["tm_features"].toArray()
+    slots = [("country", c) for c in ("DE", "UK", "US")] + [("source", c) for c in ("Ads", "Seo")]
+    slots += [(n, None) for n in ("age", "new_user", "total_pages_visited")]
+    assert [got.pop(s) for s in slots] == pytest.approx((want / len(data)).tolist(), abs=1e-9)
+    bias = sum(r["tm_probability"][1] - r["converted"] for r in data) / len(data)
+    assert got == {("intercept", None): pytest.approx(bias, abs=1e-9)}
+    assert max(abs(r[2]) for r in loss_gradient(fitted, conversions).collect()) < 5e-5
+    with pytest.raises(ContractError):
+        loss_gradient(build_model_pipeline(["age"], FOREST, trees=2).fit(conversions), conversions)
+
+
 def test_bad_pipelines(conversions):
     for features, name in (((), "logistic_regression"), (("age", "age"), "logistic_regression"),
                            (("shoe",), "logistic_regression"), (("age",), "oracle")):
@@ -378,6 +430,52 @@ def test_csv_round_trip_and_header_checks(spark, conversions, tmp_path):
     assert [tuple(r) for r in read_csv(spark, str(missing)).collect()] == [(None, "1"), (" ", None)]
 
 
+@pytest.mark.parametrize("form", ["parquet", "csv", "json"])
+def test_manifest_finds_torn_and_changed_tables(spark, tmp_path, form):
+    table = spark.createDataFrame(
+        [(i, None if i % 5 == 0 else "" if i % 5 == 1 else f'a "{i}",\nb', i / 3) for i in range(50)] * 2,
+        "row_id long, note string, x double",
+    ).repartition(4)
+    path = str(tmp_path / "table")
+    write_checked(table, path, form=form)
+    back = read_checked(spark, path)
+    assert back.schema == table.schema and multiset_delta(table, back, table.columns).first() == (0, 0)
+    files = sorted((tmp_path / "table" / "data").glob("part-*"))
+    # A file twice, a file gone, a file in place of another.
+    extra = files[0].with_name("part-99999-copy" + "".join(files[0].suffixes))
+    shutil.copy(files[0], extra)
+    with pytest.raises(ContractError, match="count=1"):
+        read_checked(spark, path)
+    extra.unlink()
+    kept = files[1].read_bytes()
+    files[1].unlink()
+    with pytest.raises(ContractError, match="count=1"):
+        read_checked(spark, path)
+    files[1].write_bytes(files[0].read_bytes())
+    for crc in files[1].parent.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(ContractError, match="count=1"):
+        read_checked(spark, path)
+    files[1].write_bytes(kept)
+    assert read_checked(spark, path).count() == 100
+    with pytest.raises(ContractError, match="no manifest"):
+        read_checked(spark, str(tmp_path / "none"))
+
+
+def test_manifest_of_odd_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], "a int, b string")
+    for form in ("parquet", "csv", "json"):
+        path = str(tmp_path / f"empty-{form}")
+        write_checked(empty, path, form=form)
+        assert read_checked(spark, path).collect() == []
+    parts = spark.createDataFrame([(1, "x"), (2, None), (2, "y")], "a int, b string")
+    write_checked(parts, str(tmp_path / "parts"), partition_by=("b",))
+    assert rows(read_checked(spark, str(tmp_path / "parts"))) == rows(parts)
+    # An empty text cannot be the name of a partition, and the sink says so.
+    with pytest.raises(ContractError, match="do not hold the table"):
+        write_checked(parts.fillna(""), str(tmp_path / "lost"), partition_by=("b",))
+
+
 def test_json_report_has_sorted_keys(spark, tmp_path):
     path = tmp_path / "report"
     write_json_report(spark.sql("select 2 as b, cast(null as int) as c, true as a"), str(path))

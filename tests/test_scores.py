@@ -43,23 +43,6 @@ def sample(spark):
     return frame, data
 
 
-def test_threshold_fixtures(spark):
-    got = select_threshold(
-        scored(spark, [0, 0, 1, 1], [0.11, 0.22, 0.33, 0.44]), false_negative_cost=1.0
-    ).first()
-    assert (got["threshold"], got["selected_rows"], got["selection_rate"]) == (0.33, 2, 0.5)
-    got = select_threshold(
-        scored(spark, [1, 1, 0, 0], [0.9, 0.8, 0.8, 0.1]), max_selection_fraction=0.5
-    ).first()
-    assert got["threshold"] == 0.9 and got["selected_rows"] == 1
-    assert got["max_selected_rows"] == 2 and got["policy_unused_capacity_rows"] == 1
-    assert got["capacity_binding"] and got["next_infeasible_tie_rows"] == 2
-    got = select_threshold(
-        scored(spark, [1, 1, 1], [0.9, 0.9, 0.9]), max_selection_fraction=0.5
-    ).first()
-    assert got["threshold"] == math.nextafter(0.9, math.inf) and got["selected_rows"] == 0
-
-
 def test_dearer_misses_never_raise_the_threshold(spark):
     frame = scored(spark, [0, 0, 0, 0, 1, 1], [0.05, 0.10, 0.25, 0.40, 0.35, 0.80])
     low, high = (
@@ -98,6 +81,23 @@ def test_policies_against_brute_force(sample):
     assert got == {i: brute_choice(data, p) for i, p in enumerate(policies)}
 
 
+def test_a_tie_that_does_not_fit_under_the_ceiling(spark):
+    """Nine rows, at most a third of them: two of 0.7 fit, the three of 0.6 do not."""
+    data = list(zip(range(9), [1, 0, 1, 1, 0, 0, 1, 0, 0], [0.7, 0.7, 0.6, 0.6, 0.6, 0.2, 0.2, 0.1, 0.0]))
+    frame = spark.createDataFrame(data, "row_id long, label int, score double")
+    policy = Policy(1.0, 6.0, 1 / 3)
+    got = select_threshold(
+        frame, false_negative_cost=6.0, max_selection_fraction=policy.max_selection_fraction
+    ).first()
+    assert (got["threshold"], got["selected_rows"]) == brute_choice(data, policy) == (0.7, 2)
+    assert (got["max_selected_rows"], got["policy_unused_capacity_rows"]) == (3, 1)
+    assert got["next_infeasible_tie_rows"] == 3 and got["capacity_binding"]
+    # All rows are tied and half of them may be taken: none is.
+    level = frame.withColumn("score", F.lit(0.4))
+    got = select_threshold(level, max_selection_fraction=0.5).first()
+    assert (got["threshold"], got["selected_rows"]) == (math.nextafter(0.4, 1.0), 0)
+
+
 @pytest.mark.parametrize("kwargs", [
     {"false_positive_cost": -1.0}, {"false_negative_cost": float("nan")},
     {"false_positive_cost": 0.0, "false_negative_cost": 0.0}, {"max_selection_fraction": 0.0},

@@ -6,23 +6,31 @@ stages; there is no Python per row.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression,
+    LogisticRegressionModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.durable import shared_folder, written
 from tidemark.errors import ContractError
 from tidemark.operators.conversion import require_sound_features
 from tidemark.operators.scoring import guarded_features
+from tidemark.operators.selection import ranked_values, value_counts
 
 LOGISTIC, FOREST = "logistic_regression", "random_forest"
 MODEL_NAMES = (LOGISTIC, FOREST)
@@ -59,47 +67,63 @@ class FeatureContract(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         return guarded_features(dataset, features, keep)
 
 
+_PARAMETERS = (
+    "position int, feature string, rows long, mode string, levels array<string>, median double,"
+    " mean double, deviation double"
+)
+
+
 def preprocess_parameters(frame: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per feature: mode and levels of a category, or median, mean and deviation.
 
     The mode's ties go to the smallest value; the median is exact; mean and population deviation
-    are those after imputation. All come from one aggregate over ``frame``, whose state is a
-    count per distinct value of a feature.
+    are those after imputation. All come from one table of value counts, which ``frame`` is read
+    once for; the medians of all features are searched for together. One row per feature reaches
+    the driver, with its levels, which become the slots of the model.
     """
-    rows = F.count(F.lit(1))
-    lines = []
-    for i, name in enumerate(features):
-        value = F.col(name)
-        if name in schemas.CATEGORICAL:
-            number = [F.lit(None).cast("double")] * 3
-            mode, levels = F.mode(value, True), F.sort_array(F.collect_set(value))
-        else:
-            number = [F.median(value), F.avg(value), F.var_pop(value)]
-            mode, levels = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
-        lines.append(
-            F.struct(
-                F.lit(i).alias("position"), F.lit(name).alias("feature"),
-                rows.alias("rows"), F.count(value).alias("present"), mode.alias("mode"),
-                levels.alias("levels"), number[0].alias("median"), number[1].alias("mean"), number[2].alias("variance"),
-            ).alias(f"_{i}")
-        )
-    share = F.expr("(rows - present) / nullif(rows, 0)")
-    gap = F.col("median") - F.col("mean")
-    return (
-        frame.agg(*lines)
-        .select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(lines))])))
-        .select(
-            "position", "feature", "rows", "mode", "levels", "median",
-            (F.col("mean") + share * gap).alias("mean"),
-            F.sqrt((1 - share) * F.col("variance") + share * (1 - share) * gap * gap).alias(
-                "deviation"
-            ),
+    counts = written(value_counts(frame, features, schemas.CATEGORICAL))
+    category, number, rows = F.col("category"), F.col("number"), F.col("rows")
+    has = category.isNotNull() | number.isNotNull()
+    least = F.min(F.when(category.isNotNull(), F.struct(-rows, category.alias("mode"))))
+    sums = counts.groupBy("position").agg(
+        F.sum(rows).alias("rows"), F.sum(F.when(has, rows).otherwise(0)).alias("present"),
+        least["mode"].alias("mode"), F.sort_array(F.collect_list(category)).alias("levels"),
+        F.sum(rows * number).alias("total"),
+    )
+    found = {r["position"]: r for r in sums.collect()}
+    means = {p: r["total"] / r["present"] for p, r in found.items() if r["total"] is not None}
+    squares, medians = {}, {}
+    if means:
+        at = F.create_map(*[F.lit(x) for pair in means.items() for x in pair])[F.col("position")]
+        spread = counts.where(number.isNotNull()).groupBy("position").agg(
+            F.sum(rows * (number - at) * (number - at)).alias("squares")
         )
+        squares = {r["position"]: r["squares"] for r in spread.collect()}
+        # The two middle rows, which are one where the rows are odd in number.
+        middle = [(p, k) for p in means for k in ((found[p]["present"] + 1) // 2, found[p]["present"] // 2 + 1)]
+        values = ranked_values(counts, middle)
+        medians = {p: (values[2 * i] + values[2 * i + 1]) / 2 for i, p in enumerate(means)}
+
+    def line(position: int, name: str) -> tuple:
+        r = found.get(position)
+        if r is None:
+            return position, name, 0, None, None, None, None, None
+        if name in schemas.CATEGORICAL:
+            return position, name, r["rows"], r["mode"], r["levels"], None, None, None
+        if position not in means:
+            return position, name, r["rows"], None, None, None, None, None
+        share, gap = (r["rows"] - r["present"]) / r["rows"], medians[position] - means[position]
+        inside = squares[position] / r["present"]
+        deviation = math.sqrt((1 - share) * inside + share * (1 - share) * gap * gap)
+        return position, name, r["rows"], None, None, medians[position], means[position] + share * gap, deviation
+
+    return frame.sparkSession.createDataFrame(
+        [line(i, name) for i, name in enumerate(features)], _PARAMETERS
     )
 
 
 def _fit_preprocess(rows: DataFrame, features: Sequence[str]) -> tuple[PreprocessModel, list, int]:
-    """The fitted values, the indexers built from the same aggregate, and the number of rows."""
+    """The fitted values, the indexers built from the same counts, and the number of rows."""
     fitted = preprocess_parameters(rows, features).collect()
     if not fitted[0]["rows"]:
         raise ContractError("the model needs training rows")
@@ -250,6 +274,13 @@ def score_rows(
     return scored.select(*keep, vector_to_array("tm_probability")[1].alias("score"))
 
 
+def saved(spark: SparkSession, model: PipelineModel) -> PipelineModel:
+    """The model as read back from a copy in the shared folder."""
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark-model-{uuid.uuid4().hex}"
+    model.save(path)
+    return PipelineModel.load(path)
+
+
 def champion(costs: DataFrame) -> DataFrame:
     """The model with the least validation cost, ties to the first name; per scenario.
 
@@ -260,3 +291,49 @@ def champion(costs: DataFrame) -> DataFrame:
             "champion_by_validation_cost"
         )
     )
+
+
+def loss_gradient(model: PipelineModel, train: DataFrame, *, label: str = "converted") -> DataFrame:
+    """``feature, level, gradient``: how far a fitted logistic model is from the optimum.
+
+    The gradient is that of the mean penalised loss over the training rows, by the weight of each
+    slot: a level of a category, a number (``level`` null) or the intercept. At the optimum it is
+    0. Each row adds to the slots that it has, so a row counts once per feature whatever the
+    number of levels; the penalty is added to the sums, of which there is one per slot.
+    """
+    contract, prepared, last = model.stages[0], model.stages[1], model.stages[-1]
+    if not isinstance(last, LogisticRegressionModel):
+        raise ContractError("only a logistic model has a gradient")
+    features = contract.getOrDefault(contract.featureNames)
+    names = [f for f in features if f in schemas.CATEGORICAL]
+    numbers = [f for f in features if f not in schemas.CATEGORICAL]
+    levels = {s.getInputCol(): s.labels for s in model.stages if isinstance(s, StringIndexerModel)}
+    slots = [(n, level) for n in names for level in levels[f"tm_{n}"]] + [(n, None) for n in numbers]
+    weights = [*zip(slots, last.coefficients.toArray().tolist(), strict=True), (("intercept", None), 0.0)]
+    penalty = train.sparkSession.createDataFrame(
+        [(*slot, weight) for slot, weight in weights], "feature string, level string, weight double"
+    )
+
+    def cell(name: str, level: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("feature"), level.alias("level"), value.alias("x"))
+
+    nothing = F.lit(None).cast("string")
+    cells = [
+        *[cell(n, F.col(f"tm_{n}"), F.lit(1.0)) for n in names],
+        *[cell(n, nothing, F.col(f"tm_{n}")) for n in numbers],
+        cell("intercept", nothing, F.lit(1.0)),
+    ]
+    miss = vector_to_array("tm_probability")[1] - F.col(label).cast("double")
+    rows = model.transform(train).select(miss.alias("miss"), F.inline(F.array(*cells)))
+    sums = rows.groupBy("feature", "level").agg(
+        F.sum(F.col("miss") * F.col("x")).alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    size = F.max(F.when(F.col("feature") == "intercept", F.col("n"))).over(Window.partitionBy())
+    # One row per slot from here on.
+    return sums.withColumn("n", size).join(
+        penalty.withColumnsRenamed({"feature": "f", "level": "l"}),
+        (F.col("feature") == F.col("f")) & F.col("level").eqNullSafe(F.col("l")),
+    ).select(
+        "feature", "level",
+        ((F.col("s") + F.col("weight") / F.lit(INVERSE_REGULARIZATION)) / F.col("n")).alias("gradient"),
+    )

@@ -18,6 +18,7 @@ from tidemark.operators.checks import (
     require_exact_columns,
     violation_rows,
 )
+from tidemark.operators.combine import multiset_delta
 
 TABLE = "features"
 INTEGERS = tuple(
@@ -137,20 +138,7 @@ def canonical_features(frame: DataFrame, *, validate: bool = True) -> DataFrame:
 def feature_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: how many feature rows only one of the two tables has."""
     tables = [canonical_features(t, validate=False) for t in (left, right)]
-    signed = tables[0].withColumn("_side", F.lit(1)).unionAll(
-        tables[1].withColumn("_side", F.lit(-1))
-    )
-    # Equal rows cancel. This is a multiset comparison from a single shuffle.
-    return (
-        signed.groupBy(*schemas.FEATURE_COLUMNS)
-        .agg(F.sum("_side").alias("d"))
-        .agg(
-            F.coalesce(F.sum(F.greatest("d", F.lit(0))), F.lit(0)).cast("bigint")
-            .alias("only_left"),
-            F.coalesce(F.sum(F.greatest(-F.col("d"), F.lit(0))), F.lit(0)).cast("bigint")
-            .alias("only_right"),
-        )
-    )
+    return multiset_delta(*tables, schemas.FEATURE_COLUMNS)
 
 
 def require_same_features(left: DataFrame, right: DataFrame) -> None:
