@@ -497,3 +497,23 @@ def test_a_profile_alone_in_its_stratum_reaches_every_split(spark):
     assert len(found) == 50 and all(r["low"] == r["high"] and r["n"] == 90 for r in found)
     names = [r["low"] for r in found]
     assert 3 <= names.count("test") <= 19 and 3 <= names.count("validation") <= 19
+
+
+@pytest.mark.parametrize("spread", [10_000, 3])
+def test_known_metrics_are_those_of_the_sweep(spark, monkeypatch, spread):
+    """The sums by bucket give what aggregates over the sweep of all replicates give."""
+    monkeypatch.setattr(bootstrap, "LEAST_BUCKETS", 9)  # tied blocks reach over several buckets
+    frame = spark.range(90).selectExpr(
+        "cast(id % 3 = 0 as int) as label", f"pmod(xxhash64(id), {spread}) / {spread}D as score"
+    )
+    cells = threshold_sweep(frame)
+    known = bootstrap.known_sums(cells, 90, samples=20, seed=3).orderBy("replicate")
+    sums = bootstrap.resampled_cells(cells, 90, samples=20, seed=3)
+    swept = bootstrap.replicate_sweep(sums, 20).groupBy("replicate").agg(
+        F.max("all_pos"), F.max("all_n"), *[m().alias(name) for name, m in bootstrap.METRICS.items()]
+    ).orderBy("replicate")
+    made = known.select(
+        "replicate", "all_pos", "all_n", *[F.expr(bootstrap._FROM_SUMS[m]) for m in bootstrap.METRICS]
+    )
+    for got, want in zip(made.collect(), swept.collect(), strict=True):
+        assert tuple(got) == pytest.approx(tuple(want))

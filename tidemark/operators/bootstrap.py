@@ -2,8 +2,9 @@
 
 Each replicate draws as many rows with replacement as the table has. Counts are drafted as Poisson
 draws at a rate a little below one, from the position of a row, and the rows still missing are
-drawn one by one; together they are a multinomial draw. One sweep gives the metric of all
-replicates.
+drawn one by one; together they are a multinomial draw. The known metrics are sums over buckets of
+positions, all replicates of a bucket in one task; an aggregate of one's own gets the sweep of all
+replicates as rows.
 """
 
 from __future__ import annotations
@@ -14,11 +15,21 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.durable import written
 from tidemark.errors import ContractError
-from tidemark.functions.draws import DRAWS_PER_DIGEST, digest_draw, draw_digest, poisson_count, uniform
+from tidemark.functions.draws import (
+    DRAWS_PER_DIGEST,
+    digest_draw,
+    draw_digest,
+    poisson_count,
+    poisson_cuts,
+    uniform,
+)
+from tidemark.operators import replicates
 from tidemark.operators.combine import side_by_side
 from tidemark.operators.metrics import BRIER, average_precision_sum, roc_auc_sum
 from tidemark.operators.scores import ScoreProfile, profile_scores, threshold_sweep
+from tidemark.llm.shipping import ship
 
 
 def brier_sum() -> Column:
@@ -71,7 +82,13 @@ def missing_draws(spark: SparkSession, rows: int, *, samples: int, seed: int) ->
     )
     each = sums.select(
         "block", F.posexplode(F.array(*[f"w{i}" for i in range(DRAWS_PER_DIGEST)])).alias("i", "w")
-    ).select((F.col("block") * DRAWS_PER_DIGEST + F.col("i")).alias("replicate"), (F.lit(rows) - F.col("w")).alias("short"))
+    ).select((F.col("block") * DRAWS_PER_DIGEST + F.col("i")).alias("replicate"), "w")
+    return _single_draws(each, rows, samples=samples, seed=seed)
+
+
+def _single_draws(drafted: DataFrame, rows: int, *, samples: int, seed: int) -> DataFrame:
+    """(replicate, position) of as many draws as the sums ``replicate, w`` are short of ``rows``."""
+    each = drafted.select("replicate", (F.lit(rows) - F.col("w")).alias("short"))
     over = F.raise_error(F.lit("a draft exceeds the table; use another seed")).cast("bigint")
     short = F.when(F.col("short") < 0, over).otherwise(F.col("short"))
     drawn = each.where(F.col("replicate") < samples).select(
@@ -81,6 +98,23 @@ def missing_draws(spark: SparkSession, rows: int, *, samples: int, seed: int) ->
     return drawn.select("replicate", F.floor(share * F.lit(float(rows))).cast("bigint").alias("position"))
 
 
+def _bucket_size(rows: int) -> int:
+    return min(SIZE, math.ceil(rows / LEAST_BUCKETS))
+
+
+def _parts(cells: DataFrame, size: int) -> DataFrame:
+    """(bucket, at, until, score, ones, continues, ends): a line per cell and bucket it lies in."""
+    edge = F.col("bucket") * size
+    start = F.col("cum_n") - F.col("n")
+    return cells.select(
+        "score", start.alias("start"), (start + F.col("pos")).alias("ones"), F.col("cum_n").alias("end"),
+        F.explode(F.sequence(F.expr(f"(cum_n - n) div {size}"), F.expr(f"(cum_n - 1) div {size}"))).alias("bucket"),
+    ).select(
+        "bucket", F.greatest("start", edge).alias("at"), F.least("end", edge + size).alias("until"),
+        "score", "ones", (F.col("start") < edge).alias("continues"), (F.col("end") <= edge + size).alias("ends"),
+    )
+
+
 def resampled_cells(cells: DataFrame, rows: int, *, samples: int, seed: int) -> DataFrame:
     """(bucket, score, continues, ends, block, n0.., pos0..): weights of blocks of replicates.
 
@@ -89,20 +123,12 @@ def resampled_cells(cells: DataFrame, rows: int, *, samples: int, seed: int) ->
     shuffle before they multiply; a cell that lies in several has a part in each, which
     ``continues`` one in an earlier bucket or ``ends`` the cell.
     """
-    size = min(SIZE, math.ceil(rows / LEAST_BUCKETS))
+    size = _bucket_size(rows)
     blocks = math.ceil(samples / DRAWS_PER_DIGEST)
-    edge = F.col("bucket") * size
-    start = F.col("cum_n") - F.col("n")
     nothing = F.lit(None).cast("bigint")
-    parts = cells.select(
-        "score", start.alias("start"), (start + F.col("pos")).alias("ones"), F.col("cum_n").alias("end"),
-        F.explode(F.sequence(F.expr(f"(cum_n - n) div {size}"), F.expr(f"(cum_n - 1) div {size}"))).alias("bucket"),
-    ).select(
-        "bucket", F.greatest("start", edge).alias("at"), F.least("end", edge + size).alias("until"),
-        nothing.alias("replicate"),
-        F.struct(
-            "score", "ones", (F.col("start") < edge).alias("continues"), (F.col("end") <= edge + size).alias("ends")
-        ).alias("cell"),
+    parts = _parts(cells, size).select(
+        "bucket", "at", "until", nothing.alias("replicate"),
+        F.struct("score", "ones", "continues", "ends").alias("cell"),
     )
     drawn = missing_draws(cells.sparkSession, rows, samples=samples, seed=seed).select(
         F.expr(f"position div {size}").alias("bucket"), F.col("position").alias("at"),
@@ -165,11 +191,16 @@ def _offsets(sums: DataFrame, samples: int) -> DataFrame:
     totals = sums.groupBy("bucket", "block", edge.alias("edge"), "continues").agg(
         *[F.sum(m).alias(m) for m in measures]
     )
+    return _offsets_of(_per_replicate(totals, samples), samples)
+
+
+def _offsets_of(totals: DataFrame, samples: int) -> DataFrame:
+    """``_offsets`` of the sums (bucket, edge, continues, replicate, n, pos)."""
     before = [Window.unboundedPreceding, -1]
     cell = Window.partitionBy("replicate", "edge").orderBy("bucket").rowsBetween(*before)
     whole = Window.partitionBy("replicate")
     above = whole.orderBy("bucket").rowsBetween(*before)
-    each = _per_replicate(totals, samples).select(
+    each = totals.select(
         "bucket", "replicate", "n", "pos",
         *[F.when(F.col("continues"), F.sum(m).over(cell)).alias(f"carry_{m}") for m in ("n", "pos")],
     ).groupBy("bucket", "replicate").agg(
@@ -210,6 +241,65 @@ def replicate_sweep(sums: DataFrame, samples: int) -> DataFrame:
     ).where("n > 0")
 
 
+def known_sums(cells: DataFrame, rows: int, *, samples: int, seed: int) -> DataFrame:
+    """(replicate, all_pos, all_n, and the sum of each known metric) over the buckets.
+
+    The draws are those of ``resampled_cells``. A task holds the positions of a bucket and counts
+    them for a block of replicates at a time. Each draft is hashed twice: once for how many rows a
+    replicate is short of, once for the sums with these.
+    """
+    spark = cells.sparkSession
+    ship(spark)
+    size, blocks = _bucket_size(rows), math.ceil(samples / DRAWS_PER_DIGEST)
+    buckets = math.ceil(rows / size)
+    cuts = [int(c, 16) for c in poisson_cuts(draft_rate(rows))]
+    draw = replicates.Draw(rows, size, samples, seed, DRAWS_PER_DIGEST, cuts)
+
+    parts = written(_parts(cells, size))
+    first = parts.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(
+        lambda key, own: replicates.drafted(draw, own), replicates.TOTALS
+    )
+    # As many lines per bucket as replicates, or twice or thrice that where a cell goes on.
+    drafted = written(first)
+    drawn = written(
+        _single_draws(
+            drafted.groupBy("replicate").agg(F.sum("n").alias("w")), rows, samples=samples, seed=seed
+        ).select(F.expr(f"position div {size}").alias("bucket"), "position", "replicate")
+    )
+    dealt = drawn.repartition(buckets, "bucket").groupBy("bucket")
+    more = parts.repartition(buckets, "bucket").groupBy("bucket").cogroup(dealt).applyInPandas(
+        lambda key, own, single: replicates.single_totals(own, single), replicates.TOTALS
+    )
+    totals = drafted.unionByName(more).groupBy("bucket", "edge", "continues", "replicate").agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("pos")
+    )
+    offsets = _offsets_of(totals, samples).select(F.col("_of").alias("bucket"), F.posexplode("_sums").alias("replicate", "s"))
+    # One table for a bucket: its parts, its single draws, and a line for each replicate.
+    lines = [
+        parts.withColumn("kind", F.lit(replicates.PART)),
+        drawn.withColumn("kind", F.lit(replicates.SINGLE)),
+        offsets.select("bucket", "replicate", "s.*").withColumn("kind", F.lit(replicates.OFFSET)),
+    ]
+    whole = lines[0]
+    for more_lines in lines[1:]:
+        whole = whole.unionByName(more_lines, allowMissingColumns=True)
+    sums = whole.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(
+        lambda key, own: replicates.metric_sums(draw, own), replicates.SUMS
+    )
+    return sums.groupBy("replicate").agg(
+        F.max("all_pos").alias("all_pos"), F.max("all_n").alias("all_n"),
+        *[F.sum(m).alias(m) for m in METRICS],
+    )
+
+
+#: A known metric from its sum over the sweep of a replicate.
+_FROM_SUMS = {
+    "average_precision": "coalesce(average_precision / nullif(cast(all_pos as double), 0D), 0D)",
+    "roc_auc": "roc_auc / nullif(cast(all_pos as double) * cast(all_n - all_pos as double), 0D)",
+    "brier_score": "brier_score / all_n",
+}
+
+
 def bootstrap_interval(
     frame: DataFrame,
     metrics: Sequence[str] | Mapping[str, Callable[[], Column]] = ("average_precision",),
@@ -233,15 +323,15 @@ def bootstrap_interval(
     named = [known[m]().alias(m) for m in metrics]
     cells = threshold_sweep(frame, profile=profile)
     estimate = cells.agg(*named)
-    sums = resampled_cells(cells, profile.rows, samples=samples, seed=seed)
-    replicates = (
-        replicate_sweep(sums, samples)
-        .where("all_pos > 0 and all_pos < all_n")
-        .groupBy("replicate")
-        .agg(*named)
-    )
+    both = "all_pos > 0 and all_pos < all_n"
+    if isinstance(metrics, Mapping):
+        sums = resampled_cells(cells, profile.rows, samples=samples, seed=seed)
+        judged = replicate_sweep(sums, samples).where(both).groupBy("replicate").agg(*named)
+    else:
+        sums = known_sums(cells, profile.rows, samples=samples, seed=seed)
+        judged = sums.where(both).select("replicate", *[F.expr(_FROM_SUMS[m]).alias(m) for m in metrics])
     # One row per replicate from here on.
-    summary = replicates.agg(
+    summary = judged.agg(
         F.count(F.lit(1)).alias("resamples"),
         *[F.percentile(m, F.array(F.lit(0.025), F.lit(0.975))).alias(f"{m}_range")
           for m in metrics],
