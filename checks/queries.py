@@ -739,8 +739,32 @@ def _report(kind: str, application: str, folder: str):
     return runs[kind](tables.conversions(SparkSession.active(), folder))
 
 
+def _checked_quality(rows: DataFrame) -> DataFrame:
+    conversion.clean_conversions(rows, keep=("row_id",))  # raises as the report does
+    return conversion.conversion_quality(rows)
+
+
+def _clean(rows: DataFrame) -> DataFrame:
+    return conversion.clean_conversions(rows, keep=("row_id",))
+
+
+#: Tables of a report that rest on no model: they are made without the rest of the run.
+_PLAIN: dict[tuple[str, str], Callable[[DataFrame], DataFrame]] = {
+    ("training", "splits"): lambda rows: splits.split_summary(training.training_rows(rows)),
+    ("decision", "quality"): _checked_quality,
+    ("decision", "splits"): lambda rows: decision.strategy_summary(decision.decision_rows(rows)),
+    ("audit", "quality"): _checked_quality,
+    ("audit", "profiles"): lambda rows: audit.scenario_diagnostics(_clean(rows)),
+    ("audit", "splits"): lambda rows: audit.strategy_summary(*audit.audit_rows(_clean(rows))),
+}
+
+
 def _report_table(kind: str, name: str) -> Query:
+    plain = _PLAIN.get((kind, name))
+
     def table(spark, folder):
+        if plain is not None:
+            return rounded(plain(tables.conversions(spark, folder)))
         report = _report(kind, spark.sparkContext.applicationId, folder)
         return rounded(getattr(report, name))
 

@@ -57,3 +57,21 @@ def test_query_equals_sql(spark, name):
         return sorted(lines, key=lambda t: tuple((v is None, str(v)) for v in t))
 
     assert table(got.collect(), got.columns) == table(relation.fetchall(), relation.columns)
+
+
+def test_tables_without_models_need_no_run(spark, monkeypatch):
+    """Quality, profiles and splits of a report are made without fitting its models."""
+    import checks.queries as registered
+
+    monkeypatch.setattr(registered, "_report", lambda *_: pytest.fail("the whole report was made"))
+    one = spark.createDataFrame(
+        [(i, "US", 20 + i % 9, i % 2, "Ads", 1 + i % 5, int(i % 4 == 0)) for i in range(60)],
+        "row_id long, country string, age int, new_user int, source string,"
+        " total_pages_visited int, converted int",
+    )
+    monkeypatch.setattr(registered.tables, "conversions", lambda *_: one)
+    found = registered.all_queries()
+    assert found["decision_quality"](spark, "").first()["input_rows"] == 60
+    assert found["audit_quality"](spark, "").first()["output_rows"] == 60
+    assert found["audit_profiles"](spark, "").count() == 2
+    assert found["training_splits"](spark, "").agg({"rows": "sum"}).first()[0] == 60

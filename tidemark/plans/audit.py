@@ -46,6 +46,7 @@ AUDIT_METRICS = (
     "lift_at_budget",
 )
 BASE_SEED = 42
+DEFAULT_SEEDS = (7, 21, 42, 84, 2026)
 PAGES_ONLY = ("total_pages_visited",)
 RUNS = ("experiment", "scenario", "seed")
 # The names of the experiments.
@@ -125,25 +126,55 @@ def baseline_scores(splits: DataFrame, *, seed: int, prevalence: float) -> DataF
     )
 
 
+def _base(seeds: Sequence[int]) -> int:
+    if not seeds:
+        raise ContractError("at least one split seed is required")
+    return BASE_SEED if BASE_SEED in seeds else int(seeds[0])
+
+
+def audit_rows(
+    rows: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Clean ``rows`` with their split by seed, and those of the profile holdout by scenario."""
+    row_splits = written(stratified_split(rows, seeds), partition_by=("seed", "split"))
+    holdouts = {
+        name: written(profile_split(rows, _base(seeds), features=features), partition_by=("split",))
+        for name, features in schemas.FEATURES.items()
+    }
+    return row_splits, holdouts
+
+
+def strategy_summary(row_splits: DataFrame, holdouts: dict[str, DataFrame]) -> DataFrame:
+    """``split_summary`` of each strategy."""
+    return _stack(
+        [split_summary(row_splits).withColumn("strategy", F.lit(ROW_RANDOM))] + [
+            split_summary(held).withColumn("strategy", F.lit(f"{PROFILE_HOLDOUT}:{name}"))
+            for name, held in holdouts.items()
+        ]
+    )
+
+
+def scenario_diagnostics(rows: DataFrame) -> DataFrame:
+    """``profile_diagnostics`` of each scenario."""
+    return _stack([
+        profile_diagnostics(rows, features).withColumn("scenario", F.lit(name))
+        for name, features in schemas.FEATURES.items()
+    ])
+
+
 def run_realism_audit(
     conversions: DataFrame,
     *,
-    seeds: Sequence[int] = (7, 21, 42, 84, 2026),
+    seeds: Sequence[int] = DEFAULT_SEEDS,
     bootstrap_samples: int = 200,
     parallelism: int = 4,
 ) -> AuditReport:
     """The audit tables over a conversion table with ``row_id``."""
-    if not seeds:
-        raise ContractError("at least one split seed is required")
-    base = BASE_SEED if BASE_SEED in seeds else int(seeds[0])
+    base = _base(seeds)
     rows = clean_conversions(conversions, keep=("row_id",))
-    row_splits = written(stratified_split(rows, seeds), partition_by=("seed", "split"))
+    row_splits, holdouts = audit_rows(rows, seeds)
     base_rows = row_splits.where(F.col("seed") == base)
     train = base_rows.where("split = 'train'")
-    holdouts = {
-        name: written(profile_split(rows, base, features=features), partition_by=("split",))
-        for name, features in schemas.FEATURES.items()
-    }
     permuted = permuted_labels(train, seed=base).drop("converted").withColumnRenamed(
         "permuted_label", "converted"
     )
@@ -202,18 +233,10 @@ def run_realism_audit(
                 models[at], base_rows.where("split = 'test'"), name, seed=base
             ).withColumn("scenario", F.lit(name))
         )
-    diagnostics = [
-        profile_diagnostics(rows, features).withColumn("scenario", F.lit(name))
-        for name, features in schemas.FEATURES.items()
-    ]
-    split_rows = [split_summary(row_splits).withColumn("strategy", F.lit(ROW_RANDOM))] + [
-        split_summary(held).withColumn("strategy", F.lit(f"{PROFILE_HOLDOUT}:{name}"))
-        for name, held in holdouts.items()
-    ]
     return AuditReport(
         quality=conversion_quality(conversions),
-        profiles=_stack(diagnostics),
-        splits=_stack(split_rows),
+        profiles=scenario_diagnostics(rows),
+        splits=strategy_summary(row_splits, holdouts),
         metrics=metrics,
         summary=seed_summary(
             metrics.where(F.col("experiment") == ROW_RANDOM), ["experiment", "scenario"]

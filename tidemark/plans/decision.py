@@ -64,6 +64,31 @@ def split_table(rows: DataFrame, seeds: Sequence[int], strategies: Sequence[str]
     return out
 
 
+def decision_rows(
+    conversions: DataFrame, seeds: Sequence[int] = grid.DEFAULT_SEEDS,
+    strategies: Sequence[str] = STRATEGIES,
+) -> DataFrame:
+    """The clean rows with their split by strategy and seed, written in one partition for each."""
+    rows = clean_conversions(conversions, keep=("row_id",))
+    return written(
+        split_table(rows, seeds, strategies), partition_by=("split_strategy", "seed", "split")
+    )
+
+
+def strategy_summary(splits: DataFrame, strategies: Sequence[str] = STRATEGIES) -> DataFrame:
+    """``split_summary`` of each strategy."""
+    shares = [
+        split_summary(splits.where(F.col("split_strategy") == name)).withColumn(
+            "split_strategy", F.lit(name)
+        )
+        for name in strategies
+    ]
+    summary = shares[0]
+    for share in shares[1:]:
+        summary = summary.unionByName(share)
+    return summary
+
+
 def scored_table(
     splits: DataFrame, seeds: Sequence[int], scenarios: Sequence[str], strategies: Sequence[str],
     *, parallelism: int = 4,
@@ -117,10 +142,7 @@ def run_decision_optimization(
     if not seeds:
         raise ContractError("at least one split seed is required")
     policies = grid.policy_grid(false_negative_costs, ceilings)
-    rows = clean_conversions(conversions, keep=("row_id",))
-    splits = written(
-        split_table(rows, seeds, strategies), partition_by=("split_strategy", "seed", "split")
-    )
+    splits = decision_rows(conversions, seeds, strategies)
     scored = written(
         scored_table(splits, seeds, scenarios, strategies, parallelism=parallelism),
         partition_by=(*RUNS, "split"),
@@ -128,18 +150,9 @@ def run_decision_optimization(
     judged = written(grid.policy_runs(scored, policies, runs=RUNS))
     comparison = grid.policy_comparison(judged, runs=RUNS)
     groups = ("scenario", "split_strategy")
-    shares = [
-        split_summary(splits.where(F.col("split_strategy") == name)).withColumn(
-            "split_strategy", F.lit(name)
-        )
-        for name in strategies
-    ]
-    summary = shares[0]
-    for share in shares[1:]:
-        summary = summary.unionByName(share)
     return DecisionReport(
         quality=conversion_quality(conversions),
-        splits=summary,
+        splits=strategy_summary(splits, strategies),
         scored=scored,
         runs=judged,
         comparison=comparison,

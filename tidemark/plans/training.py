@@ -44,6 +44,12 @@ class TrainingReport:
     curves: DataFrame
 
 
+def training_rows(conversions: DataFrame, *, seed: int = 42) -> DataFrame:
+    """The clean rows with their split, written in one partition per split."""
+    rows = clean_conversions(conversions, keep=("row_id",))
+    return written(stratified_split(rows, seed), partition_by=("split",))
+
+
 def run_training(
     conversions: DataFrame,
     *,
@@ -58,8 +64,7 @@ def run_training(
     """Report tables over a conversion table with ``row_id``; ``metrics`` has one row per
     scenario, model and split (validation, test)."""
     require_costs(false_positive_cost, false_negative_cost)
-    rows = clean_conversions(conversions, keep=("row_id",))
-    splits = written(stratified_split(rows, seed), partition_by=("split",))
+    splits = training_rows(conversions, seed=seed)
     train, rest = splits.where("split = 'train'"), splits.where("split <> 'train'")
     runs = [(scenario, model) for scenario in scenarios for model in model_names]
     models = fit_all(
