@@ -517,3 +517,27 @@ def test_known_metrics_are_those_of_the_sweep(spark, monkeypatch, spread):
     )
     for got, want in zip(made.collect(), swept.collect(), strict=True):
         assert tuple(got) == pytest.approx(tuple(want))
+
+
+def test_fits_read_little(spark, conversions, monkeypatch):
+    """A logistic fit passes over distinct inputs with their rows, a forest keeps its nodes."""
+    from tidemark.operators import model as fitting
+
+    assert fitting._estimator(FOREST, 10, "converted", 2).getCacheNodeIds()
+    seen, made = [], fitting._estimator
+
+    class Seeing:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, vectors):
+            seen.append((vectors.count(), vectors.agg(F.sum("tm_rows")).first()[0]))
+            return self.inner.fit(vectors)
+
+    monkeypatch.setattr(fitting, "_estimator", lambda *a: Seeing(made(*a)))
+    once = conversions.select("age", "converted").distinct()
+    thrice = once.crossJoin(spark.range(3)).drop("id")
+    one, three = (build_model_pipeline(["age"]).fit(f) for f in (once, thrice))
+    n = once.count()
+    assert seen == [(n, n), (n, 3 * n)]
+    assert list(one.stages[1].getOrDefault("means")) == pytest.approx(three.stages[1].getOrDefault("means"))

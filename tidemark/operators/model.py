@@ -44,6 +44,9 @@ MAX_DEPTH = 30
 MODEL_SEED = 42
 # Node statistics per pass: more memory, fewer passes over the data.
 FOREST_MEMORY_MB = 1024
+# A forest's tasks: no more than the cluster runs at once, unless one would hold too many rows. Each
+# sends the statistics of all nodes.
+LEAST_FOREST_ROWS, MOST_FOREST_ROWS = 10_000, 500_000
 
 
 class FeatureContract(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -73,15 +76,18 @@ _PARAMETERS = (
 )
 
 
-def preprocess_parameters(frame: DataFrame, features: Sequence[str]) -> DataFrame:
+def preprocess_parameters(
+    frame: DataFrame, features: Sequence[str], *, weight: str | None = None
+) -> DataFrame:
     """One row per feature: mode and levels of a category, or median, mean and deviation.
 
     The mode's ties go to the smallest value; the median is exact; mean and population deviation
     are those after imputation. All come from one table of value counts, which ``frame`` is read
     once for; the medians of all features are searched for together. One row per feature reaches
-    the driver, with its levels, which become the slots of the model.
+    the driver, with its levels, which become the slots of the model. A line of ``frame`` stands for
+    as many rows as its column ``weight`` says, or for one.
     """
-    counts = written(value_counts(frame, features, schemas.CATEGORICAL))
+    counts = written(value_counts(frame, features, schemas.CATEGORICAL, weight=weight))
     category, number, rows = F.col("category"), F.col("number"), F.col("rows")
     has = category.isNotNull() | number.isNotNull()
     least = F.min(F.when(category.isNotNull(), F.struct(-rows, category.alias("mode"))))
@@ -122,9 +128,11 @@ def preprocess_parameters(frame: DataFrame, features: Sequence[str]) -> DataFram
     )
 
 
-def _fit_preprocess(rows: DataFrame, features: Sequence[str]) -> tuple[PreprocessModel, list, int]:
+def _fit_preprocess(
+    rows: DataFrame, features: Sequence[str], weight: str | None
+) -> tuple[PreprocessModel, list, int]:
     """The fitted values, the indexers built from the same counts, and the number of rows."""
-    fitted = preprocess_parameters(rows, features).collect()
+    fitted = preprocess_parameters(rows, features, weight=weight).collect()
     if not fitted[0]["rows"]:
         raise ContractError("the model needs training rows")
     text = [r for r in fitted if r["feature"] in schemas.CATEGORICAL]
@@ -195,6 +203,10 @@ def one_hot(names: Sequence[str]) -> OneHotEncoder:
     )
 
 
+#: How many equal training rows a line stands for.
+_ROWS = "tm_rows"
+
+
 def _estimator(model_name: str, train_rows: int, label: str, trees: int):
     columns = dict(
         featuresCol="tm_features", labelCol=label, predictionCol="tm_prediction",
@@ -204,14 +216,24 @@ def _estimator(model_name: str, train_rows: int, label: str, trees: int):
         # The penalty is on the sum of losses; MLlib's is on their mean.
         return LogisticRegression(
             regParam=1.0 / (INVERSE_REGULARIZATION * train_rows), elasticNetParam=0.0,
-            standardization=False, maxIter=MAX_ITERATIONS, tol=1e-6, family="binomial", **columns,
+            standardization=False, maxIter=MAX_ITERATIONS, tol=1e-6, family="binomial",
+            weightCol=_ROWS, **columns,
         )
     return RandomForestClassifier(
         numTrees=trees, minInstancesPerNode=MIN_LEAF_ROWS, maxDepth=MAX_DEPTH,
-        featureSubsetStrategy="sqrt", seed=MODEL_SEED, maxMemoryInMB=FOREST_MEMORY_MB, **columns,
+        featureSubsetStrategy="sqrt", seed=MODEL_SEED, maxMemoryInMB=FOREST_MEMORY_MB,
+        # Rows keep their node in each tree; otherwise every level walks them down from the root.
+        cacheNodeIds=True, **columns,
     )
 
 
+def _spread(vectors: DataFrame, rows: int) -> DataFrame:
+    """``vectors`` in as many partitions as a forest of ``rows`` rows should have, at least."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    wanted = max(min(cores, rows // LEAST_FOREST_ROWS), math.ceil(rows / MOST_FOREST_ROWS))
+    return vectors.repartition(wanted) if wanted > vectors.rdd.getNumPartitions() else vectors
+
+
 class ConversionEstimator(Estimator):
     """The whole pipeline. ``fit`` gives a ``PipelineModel`` that can be saved and loaded."""
 
@@ -227,7 +249,13 @@ class ConversionEstimator(Estimator):
         rows = contract.transform(
             dataset.select(*self.features, F.col(self.label).cast("double").alias(self.label))
         )
-        preprocess, indexers, train_rows = _fit_preprocess(rows, self.features)
+        weight = None
+        if self.model_name == LOGISTIC:
+            # The loss is a sum over rows, so equal rows are one line with their number: the many
+            # passes of a fit read distinct inputs. The forest draws single rows.
+            weight = _ROWS
+            rows = written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(weight)))
+        preprocess, indexers, train_rows = _fit_preprocess(rows, self.features, weight)
         names = [f for f in self.features if f in schemas.CATEGORICAL]
         numbers = [f for f in self.features if f not in schemas.CATEGORICAL]
         assembler = VectorAssembler(
@@ -237,7 +265,11 @@ class ConversionEstimator(Estimator):
         encoders = [*indexers, *([one_hot(names)] if names else []), assembler]
         prepared = preprocess.transform(rows)
         encode = Pipeline(stages=encoders).fit(prepared)
-        vectors = encode.transform(prepared).select("tm_features", self.label)
+        vectors = encode.transform(prepared).select(
+            "tm_features", self.label, *([weight] if weight else [])
+        )
+        if self.model_name == FOREST:
+            vectors = _spread(vectors, train_rows)
         model = _estimator(self.model_name, train_rows, self.label, self.trees).fit(vectors)
         return PipelineModel([contract, preprocess, *encode.stages, model])
 

@@ -25,12 +25,14 @@ from tidemark.operators.prefix import (
 
 
 def value_counts(
-    frame: DataFrame, features: Sequence[str], categorical: Sequence[str]
+    frame: DataFrame, features: Sequence[str], categorical: Sequence[str], *, weight: str | None = None
 ) -> DataFrame:
     """``position, category, number, rows``: how often each feature has each value.
 
-    A feature's value is in ``category`` or in ``number``, by its kind; null counts as a value.
+    A feature's value is in ``category`` or in ``number``, by its kind; null counts as a value. A
+    line counts as often as its column ``weight`` says, or once.
     """
+    rows = F.count(F.lit(1)) if weight is None else F.sum("_weight")
     cells = [
         F.struct(
             F.lit(i).alias("position"),
@@ -40,9 +42,9 @@ def value_counts(
         for i, name in enumerate(features)
     ]
     return (
-        frame.select(F.inline(F.array(*cells)))
+        frame.select(*([F.col(weight).alias("_weight")] if weight else []), F.inline(F.array(*cells)))
         .groupBy("position", "category", "number")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(rows.alias("rows"))
     )
 
 
