@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.durable import durable, shared_folder
+from tidemark.durable import durable, shared_folder, written
 from tidemark.operators import bootstrap, capacity, conversion, events, metrics, model, pit
 from tidemark.operators import pit_output, planning, scores, scoring, splits, stress, thresholds
 from tidemark.operators.combine import multiset_delta
@@ -90,7 +90,8 @@ def csv_round_trip(spark, folder):
 @query
 def table_round_trip(spark, folder):
     """The table sink with partitions, read back after its files have been checked."""
-    return _checked(pit.point_in_time_features(event_inputs(spark, folder)), partition_by=("source",))[0]
+    rows = written(pit.point_in_time_features(event_inputs(spark, folder)))  # read twice
+    return _checked(rows, partition_by=("source",))[0]
 
 
 @query

@@ -98,3 +98,16 @@ def test_reused_work_is_written_to_the_named_folder(spark, tables):
     kept = durable(tables[1].groupBy("label").count())
     assert spark.sparkContext.getCheckpointDir().startswith(("file:" + before, before))
     assert "Scan ExistingRDD" in plan(kept)
+
+
+def test_verification_makes_the_features_once(spark, event_frames, monkeypatch):
+    """The gates of a report share one table of features; poison and single rows make their own."""
+    from tidemark.operators.events import event_tables
+    from tidemark.plans import verification
+
+    made, plain = [], verification.point_in_time_features
+    monkeypatch.setattr(verification, "point_in_time_features", lambda t: made.append(t) or plain(t))
+    report = verification.verification_report(event_tables(*event_frames)).first()
+    assert len(made) == 3
+    assert report["future_poison_invariance"] and report["batch_single_request_exact_parity"]
+    assert report["spark_sql_exact_parity"] and report["output_rows"] == 1

@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.durable import written
 from tidemark.errors import ContractError
 from tidemark.operators.combine import side_by_side
 from tidemark.operators.events import EventTables
@@ -54,30 +55,39 @@ def first_request(tables: EventTables) -> DataFrame:
     return tables.requests.orderBy("score_id").limit(1)
 
 
-def poison_delta(tables: EventTables) -> DataFrame:
-    """Feature rows that change when future events are added: both counts must be zero."""
+def _batch(tables: EventTables, features: DataFrame | None) -> DataFrame:
+    return point_in_time_features(tables) if features is None else features
+
+
+def poison_delta(tables: EventTables, *, features: DataFrame | None = None) -> DataFrame:
+    """Feature rows that change when future events are added: both counts must be zero.
+
+    Here and below, ``features`` are those of ``tables`` where they have been made already.
+    """
     return feature_differences(
-        point_in_time_features(tables), point_in_time_features(with_future_poison(tables))
+        _batch(tables, features), point_in_time_features(with_future_poison(tables))
     )
 
 
-def single_delta(tables: EventTables, requests: DataFrame | None = None) -> DataFrame:
+def single_delta(
+    tables: EventTables, requests: DataFrame | None = None, *, features: DataFrame | None = None
+) -> DataFrame:
     """Feature rows that differ between the batch and a run over ``requests`` alone.
 
     By default the first request is taken. Both counts must be zero.
     """
     requests = first_request(tables) if requests is None else requests
     alone = point_in_time_features(only_requests(tables, requests))
-    batch = point_in_time_features(tables).join(
+    batch = _batch(tables, features).join(
         requests.select("score_id"), "score_id", "left_semi"
     )
     return feature_differences(batch, alone)
 
 
-def engine_delta(tables: EventTables) -> DataFrame:
+def engine_delta(tables: EventTables, *, features: DataFrame | None = None) -> DataFrame:
     """Feature rows that differ between the DataFrame form and the packaged SQL."""
     spark = tables.sessions.sparkSession
-    return feature_differences(point_in_time_features(tables), sql_features(spark, tables))
+    return feature_differences(_batch(tables, features), sql_features(spark, tables))
 
 
 def rows_per_session(sessions: DataFrame, child: DataFrame) -> DataFrame:
@@ -100,8 +110,13 @@ def require_uniform(sessions: DataFrame, child: DataFrame, table: str) -> int:
 
 
 def verification_report(tables: EventTables) -> DataFrame:
-    """Counters, gates and the query hash in one row; a gate is true when it holds."""
+    """Counters, gates and the query hash in one row; a gate is true when it holds.
+
+    The tables and their features are read by most parts, so they are written once.
+    """
     spark = tables.sessions.sparkSession
+    tables = EventTables(written(tables.sessions), written(tables.requests), written(tables.events))
+    features = written(point_in_time_features(tables))
 
     def no_difference(delta: DataFrame, name: str) -> DataFrame:
         return delta.select(((F.col("only_left") + F.col("only_right")) == 0).alias(name))
@@ -116,9 +131,9 @@ def verification_report(tables: EventTables) -> DataFrame:
         tables.sessions.agg(F.count_distinct("user_id").alias("users")),
         per_session(tables.requests, "score_requests_per_session"),
         per_session(tables.events, "page_events_per_session"),
-        no_difference(poison_delta(tables), "future_poison_invariance"),
-        no_difference(single_delta(tables), "batch_single_request_exact_parity"),
-        no_difference(engine_delta(tables), "spark_sql_exact_parity"),
+        no_difference(poison_delta(tables, features=features), "future_poison_invariance"),
+        no_difference(single_delta(tables, features=features), "batch_single_request_exact_parity"),
+        no_difference(engine_delta(tables, features=features), "spark_sql_exact_parity"),
     ]
     query = load_point_in_time_sql().encode("utf-8")
     return side_by_side(parts).withColumns(
