@@ -421,3 +421,21 @@ def test_quality(spark, nothing):
     flat = quality_votes.quality_scores(odd, none, F.lit(True)).collect()
     assert [r["score"] for r in flat] == [0.5] * 4
     assert quality_votes.quality_scores(nothing, labels, F.lit(True)).count() == 0
+
+
+def test_regions_of_bytes_travel_as_bytes():
+    """A region takes a byte per byte in a shuffle, and its numbers come back."""
+    from tidemark.llm.repeated_bytes import KIND as bytes_kind
+
+    for text in ("", None, "aé\U0001f600" * 50):
+        sent = bytes_kind.sent(text)
+        assert sent.nbytes == len((text or "").encode("utf-8"))
+        assert (bytes_kind.received(sent.tobytes()) == bytes_kind.numbers(text)).all()
+
+
+def test_written_restores_the_setting(spark):
+    from tidemark import durable
+
+    before = spark.conf.get(durable._DROPS, None)
+    rows = durable.written(spark.range(50).repartition(3, "id"), drop_shuffles=True)
+    assert rows.count() == 50 and spark.conf.get(durable._DROPS, None) == before

@@ -39,14 +39,28 @@ def durable(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def written(frame: DataFrame, *, partition_by: Sequence[str] = ()) -> DataFrame:
+#: Spark's own setting: what an execution has shuffled leaves the disk when it ends.
+_DROPS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(
+    frame: DataFrame, *, partition_by: Sequence[str] = (), drop_shuffles: bool = False
+) -> DataFrame:
     """Write ``frame`` as Parquet into a new folder of the shared folder and read it back.
 
     Unlike a checkpoint of rows, later steps read only the columns and, with ``partition_by``,
-    the partitions that they need.
+    the partitions that they need. With ``drop_shuffles``, what the write has shuffled is removed
+    after it, not when the driver next collects garbage; not for writes by several threads.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    frame.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_DROPS, None)
+    if drop_shuffles:
+        spark.conf.set(_DROPS, "true")
+    try:
+        frame.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.unset(_DROPS) if before is None else spark.conf.set(_DROPS, before)
     back = spark.read.schema(frame.schema).parquet(path)
     return back.select(*frame.columns)

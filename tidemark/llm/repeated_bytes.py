@@ -35,11 +35,17 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8"), np.uint8)
 
 
+def _of_bytes(data: np.ndarray) -> np.ndarray:
+    return _TABLE[data]
+
+
 def _numbers(text: str | None) -> np.ndarray:
-    return _TABLE[_bytes(text)]
+    return _of_bytes(_bytes(text))
 
 
-KIND = repeats.Kind(length=LENGTH, seed=SEED, numbers=_numbers, within=True)
+KIND = repeats.Kind(
+    length=LENGTH, seed=SEED, numbers=_numbers, within=True, units=_bytes, of_units=_of_bytes
+)
 
 
 def _seed_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,14 +115,17 @@ def removed_bytes(documents: DataFrame) -> DataFrame:
             "doc_id", "o", "v", "ats", F.when(F.col("ats").isNotNull(), F.col("text")).alias("text"),
             F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
             F.when(F.col("ats").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"),
-        )
+        ),
+        drop_shuffles=True,
     )
-    texts = joined.where("ats IS NOT NULL")
+    # No order and no hash is null. Saying so, as the joins do, lets them share one shuffle of the texts.
+    texts = joined.where("ats IS NOT NULL AND o IS NOT NULL AND v IS NOT NULL")
+    dealt = texts.select("doc_id", "o", "v", "text").repartition("o", "v")
     regions = texts.select("o", "v", "text", "ats").mapInPandas(
         _regions, f"{ROW}seed long, region long, at long"
     )
-    spans = repeats.repeated_spans(texts, written(regions), KIND)
-    some = texts.select("doc_id", "o", "v", "text").join(spans, ["o", "v"], "left")
+    spans = repeats.repeated_spans(dealt, written(regions), KIND)
+    some = dealt.join(spans, ["o", "v"], "left")
     done = some.select("doc_id", "text", "spans").mapInPandas(
         _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )

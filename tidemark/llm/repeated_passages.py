@@ -172,7 +172,7 @@ def removed_passages(documents: DataFrame) -> DataFrame:
             _located, f"{ROW}seed long, region long, at long"
         )
     )
-    spans = repeats.repeated_spans(texts, regions, KIND)
+    spans = repeats.repeated_spans(texts.select("o", "v", "text"), regions, KIND)
     some = texts.select("doc_id", "o", "v", "text").join(spans, ["o", "v"], "left")
     done = some.select("doc_id", "text", "spans").mapInPandas(
         _kept, "doc_id long, n_words long, n_removed long, kept binary"

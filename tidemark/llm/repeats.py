@@ -38,6 +38,8 @@ _UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 class Kind:
     """What a window is: its size, the size of a seed, and the numbers of a text.
 
+    Where a text has ``units`` that are smaller than their numbers, regions travel as those, and
+    ``of_units`` gives the numbers.
     With ``within`` a window may have started earlier in the same document, else the earlier
     document must have a smaller id.
     """
@@ -46,6 +48,18 @@ class Kind:
     seed: int
     numbers: Callable[[str | None], np.ndarray]
     within: bool
+    units: Callable[[str | None], np.ndarray] | None = None
+    of_units: Callable[[np.ndarray], np.ndarray] | None = None
+
+    def sent(self, text: str | None) -> np.ndarray:
+        """What regions of a text travel as."""
+        return self.numbers(text) if self.units is None else self.units(text)
+
+    def received(self, data: bytes) -> np.ndarray:
+        """The numbers of what was sent."""
+        if self.units is None:
+            return np.frombuffer(data, np.uint64)
+        return self.of_units(np.frombuffer(data, self.units(None).dtype))
 
 
 def running_sums(values: np.ndarray) -> np.ndarray:
@@ -133,11 +147,11 @@ def _functions(kind: Kind) -> dict[str, Callable]:
     """The functions that run in tasks."""
 
     def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The numbers of regions."""
+        """The units of regions."""
         for batch in batches:
             out = []
             for o, v, text, ats in zip(batch["o"], batch["v"], batch["text"], batch["ats"], strict=True):
-                data = kind.numbers(text)
+                data = kind.sent(text)
                 for own in ats:
                     first, size = own["at"] >> 16, (own["at"] >> 8) & 255
                     part = data[first : first + size + kind.length]
@@ -146,7 +160,7 @@ def _functions(kind: Kind) -> dict[str, Callable]:
 
     def repeats(rows: pd.DataFrame) -> pd.DataFrame:
         """Windows that an earlier row has too, as spans; rows are in order of position."""
-        data = [np.frombuffer(x, np.uint64) for x in rows["data"]]
+        data = [kind.received(x) for x in rows["data"]]
         sizes = np.fromiter(map(len, data), np.int64, len(data))
         counts = sizes - kind.length + 1
         begin = np.cumsum(sizes) - sizes
@@ -217,7 +231,8 @@ def by_text(rows: DataFrame, *columns: str) -> DataFrame:
 def repeated_spans(texts: DataFrame, regions: DataFrame, kind: Kind) -> DataFrame:
     """``o, v, span`` of the windows that start earlier: first window << 8 | further windows.
 
-    ``texts`` has ``o, v, text`` and ``regions`` has ``o, v, seed, region, at``. A region that is
+    ``texts`` has ``o, v, text`` (where it is dealt by ``o, v``, it is not dealt again, and all its
+    columns go along so that a caller can share that) and ``regions`` has ``o, v, seed, region, at``. A region that is
     not the first of its rank has occurred as a whole. Of the first ones, those that share their
     seed with other regions are compared by windows.
     """
@@ -227,7 +242,8 @@ def repeated_spans(texts: DataFrame, regions: DataFrame, kind: Kind) -> DataFram
     marked = written(
         regions.join(firsts, (F.col("seed") == F.col("s")) & (F.col("region") == F.col("r"))).select(
             "o", "v", "seed", "region", "at", (place > F.col("f")).alias("again")
-        )
+        ),
+        drop_shuffles=True,
     )
     first, size = F.shiftright("at", 16), F.shiftright("at", 8).bitwiseAND(F.lit(255))
     whole = marked.where("again").select("o", "v", (F.shiftleft(first, 8) + size).alias("span"))
@@ -236,9 +252,9 @@ def repeated_spans(texts: DataFrame, regions: DataFrame, kind: Kind) -> DataFram
     several = fresh.groupBy(F.col("seed").alias("s")).agg(
         F.count(F.lit(1)).alias("n"), F.min("region").alias("low"), F.max("region").alias("high")
     ).where("low < high")
-    edges = written(fresh.join(several, F.col("seed") == F.col("s")).select("seed", "o", "v", "at", "n"))
+    edges = written(fresh.join(several, F.col("seed") == F.col("s")).select("seed", "o", "v", "at", "n"), drop_shuffles=True)
     few, many = edges.where(F.col("n") <= TOGETHER // 2), edges.where(F.col("n") > TOGETHER // 2)
-    single = texts.select("o", "v", "text").dropDuplicates(["o", "v"])
+    single = texts.dropDuplicates(["o", "v"])
     near = (
         single.join(by_text(few, "seed", "at"), ["o", "v"])
         .mapInPandas(run["contents"], f"seed long, {ROW}at long, data binary")
@@ -247,7 +263,8 @@ def repeated_spans(texts: DataFrame, regions: DataFrame, kind: Kind) -> DataFram
     )
     windows = written(
         single.join(by_text(many, "at"), ["o", "v"])
-        .mapInPandas(run["windows"], f"{ROW}rank long, head long, start long")
+        .mapInPandas(run["windows"], f"{ROW}rank long, head long, start long"),
+        drop_shuffles=True,
     )
     start = F.struct("o", "v", "start") if kind.within else F.struct("o")
     least = windows.groupBy(F.col("rank").alias("r"), F.col("head").alias("h")).agg(F.min(start).alias("first"))
