@@ -16,6 +16,7 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.durable import shared_folder, written
 from tidemark.errors import ContractError
+from tidemark.operators import forest
 from tidemark.operators.conversion import require_sound_features
 from tidemark.operators.scoring import guarded_features
 from tidemark.operators.selection import ranked_values, value_counts
@@ -47,6 +49,9 @@ FOREST_MEMORY_MB = 1024
 # A forest's tasks: no more than the cluster runs at once, unless one would hold too many rows. Each
 # sends the statistics of all nodes.
 LEAST_FOREST_ROWS, MOST_FOREST_ROWS = 10_000, 500_000
+# From so many rows on, a forest is grown over the distinct inputs, unless these are too many for a
+# task; otherwise MLlib grows it over single rows.
+GROUPED_FROM, MOST_INPUTS = 50_000, 2_000_000
 
 
 class FeatureContract(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -234,6 +239,18 @@ def _spread(vectors: DataFrame, rows: int) -> DataFrame:
     return vectors.repartition(wanted) if wanted > vectors.rdd.getNumPartitions() else vectors
 
 
+def _grown(
+    lines: DataFrame, estimator: RandomForestClassifier, levels: Sequence[int], numbers: int
+) -> RandomForestClassificationModel:
+    """The forest that ``estimator`` describes, grown over coded lines with their number of rows."""
+    how = forest.Growth(
+        tuple(levels), numbers, estimator.getSeed(), estimator.getMinInstancesPerNode(),
+        estimator.getMaxDepth(), estimator.getMaxBins(),
+    )
+    nodes = forest.grown_nodes(lines, estimator.getNumTrees(), how)
+    return forest.forest_model(nodes, estimator, how.slots)
+
+
 class ConversionEstimator(Estimator):
     """The whole pipeline. ``fit`` gives a ``PipelineModel`` that can be saved and loaded."""
 
@@ -249,13 +266,9 @@ class ConversionEstimator(Estimator):
         rows = contract.transform(
             dataset.select(*self.features, F.col(self.label).cast("double").alias(self.label))
         )
-        weight = None
-        if self.model_name == LOGISTIC:
-            # The loss is a sum over rows, so equal rows are one line with their number: the many
-            # passes of a fit read distinct inputs. The forest draws single rows.
-            weight = _ROWS
-            rows = written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(weight)))
-        preprocess, indexers, train_rows = _fit_preprocess(rows, self.features, weight)
+        # Equal rows are one line with their number: the many passes of a fit read distinct inputs.
+        lines = written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(_ROWS)))
+        preprocess, indexers, train_rows = _fit_preprocess(lines, self.features, _ROWS)
         names = [f for f in self.features if f in schemas.CATEGORICAL]
         numbers = [f for f in self.features if f not in schemas.CATEGORICAL]
         assembler = VectorAssembler(
@@ -263,14 +276,20 @@ class ConversionEstimator(Estimator):
             outputCol="tm_features",
         )
         encoders = [*indexers, *([one_hot(names)] if names else []), assembler]
-        prepared = preprocess.transform(rows)
+        prepared = preprocess.transform(lines)
         encode = Pipeline(stages=encoders).fit(prepared)
-        vectors = encode.transform(prepared).select(
-            "tm_features", self.label, *([weight] if weight else [])
-        )
-        if self.model_name == FOREST:
-            vectors = _spread(vectors, train_rows)
-        model = _estimator(self.model_name, train_rows, self.label, self.trees).fit(vectors)
+        estimator = _estimator(self.model_name, train_rows, self.label, self.trees)
+        if self.model_name == LOGISTIC:
+            model = estimator.fit(encode.transform(prepared).select("tm_features", self.label, _ROWS))
+        elif train_rows >= GROUPED_FROM and lines.count() <= MOST_INPUTS:
+            # Rows of one input are drawn together, by their number.
+            coded = encode.transform(prepared).select(
+                *[f"tm_{n}_index" for n in names], *[f"tm_{n}" for n in numbers], self.label, _ROWS
+            )
+            model = _grown(coded, estimator, [len(i.labels) for i in indexers], len(numbers))
+        else:
+            vectors = encode.transform(preprocess.transform(rows)).select("tm_features", self.label)
+            model = estimator.fit(_spread(vectors, train_rows))
         return PipelineModel([contract, preprocess, *encode.stages, model])
 
 
