@@ -14,6 +14,7 @@ from tidemark.errors import ContractError
 from tidemark.operators import bootstrap
 from tidemark.operators.combine import multiset_delta
 from tidemark.operators.bootstrap import bootstrap_interval, brier_sum
+from tidemark.operators.metrics import evaluate
 from tidemark.operators.scores import threshold_sweep
 from tidemark.operators.capacity import select_top_k
 from tidemark.operators.model import (
@@ -35,7 +36,7 @@ from tidemark.operators.splits import (
 )
 from tidemark.operators.stress import corrupted_inputs, permuted_labels, random_scores
 from tidemark.plans import policies as grid
-from tidemark.plans.audit import run_realism_audit
+from tidemark.plans.audit import corruption_metrics, run_realism_audit
 from tidemark.plans.decision import run_decision_optimization
 from tidemark.plans.training import run_training
 from tidemark.schemas import FEATURES
@@ -541,3 +542,16 @@ def test_fits_read_little(spark, conversions, monkeypatch):
     n = once.count()
     assert seen == [(n, n), (n, 3 * n)]
     assert list(one.stages[1].getOrDefault("means")) == pytest.approx(three.stages[1].getOrDefault("means"))
+
+
+def test_corrupted_rows_are_scored_once(conversions):
+    """The passes over the variants read written scores, and neither draw nor score again."""
+    fitted = build_model_pipeline(ACQUISITION).fit(conversions)
+    got = corruption_metrics(fitted, conversions, "acquisition", seed=42)
+    plan = got._jdf.queryExecution().toString()
+    assert "tm_" not in plan and "sha2(" not in plan and "FileScan parquet" in plan
+    variants = corrupted_inputs(
+        conversions.select("row_id", F.col("converted").alias("label"), *ACQUISITION), "acquisition", seed=42
+    )
+    scored = score_rows(fitted, variants, keep=["variant", "row_id", "label"])
+    assert rows(got) == rows(evaluate(scored, 0.5, runs=["variant"]))

@@ -101,12 +101,13 @@ def seed_summary(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
 def corruption_metrics(
     model, test: DataFrame, scenario: str, *, seed: int
 ) -> DataFrame:
-    """Metrics at threshold 0.5 of each corrupted variant of the test rows, in one pass."""
+    """Metrics at threshold 0.5 of each corrupted variant of the test rows."""
     features = schemas.features_of(scenario)
     variants = corrupted_inputs(
         test.select("row_id", F.col("converted").alias("label"), *features), scenario, seed=seed
     )
-    scored = score_rows(model, variants, keep=["variant", "row_id", "label"])
+    # Read by several passes, so draws and scores are made once.
+    scored = written(score_rows(model, variants, keep=["variant", "row_id", "label"]))
     runs = ["variant"]
     free = threshold_free_metrics(scored, runs=runs)
     judged = confusion(scored, 0.5, runs=runs, validate=False)
@@ -171,7 +172,7 @@ def run_realism_audit(
 ) -> AuditReport:
     """The audit tables over a conversion table with ``row_id``."""
     base = _base(seeds)
-    rows = clean_conversions(conversions, keep=("row_id",))
+    rows = written(clean_conversions(conversions, keep=("row_id",)))  # read by every split and table
     row_splits, holdouts = audit_rows(rows, seeds)
     base_rows = row_splits.where(F.col("seed") == base)
     train = base_rows.where("split = 'train'")
